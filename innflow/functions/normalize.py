@@ -25,8 +25,15 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_text(c: Column | str) -> Column:
-    """Strip leading/trailing whitespace (the same character set as Python's str.strip)."""
-    return F.btrim(_col(c).cast("string"), F.lit(vocab.WHITESPACE))
+    """Strip leading/trailing whitespace (the same character set as Python's str.strip).
+
+    Fast path: plain spaces are trimmed natively; the full Unicode set is only
+    applied when an edge character is still whitespace (tabs, no-break spaces...).
+    """
+    s = F.trim(_col(c).cast("string"))
+    ws = list(vocab.WHITESPACE)
+    edge = F.substring(s, 1, 1).isin(*ws) | F.substring(s, -1, 1).isin(*ws)
+    return F.when(edge, F.btrim(s, F.lit(vocab.WHITESPACE))).otherwise(s)
 
 
 def clean_str(c: Column | str, stripped: bool = False) -> Column:

@@ -130,6 +130,7 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
     ``_n_<c>`` number-gated doubles for ``numeric`` columns.  Three projections, so each
     sub-expression is evaluated once per row."""
     raw = raw.toDF(*N.normalize_header(raw.columns))
+    raw = _spread(raw)
     cols = RAW_COLUMNS[name]
     missing = [c for c in cols if c not in raw.columns]
     if missing:
@@ -141,6 +142,22 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
     return r
 
 
+def _spread(raw: DataFrame) -> DataFrame:
+    """At least one task per core for the CPU-heavy normalisation stage.
+
+    A scan of a few small files can yield fewer splits than cores; then the
+    rows are spread round-robin.  At cluster scale the scan already has far
+    more splits than cores and nothing is added.
+    """
+    plan = raw._jdf.queryExecution().sparkPlan().toString()
+    if any(op in plan for op in ("Exchange", "Join", "Aggregate", "Window", "Sort", "Union")):
+        return raw  # not a plain scan: asking for its partitions would run its shuffles
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    if raw.rdd.getNumPartitions() < cores:
+        return raw.repartition(cores)
+    return raw
+
+
 def _contract(name: str, not_null: Sequence[str] = ()) -> list[Rule]:
     return contract_rules(V.VARCHAR_LIMITS[name], not_null, prefix=V.CONTRACT_PREFIX)
 

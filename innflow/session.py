@@ -31,9 +31,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("INNFLOW_DRIVER_MEMORY", "8g"))
+        # small local inputs: let AQE keep one partition per core for CPU-heavy stages
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
+        # one executor: waiting for a "more local" slot only idles the cores
+        .config("spark.locality.wait", "0s")
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
+    event_dir = os.environ.get("INNFLOW_EVENT_LOG")
+    if event_dir:  # stage/task times for profiling, read from files (no UI)
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
