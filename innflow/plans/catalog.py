@@ -155,7 +155,7 @@ def parse_flexible_timestamps(spark, sf_dir):
 
 def _staging(name):
     def q(spark, sf_dir):
-        return M.STAGING[name](cleaned(spark, sf_dir))
+        return M.STAGING[name](warehouse_tables(cleaned(spark, sf_dir)))
     q.__name__ = name
     return q
 
@@ -227,21 +227,21 @@ def orphan_counts(spark, sf_dir):
 
 
 def rooms_per_property(spark, sf_dir):
-    return M.rooms_per_property(cleaned(spark, sf_dir))
+    return M.rooms_per_property(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 # --- 2.5 aggregation and de-duplication -------------------------------------
 
 def payments_per_reservation(spark, sf_dir):
-    return M.payments_per_reservation(cleaned(spark, sf_dir))
+    return M.payments_per_reservation(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 def guest_activity(spark, sf_dir):
-    return M.guest_activity(cleaned(spark, sf_dir))
+    return M.guest_activity(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 def property_activity(spark, sf_dir):
-    a = M.property_activity(cleaned(spark, sf_dir))
+    a = M.property_activity(warehouse_tables(cleaned(spark, sf_dir)))
     return a.select("property_id", "total_reservations", "completed_stays", "cancelled_reservations",
                     "no_show_reservations", "total_revenue",
                     M.half_up_avg("_nights_total", "_nights_n").alias("avg_nights_booked"))
@@ -294,15 +294,15 @@ def reject_summary_q(spark, sf_dir):
 # --- 2.9 marts, 2.10 checks, 2.11 tests, 2.12 mess ------------------------------
 
 def fct_reservations(spark, sf_dir):
-    return M.fct_reservations(cleaned(spark, sf_dir))
+    return M.fct_reservations(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 def dim_guests(spark, sf_dir):
-    return M.dim_guests(cleaned(spark, sf_dir))
+    return M.dim_guests(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 def agg_property_performance(spark, sf_dir):
-    return M.agg_property_performance(cleaned(spark, sf_dir))
+    return M.agg_property_performance(warehouse_tables(cleaned(spark, sf_dir)))
 
 
 def warehouse_tables(c: Cleaned) -> dict[str, DataFrame]:
@@ -313,14 +313,14 @@ def warehouse_checks(spark, sf_dir):
     return _warehouse_checks(warehouse_tables(cleaned(spark, sf_dir)))
 
 
-def model_frames(c: Cleaned) -> dict[str, DataFrame]:
-    models = {name: fn(c) for name, fn in M.STAGING.items()}
-    models.update({name: fn(c) for name, fn in M.MARTS.items()})
+def model_frames(w: M.Warehouse) -> dict[str, DataFrame]:
+    models = {name: fn(w) for name, fn in M.STAGING.items()}
+    models.update({name: fn(w) for name, fn in M.MARTS.items()})
     return models
 
 
 def contract_tests(spark, sf_dir):
-    return _contract_tests(model_frames(cleaned(spark, sf_dir)))
+    return _contract_tests(model_frames(warehouse_tables(cleaned(spark, sf_dir))))
 
 
 def inject_mess_reservations(spark, sf_dir):

@@ -7,29 +7,34 @@ its parent, so no join ever sees a repeated key on both sides.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from innflow.plans.entities import Cleaned
+# ``w`` below is any mapping from warehouse table name (guests, properties,
+# rooms, reservations, payments) to its DataFrame: the staged clean tables of
+# a run, or the parquet tables a job wrote.
+Warehouse = Mapping[str, DataFrame]
 
 TOTAL_TYPE = "decimal(20,2)"     # sum of decimal(10,2) amounts per reservation
 REVENUE_TYPE = "decimal(30,2)"   # sum of those per property
 
 
-def stg_guests(c: Cleaned) -> DataFrame:
-    return c.guests.clean.select("guest_id", "first_name", "last_name", "email", "phone", "country")
+def stg_guests(w: Warehouse) -> DataFrame:
+    return w["guests"].select("guest_id", "first_name", "last_name", "email", "phone", "country")
 
 
-def stg_properties(c: Cleaned) -> DataFrame:
-    return c.properties.clean.select("property_id", "property_name", "city", "country")
+def stg_properties(w: Warehouse) -> DataFrame:
+    return w["properties"].select("property_id", "property_name", "city", "country")
 
 
-def stg_rooms(c: Cleaned) -> DataFrame:
-    return c.rooms.clean.select("room_id", "property_id", "room_type", "capacity")
+def stg_rooms(w: Warehouse) -> DataFrame:
+    return w["rooms"].select("room_id", "property_id", "room_type", "capacity")
 
 
-def stg_reservations(c: Cleaned) -> DataFrame:
-    r = c.reservations.clean
+def stg_reservations(w: Warehouse) -> DataFrame:
+    r = w["reservations"]
     return r.select(
         "reservation_id", "guest_id", "property_id", "room_id", "check_in_date", "check_out_date",
         "booking_status", "booking_date",
@@ -37,15 +42,15 @@ def stg_reservations(c: Cleaned) -> DataFrame:
     )
 
 
-def stg_payments(c: Cleaned) -> DataFrame:
-    return c.payments.clean.select(
+def stg_payments(w: Warehouse) -> DataFrame:
+    return w["payments"].select(
         "payment_id", "reservation_id", "payment_date", "payment_method", "amount", "payment_status"
     )
 
 
-def payments_per_reservation(c: Cleaned) -> DataFrame:
+def payments_per_reservation(w: Warehouse) -> DataFrame:
     """Paid amount (paid rows only), all-status record count and latest payment date per reservation."""
-    p = stg_payments(c)
+    p = stg_payments(w)
     return p.groupBy("reservation_id").agg(
         F.sum(F.when(F.col("payment_status") == "paid", F.col("amount"))
               .otherwise(F.lit(0).cast("decimal(10,2)"))).cast(TOTAL_TYPE).alias("amount_paid"),
@@ -54,10 +59,10 @@ def payments_per_reservation(c: Cleaned) -> DataFrame:
     )
 
 
-def fct_reservations(c: Cleaned) -> DataFrame:
+def fct_reservations(w: Warehouse) -> DataFrame:
     """One row per reservation with its payment roll-up (0 when it has no payments)."""
-    r = stg_reservations(c)
-    p = payments_per_reservation(c)
+    r = stg_reservations(w)
+    p = payments_per_reservation(w)
     j = r.join(p, "reservation_id", "left")
     return j.select(
         "reservation_id", "guest_id", "property_id", "room_id", "check_in_date", "check_out_date",
@@ -68,8 +73,8 @@ def fct_reservations(c: Cleaned) -> DataFrame:
     )
 
 
-def guest_activity(c: Cleaned) -> DataFrame:
-    r = stg_reservations(c)
+def guest_activity(w: Warehouse) -> DataFrame:
+    r = stg_reservations(w)
     return r.groupBy("guest_id").agg(
         F.count(F.lit(1)).alias("total_reservations"),
         F.count_if(F.col("booking_status") == "cancelled").alias("cancelled_reservations"),
@@ -79,10 +84,10 @@ def guest_activity(c: Cleaned) -> DataFrame:
     )
 
 
-def dim_guests(c: Cleaned) -> DataFrame:
+def dim_guests(w: Warehouse) -> DataFrame:
     """One row per guest with booking activity (0 / NULL when the guest never booked)."""
-    g = stg_guests(c)
-    a = guest_activity(c)
+    g = stg_guests(w)
+    a = guest_activity(w)
     j = g.join(a, "guest_id", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
@@ -94,10 +99,15 @@ def dim_guests(c: Cleaned) -> DataFrame:
     )
 
 
-def rooms_per_property(c: Cleaned) -> DataFrame:
+def room_counts(w: Warehouse) -> DataFrame:
+    """Rooms per property id (only ids that have rooms)."""
+    return stg_rooms(w).groupBy("property_id").agg(F.count(F.lit(1)).alias("room_count"))
+
+
+def rooms_per_property(w: Warehouse) -> DataFrame:
     """Room count per property, 0 for a property without rooms (the correlated count, decorrelated)."""
-    rooms = stg_rooms(c).groupBy("property_id").agg(F.count(F.lit(1)).alias("room_count"))
-    p = stg_properties(c).select("property_id")
+    rooms = room_counts(w)
+    p = stg_properties(w).select("property_id")
     return p.join(rooms, "property_id", "left").select(
         "property_id", F.coalesce("room_count", F.lit(0).cast("bigint")).alias("room_count")
     )
@@ -113,8 +123,8 @@ def half_up_avg(total: str, n: str, scale: int = 2):
     return F.when(F.col(n) > 0, (q.cast("decimal(20,0)") / F.lit(f)).cast("decimal(18,2)"))
 
 
-def property_activity(c: Cleaned) -> DataFrame:
-    f = fct_reservations(c)
+def property_activity(w: Warehouse) -> DataFrame:
+    f = fct_reservations(w)
     status = F.col("booking_status")
     return f.groupBy("property_id").agg(
         F.count(F.lit(1)).alias("total_reservations"),
@@ -127,11 +137,11 @@ def property_activity(c: Cleaned) -> DataFrame:
     )
 
 
-def agg_property_performance(c: Cleaned) -> DataFrame:
+def agg_property_performance(w: Warehouse) -> DataFrame:
     """One row per property, including properties without rooms or bookings."""
-    p = stg_properties(c)
-    rc = rooms_per_property(c)
-    a = property_activity(c)
+    p = stg_properties(w)
+    rc = room_counts(w)
+    a = property_activity(w)
     j = p.join(rc, "property_id", "left").join(a, "property_id", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
