@@ -50,21 +50,36 @@ def format_variant(ts: Column, index: Column, patterns: Sequence[str]) -> Column
 
 
 def duplicate_rows(df: DataFrame, when: Column, seq_col: str, seq_shift: int, **overrides: Column) -> DataFrame:
-    """G6/G7: append copies of the selected rows (optionally with changed columns).
+    """G6/G7: add a copy of the selected rows (optionally with changed columns), in one pass.
 
-    ``seq_shift`` moves the copies in the arrival order (``seq_col``), so a copy
+    ``seq_shift`` moves the copy in the arrival order (``seq_col``), so a copy
     can arrive after (positive) or before (negative) its original.
     """
-    copies = df.where(when)
+    return with_copies(df, seq_col, [(when, seq_shift, overrides)])
+
+
+def with_copies(df: DataFrame, seq_col: str, copies: Sequence[tuple[Column, int, dict]]) -> DataFrame:
+    """Emit each row once, plus one extra row per ``(condition, seq_shift, overrides)`` that holds.
+
+    A single scan: every row carries a small array of variant numbers
+    (0 = the original) that is exploded, and each column is chosen per variant.
+    """
+    variants = F.array_compact(F.array(F.lit(0), *[F.when(c, F.lit(i + 1)) for i, (c, _, _) in enumerate(copies)]))
+    exploded = df.select("*", F.explode(variants).alias("_variant"))
+    v = F.col("_variant")
     cols = []
-    for c in df.columns:
-        if c == seq_col:
-            cols.append((F.col(c) + F.lit(seq_shift)).alias(c))
-        elif c in overrides:
-            cols.append(overrides[c].alias(c))
-        else:
-            cols.append(F.col(c))
-    return df.unionByName(copies.select(*cols))
+    for name in df.columns:
+        expr = None
+        for i, (_, shift, overrides) in enumerate(copies, start=1):
+            if name == seq_col:
+                value = F.col(name) + F.lit(shift)
+            elif name in overrides:
+                value = overrides[name]
+            else:
+                continue
+            expr = F.when(v == i, value) if expr is None else expr.when(v == i, value)
+        cols.append(F.col(name) if expr is None else expr.otherwise(F.col(name)).alias(name))
+    return exploded.select(*cols)
 
 
 def orphan_reference(fk: Column, when: Column, offset: int) -> Column:

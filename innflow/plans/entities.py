@@ -83,6 +83,7 @@ class EntityResult:
     raw: DataFrame
     classified: DataFrame
     parent_small: dict = field(default_factory=dict)
+    run_dir: str | None = None
 
     @property
     def key(self) -> str:
@@ -94,9 +95,16 @@ class EntityResult:
 
     @cached_property
     def deduplicated(self) -> DataFrame:
-        """Keep-first survivors with ``_copies`` (accepted rows that shared the key)."""
+        """Keep-first survivors with ``_copies`` (accepted rows that shared the key), staged once.
+
+        Every downstream consumer (children's reference checks, marts, checks,
+        model tests) reads this small table instead of re-running the aggregate.
+        """
         cols = [c for c, _ in CLEAN_SCHEMAS[self.name]]
-        return keep_first(self.accepted.select(*cols, SEQ), self.key, SEQ, payload=cols)
+        first = keep_first(self.accepted.select(*cols, SEQ), self.key, SEQ, payload=cols)
+        if self.run_dir is None:
+            return first
+        return stage(first, self.run_dir, f"{self.name}_kept")
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -125,6 +133,15 @@ class EntityResult:
         return self.row_count <= BROADCAST_MAX_ROWS
 
 
+def _result(name: str, raw: DataFrame, classified: DataFrame, smalls: dict, run_dir: str) -> EntityResult:
+    """The run folder the classified table went to also receives the keep-first table."""
+    return EntityResult(name, raw, classified, smalls, run_dir)
+
+
+def _run_dir(raw: DataFrame, run_dir: str | None) -> str:
+    return run_dir or new_run_dir(raw.sparkSession)
+
+
 def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFrame:
     """Header normalisation, then per raw column: ``_r_<c>`` raw text and ``_t_<c>`` stripped text;
     ``_n_<c>`` number-gated doubles for ``numeric`` columns.  Three projections, so each
@@ -171,10 +188,11 @@ def _finish(df: DataFrame, name: str, rules: list[Rule], typed: dict[str, Column
         df = df.select("*", *[c.alias(n) for n, c in extra.items()])
     keep = [f"_r_{c}" for c in RAW_COLUMNS[name]] + [c for c, _ in CLEAN_SCHEMAS[name]] + [REASON, SEQ]
     df = df.select(*keep)
-    return stage(df, run_dir or new_run_dir(df.sparkSession), name)
+    return stage(df, run_dir, name)
 
 
 def transform_guests(raw: DataFrame, run_dir: str | None = None) -> EntityResult:
+    run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "guests", numeric=["guest_id"])
     typed = {
         "guest_id": _long("guest_id"),
@@ -189,10 +207,11 @@ def transform_guests(raw: DataFrame, run_dir: str | None = None) -> EntityResult
         Rule("R2", F.col("first_name").isNull() | F.col("last_name").isNull(), V.R_GUEST_NAME),
         *_contract("guests"),
     ]
-    return EntityResult("guests", raw, _finish(r, "guests", rules, typed, run_dir))
+    return _result("guests", raw, _finish(r, "guests", rules, typed, run_dir), {}, run_dir)
 
 
 def transform_properties(raw: DataFrame, run_dir: str | None = None) -> EntityResult:
+    run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "properties", numeric=["property_id"])
     typed = {
         "property_id": _long("property_id"),
@@ -204,10 +223,11 @@ def transform_properties(raw: DataFrame, run_dir: str | None = None) -> EntityRe
         Rule("R3", F.col("property_id").isNull(), V.R_PROPERTY_ID),
         *_contract("properties", not_null=["property_name"]),
     ]
-    return EntityResult("properties", raw, _finish(r, "properties", rules, typed, run_dir))
+    return _result("properties", raw, _finish(r, "properties", rules, typed, run_dir), {}, run_dir)
 
 
 def transform_rooms(raw: DataFrame, properties: EntityResult, run_dir: str | None = None) -> EntityResult:
+    run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "rooms", numeric=["room_id", "property_id", "capacity"])
     r = r.withColumn("property_id", _long("property_id"))
     small = properties.keys_small
@@ -224,13 +244,14 @@ def transform_rooms(raw: DataFrame, properties: EntityResult, run_dir: str | Non
         *_contract("rooms", not_null=["room_type"]),
         Rule("C_capacity", F.col("capacity") > V.SMALLINT_MAX, V.CONTRACT_PREFIX + "capacity"),
     ]
-    return EntityResult("rooms", raw, _finish(r, "rooms", rules, typed, run_dir), {"properties": small})
+    return _result("rooms", raw, _finish(r, "rooms", rules, typed, run_dir), {"properties": small}, run_dir)
 
 
 def transform_reservations(
     raw: DataFrame, guests: EntityResult, properties: EntityResult, rooms: EntityResult,
     run_dir: str | None = None,
 ) -> EntityResult:
+    run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "reservations", numeric=["guest_id", "property_id", "room_id"]).select(
         "*",
         _long("guest_id").alias("guest_id"),
@@ -263,10 +284,11 @@ def transform_reservations(
         "check_out_date": F.col("_check_out_ts").cast("date"),
     }
     classified = _finish(r, "reservations", rules, typed, run_dir, extra=dates)
-    return EntityResult("reservations", raw, classified, smalls)
+    return _result("reservations", raw, classified, smalls, run_dir)
 
 
 def transform_payments(raw: DataFrame, reservations: EntityResult, run_dir: str | None = None) -> EntityResult:
+    run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "payments", numeric=["amount"]).withColumn("reservation_id", _str("reservation_id"))
     small = reservations.keys_small
     r = with_unique_parent_flag(r, "reservation_id", reservations.clean.select("reservation_id"),
@@ -287,7 +309,8 @@ def transform_payments(raw: DataFrame, reservations: EntityResult, run_dir: str
         *_contract("payments", not_null=["payment_method"]),
         Rule("C_amount", F.col("amount").isNull(), V.CONTRACT_PREFIX + "amount"),
     ]
-    return EntityResult("payments", raw, _finish(r, "payments", rules, typed, run_dir), {"reservations": small})
+    return _result("payments", raw, _finish(r, "payments", rules, typed, run_dir), {"reservations": small},
+                   run_dir)
 
 
 def _any_null(cols: Sequence[str]) -> Column:

@@ -152,25 +152,15 @@ def raw_guests(t: Tables) -> DataFrame:
         k.alias("_k"),
     )
     kk = F.col("_k")
-    # exact re-sends, arriving right after the original
-    guests2 = mess.duplicate_rows(guests, _m(kk, 50, 1), "_seq", 1)
-    # the same person re-entered under a new id
-    guests2 = guests2.unionByName(
-        guests.where(_m(kk, 31, 0)).select(
-            _s(kk + 1_000_000_000).alias("guest_id"),
-            *[F.col(c) for c in ["first_name", "last_name", "email", "phone", "country"]],
-            (F.col("_seq") + 2).alias("_seq"), kk.alias("_k"),
-        )
-    )
-    # a broken copy (no first name) arriving before the good row with the same id
-    guests2 = guests2.unionByName(
-        guests.where(_m(kk, 61, 9)).select(
-            F.col("guest_id"), F.lit("").alias("first_name"),
-            *[F.col(c) for c in ["last_name", "email", "phone", "country"]],
-            (F.col("_seq") - 3).alias("_seq"), kk.alias("_k"),
-        )
-    )
-    return guests2.drop("_k")
+    guests = mess.with_copies(guests, "_seq", [
+        # an exact re-send, arriving right after the original
+        (_m(kk, 50, 1), 1, {}),
+        # the same person re-entered under a new id
+        (_m(kk, 31, 0), 2, {"guest_id": _s(kk + 1_000_000_000)}),
+        # a broken copy (no first name) arriving before the good row with the same id
+        (_m(kk, 61, 9), -3, {"first_name": F.lit("")}),
+    ])
+    return guests.drop("_k")
 
 
 def raw_reservations(t: Tables) -> DataFrame:
@@ -210,11 +200,12 @@ def raw_reservations(t: Tables) -> DataFrame:
         k.alias("_k"),
     )
     kk = F.col("_k")
-    # exact re-sends of some bookings
-    out = mess.duplicate_rows(res, _m(kk, 67, 0), "_seq", 1)
-    # a later record under the same id with another status: keep-first decides
-    out = mess.duplicate_rows(out, _m(kk, 71, 5) & _m(F.col("_seq"), 4, 0), "_seq", 2,
-                              booking_status=F.lit("pending"))
+    out = mess.with_copies(res, "_seq", [
+        # exact re-sends of some bookings
+        (_m(kk, 67, 0), 1, {}),
+        # a later record under the same id with another status: keep-first decides
+        (_m(kk, 71, 5), 2, {"booking_status": F.lit("pending")}),
+    ])
     return out.drop("_k")
 
 

@@ -14,6 +14,11 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only behind a measured size: no static broadcast from file-size
+    # estimates; explicit hints are given where a row-count bound was checked,
+    # and AQE may still switch a join to broadcast from real shuffle sizes.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
