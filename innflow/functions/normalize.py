@@ -1,7 +1,12 @@
-"""Column -> Column normalisation expressions (all JVM-side, no UDF).
+"""Normalisation expressions (all JVM-side, no UDF).
 
-Each function takes a raw text column and returns a typed column; bad
-input gives NULL, never an error, so a batch is never aborted by one row.
+Each function takes a raw text column, named by a column name (or any
+Spark SQL expression text), and returns a typed Column; bad input gives
+NULL, never an error, so a batch is never aborted by one row.
+
+The expressions are written as Spark SQL text and turned into a Column with
+one ``F.expr`` call: a parse chain of twenty formats is then one call to the
+JVM instead of hundreds of small object constructions.
 """
 
 from __future__ import annotations
@@ -20,74 +25,101 @@ _INTEGER = r"^[+-]?\d+$"
 _LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def lit_sql(s: str) -> str:
+    """A Spark SQL string literal for ``s`` (quotes, backslashes and non-printables escaped)."""
+    out = []
+    for ch in s:
+        if ch in ("'", "\\"):
+            out.append("\\" + ch)
+        elif ch.isprintable() and ord(ch) < 0x80:
+            out.append(ch)
+        else:
+            out.append(f"\\u{ord(ch):04x}")
+    return "'" + "".join(out) + "'"
+
+
+def _ref(c: str) -> str:
+    """SQL text for a column given by name (plain identifiers are back-quoted)."""
+    return f"`{c}`" if c.replace("_", "").isalnum() else c
+
 
+_WS = lit_sql(vocab.WHITESPACE)
 
-def strip_text(c: Column | str) -> Column:
+
+def strip_sql(c: str) -> str:
     """Strip leading/trailing whitespace (the same character set as Python's str.strip).
 
     Fast path: plain spaces are trimmed natively; the full Unicode set is only
     applied when an edge character is still whitespace (tabs, no-break spaces...).
     """
-    s = F.trim(_col(c).cast("string"))
-    ws = list(vocab.WHITESPACE)
-    edge = F.substring(s, 1, 1).isin(*ws) | F.substring(s, -1, 1).isin(*ws)
-    return F.when(edge, F.btrim(s, F.lit(vocab.WHITESPACE))).otherwise(s)
+    s = f"trim(CAST({c} AS STRING))"
+    edge = f"(instr({_WS}, substring({s}, 1, 1)) > 0 OR instr({_WS}, substring({s}, -1, 1)) > 0)"
+    return f"(CASE WHEN length({s}) > 0 AND {edge} THEN btrim({s}, {_WS}) ELSE {s} END)"
+
+
+def _text(c: str, stripped: bool) -> str:
+    return _ref(c) if stripped else strip_sql(_ref(c))
+
+
+def strip_text(c: str) -> Column:
+    return F.expr(strip_sql(_ref(c)))
 
 
-def clean_str(c: Column | str, stripped: bool = False) -> Column:
+def clean_sql(c: str, stripped: bool = False) -> str:
+    s = _text(c, stripped)
+    missing = ", ".join(lit_sql(m) for m in vocab.MISSING_TEXT)
+    return f"(CASE WHEN {s} IN ({missing}) THEN NULL ELSE {s} END)"
+
+
+def clean_str(c: str, stripped: bool = False) -> Column:
     """Strip; empty text and the text 'nan' become NULL."""
-    s = _col(c) if stripped else strip_text(c)
-    return F.when(~s.isin(*vocab.MISSING_TEXT), s)
+    return F.expr(clean_sql(c, stripped))
+
 
+def number_sql(c: str, stripped: bool = False) -> str:
+    s = _text(c, stripped)
+    return f"(CASE WHEN {s} RLIKE {lit_sql(_NUMBER)} THEN try_cast({s} AS DOUBLE) END)"
 
-def number_text(c: Column | str, stripped: bool = False) -> Column:
-    """Text that passes the number gate as a double (may still be NaN-free infinity-free), else NULL."""
-    s = _col(c) if stripped else strip_text(c)
-    return F.when(s.rlike(_NUMBER), s.try_cast("double"))
 
+def number_text(c: str, stripped: bool = False) -> Column:
+    """Text that passes the number gate as a double (NaN and infinities possible), else NULL."""
+    return F.expr(number_sql(c, stripped))
 
-def to_long(c: Column | str, stripped: bool = False, number: Column | None = None) -> Column:
+
+def to_long(c: str, stripped: bool = False, number: str | None = None) -> Column:
     """Text -> bigint.  '7', ' 7 ', '+7', '007', '7.0', '7e0' -> 7; '1.5', 'inf', '1,000' -> NULL.
 
-    ``number`` may pass ``number_text(c)`` computed once in an earlier projection.
+    ``number`` may name a column holding ``number_text(c)`` computed in an earlier projection.
     """
-    s = _col(c) if stripped else strip_text(c)
-    d = number if number is not None else number_text(s, stripped=True)
-    from_double = F.when(
-        (d == F.floor(d)) & (d >= F.lit(float(_LONG_MIN))) & (d < F.lit(float(_LONG_MAX))), d.cast("bigint")
+    s = _text(c, stripped)
+    d = _ref(number) if number else number_sql(s, stripped=True)
+    return F.expr(
+        f"(CASE WHEN {s} RLIKE {lit_sql(_INTEGER)} THEN try_cast({s} AS BIGINT) "
+        f"WHEN {d} = floor({d}) AND {d} >= {float(_LONG_MIN)!r} AND {d} < {float(_LONG_MAX)!r} "
+        f"THEN CAST({d} AS BIGINT) END)"
     )
-    return F.when(s.rlike(_INTEGER), s.try_cast("bigint")).otherwise(from_double)
 
 
-def to_double(c: Column | str, stripped: bool = False, number: Column | None = None) -> Column:
+def to_double(c: str, stripped: bool = False, number: str | None = None) -> Column:
     """Text -> finite double, NULL for anything else (NaN and infinities included)."""
-    d = number if number is not None else number_text(c, stripped)
-    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), d)
+    d = _ref(number) if number else number_sql(_text(c, stripped), stripped=True)
+    return F.expr(f"(CASE WHEN NOT isnan({d}) AND abs({d}) < double('inf') THEN {d} END)")
 
 
-def to_decimal(c: Column | str, type_name: str = vocab.AMOUNT_TYPE, stripped: bool = False) -> Column:
+def to_decimal(c: str, type_name: str = vocab.AMOUNT_TYPE, stripped: bool = False) -> Column:
     """Text -> decimal, rounded half-up from the decimal text itself (not via a double).
 
     NULL when the text is not a number or does not fit the type.
     """
-    s = _col(c) if stripped else strip_text(c)
-    return F.when(s.rlike(_NUMBER), s.try_cast(type_name))
+    s = _text(c, stripped)
+    return F.expr(f"(CASE WHEN {s} RLIKE {lit_sql(_NUMBER)} THEN try_cast({s} AS {type_name}) END)")
 
 
-def std_status(c: Column | str, aliases: Mapping[str, str], stripped: bool = False) -> Column:
+def std_status(c: str, aliases: Mapping[str, str], stripped: bool = False) -> Column:
     """Strip + lower, then exact alias lookup; anything else -> 'unknown'."""
-    lookup = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv])
-    key = F.lower(_col(c) if stripped else strip_text(c))
-    return F.coalesce(F.try_element_at(lookup, key), F.lit(vocab.UNKNOWN_STATUS))
-
-
-def _title_month(s: Column) -> Column:
-    """'15-JAN-2025' / '15-jan-2025' -> '15-Jan-2025' (month-name patterns are case-sensitive)."""
-    low = F.lower(s)
-    pos = F.regexp_instr(s, F.lit("[A-Za-z]"))
-    return F.when(pos > 0, F.overlay(low, F.upper(F.substring(low, pos, 1)), pos, F.lit(1))).otherwise(s)
+    pairs = ", ".join(f"{lit_sql(k)}, {lit_sql(v)}" for k, v in aliases.items())
+    key = f"lower({_text(c, stripped)})"
+    return F.expr(f"coalesce(try_element_at(map({pairs}), {key}), {lit_sql(vocab.UNKNOWN_STATUS)})")
 
 
 # Pattern letters -> a permissive regex of the text they can read.  A format is
@@ -117,35 +149,42 @@ def format_shape(fmt: str) -> str:
     return "^" + "".join(out) + "$"
 
 
-def parse_with_formats(c: Column | str, formats: Iterable[str], stripped: bool = False) -> Column:
+def _title_month_sql(s: str) -> str:
+    """'15-JAN-2025' / '15-jan-2025' -> '15-Jan-2025' (month-name patterns are case-sensitive)."""
+    pos = f"regexp_instr({s}, '[A-Za-z]')"
+    return (f"(CASE WHEN {pos} > 0 THEN overlay(lower({s}) PLACING upper(substring(lower({s}), {pos}, 1)) "
+            f"FROM {pos} FOR 1) ELSE {s} END)")
+
+
+def parse_with_formats(c: str, formats: Iterable[str], stripped: bool = False) -> Column:
     """First format that parses wins; result is timestamp without zone."""
-    s = _col(c) if stripped else strip_text(c)
-    titled = _title_month(s)
+    s = _text(c, stripped)
+    titled = _title_month_sql(s)
     tries = []
     for fmt in formats:
         src = titled if "MMM" in fmt else s
-        parsed = F.try_to_timestamp(src, F.lit(fmt)).cast("timestamp_ntz")
-        tries.append(F.when(s.rlike(format_shape(fmt)), parsed))
-    return F.when(s != "", F.coalesce(*tries))
+        tries.append(f"CASE WHEN {s} RLIKE {lit_sql(format_shape(fmt))} "
+                     f"THEN CAST(try_to_timestamp({src}, {lit_sql(fmt)}) AS TIMESTAMP_NTZ) END")
+    return F.expr(f"(CASE WHEN {s} <> '' THEN coalesce({', '.join(tries)}) END)")
 
 
-def parse_date(c: Column | str, fallback: bool = True, stripped: bool = False) -> Column:
+def parse_date(c: str, fallback: bool = True, stripped: bool = False) -> Column:
     """Date column text -> timestamp (cast to date after the rules that compare it)."""
     fmts = vocab.DATE_FORMATS + (vocab.DATE_FALLBACK_FORMATS if fallback else ())
     return parse_with_formats(c, fmts, stripped)
 
 
-def parse_timestamp(c: Column | str, fallback: bool = True, stripped: bool = False) -> Column:
+def parse_timestamp(c: str, fallback: bool = True, stripped: bool = False) -> Column:
     """Timestamp column text -> timestamp without zone."""
     fmts = vocab.TIMESTAMP_FORMATS + (vocab.TIMESTAMP_FALLBACK_FORMATS if fallback else ())
     return parse_with_formats(c, fmts, stripped)
 
 
-def booking_status(c: Column | str, stripped: bool = False) -> Column:
+def booking_status(c: str, stripped: bool = False) -> Column:
     return std_status(c, vocab.BOOKING_STATUS_ALIASES, stripped)
 
 
-def payment_status(c: Column | str, stripped: bool = False) -> Column:
+def payment_status(c: str, stripped: bool = False) -> Column:
     return std_status(c, vocab.PAYMENT_STATUS_ALIASES, stripped)
 
 

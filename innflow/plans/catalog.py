@@ -110,7 +110,7 @@ def _text_values(spark, sf_dir, columns: dict[str, list[str]], fn: Callable, val
             part = r[table].select(
                 F.lit(f"{table}.{c}").alias("source_column"),
                 F.col(c).alias("raw_text"),
-                fn(F.col(c)).alias(value_name),
+                fn(c).alias(value_name),
             )
             out = part if out is None else out.unionByName(part)
     return out

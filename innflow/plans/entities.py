@@ -53,22 +53,13 @@ def _r(c: str) -> Column:
     return F.col(f"_r_{c}")
 
 
-def _t(c: str) -> Column:
-    """The stripped text of column ``c`` (computed once, in its own projection)."""
-    return F.col(f"_t_{c}")
-
-
-def _n(c: str) -> Column:
-    """The number-gated double of column ``c`` (computed once, in its own projection)."""
-    return F.col(f"_n_{c}")
-
-
 def _long(c: str) -> Column:
-    return N.to_long(_t(c), stripped=True, number=_n(c))
+    """bigint from the stripped text ``_t_<c>`` and its number-gated double ``_n_<c>``."""
+    return N.to_long(f"_t_{c}", stripped=True, number=f"_n_{c}")
 
 
 def _str(c: str) -> Column:
-    return N.clean_str(_t(c), stripped=True)
+    return N.clean_str(f"_t_{c}", stripped=True)
 
 
 @dataclass
@@ -153,9 +144,9 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
     if missing:
         raise ValueError(f"{name}: raw extract lacks columns {missing}")
     r = raw.select(*[F.col(c).cast("string").alias(f"_r_{c}") for c in cols], F.col(SEQ))
-    r = r.select("*", *[N.strip_text(_r(c)).alias(f"_t_{c}") for c in cols])
+    r = r.select("*", *[N.strip_text(f"_r_{c}").alias(f"_t_{c}") for c in cols])
     if numeric:
-        r = r.select("*", *[N.number_text(_t(c), stripped=True).alias(f"_n_{c}") for c in numeric])
+        r = r.select("*", *[N.number_text(f"_t_{c}", stripped=True).alias(f"_n_{c}") for c in numeric])
     return r
 
 
@@ -265,10 +256,10 @@ def transform_reservations(
         r = with_unique_parent_flag(r, key, parent.clean.select(key), flag, smalls[parent.name])
     typed = {
         "reservation_id": _str("reservation_id"),
-        "_check_in_ts": N.parse_date(_t("check_in_date"), stripped=True),
-        "_check_out_ts": N.parse_date(_t("check_out_date"), stripped=True),
-        "booking_status": N.booking_status(_t("booking_status"), stripped=True),
-        "booking_date": N.parse_timestamp(_t("booking_date"), stripped=True),
+        "_check_in_ts": N.parse_date("_t_check_in_date", stripped=True),
+        "_check_out_ts": N.parse_date("_t_check_out_date", stripped=True),
+        "booking_status": N.booking_status("_t_booking_status", stripped=True),
+        "booking_date": N.parse_timestamp("_t_booking_date", stripped=True),
     }
     required = ["reservation_id", "guest_id", "property_id", "room_id", "_check_in_ts", "booking_date"]
     rules = [
@@ -296,10 +287,10 @@ def transform_payments(raw: DataFrame, reservations: EntityResult, run_dir: str
     typed = {
         "payment_id": _str("payment_id"),
         "payment_method": _str("payment_method"),
-        "_amount_value": N.to_double(_t("amount"), stripped=True, number=_n("amount")),
-        "amount": N.to_decimal(_t("amount"), V.AMOUNT_TYPE, stripped=True),
-        "payment_date": N.parse_timestamp(_t("payment_date"), stripped=True),
-        "payment_status": N.payment_status(_t("payment_status"), stripped=True),
+        "_amount_value": N.to_double("_t_amount", stripped=True, number="_n_amount"),
+        "amount": N.to_decimal("_t_amount", V.AMOUNT_TYPE, stripped=True),
+        "payment_date": N.parse_timestamp("_t_payment_date", stripped=True),
+        "payment_status": N.payment_status("_t_payment_status", stripped=True),
     }
     rules = [
         Rule("R10", _any_null(["payment_id", "reservation_id", "_amount_value"]), V.R_REQUIRED),

@@ -11,7 +11,7 @@ from innflow.functions import normalize as N
 
 def _one(spark, values, fn, dtype="string"):
     df = spark.createDataFrame([(v,) for v in values], f"v {dtype}")
-    return [r[0] for r in df.select(fn(F.col("v"))).collect()]
+    return [r[0] for r in df.select(fn("v")).collect()]
 
 
 _BATCH: dict = {}
@@ -22,7 +22,7 @@ def _batched(spark, key, cases, fn):
     if key not in _BATCH:
         values = [c[0] for c in cases]
         df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-        out = {r[0]: r[1] for r in df.select("i", fn(F.col("v"))).collect()}
+        out = {r[0]: r[1] for r in df.select("i", fn("v")).collect()}
         _BATCH[key] = {values[i]: out[i] for i in out}
     return _BATCH[key]
 
