@@ -46,6 +46,7 @@ CLEAN_SCHEMAS = {
 KEYS = {"guests": "guest_id", "properties": "property_id", "rooms": "room_id",
         "reservations": "reservation_id", "payments": "payment_id"}
 LOAD_ORDER = ("properties", "rooms", "guests", "reservations", "payments")
+RAW_RECORD = "raw_record"
 
 
 def _r(c: str) -> Column:
@@ -66,8 +67,9 @@ def _str(c: str) -> Column:
 class EntityResult:
     """Outputs of one entity job, all read from one staged classified table.
 
-    ``classified`` holds per raw row: the raw text (``_r_*``), the typed
-    columns, ``_reason`` (NULL = accepted) and ``_seq``.
+    ``classified`` holds per raw row: the typed columns, ``_reason`` (NULL =
+    accepted), ``_seq``, the raw text of the key (``_r_<key>``) and, for
+    rejected rows only, the raw row as JSON (``raw_record``).
     """
 
     name: str
@@ -105,10 +107,9 @@ class EntityResult:
     @cached_property
     def rejects(self) -> DataFrame:
         """source_table, raw_record (original text as JSON), rejection_reason, _seq (arrival order as text)."""
-        raw_struct = F.struct(*[_r(c).alias(c) for c in RAW_COLUMNS[self.name]])
         return self.classified.where(F.col(REASON).isNotNull()).select(
             F.lit(self.name).alias("source_table"),
-            F.to_json(raw_struct, {"ignoreNullFields": "false"}).alias("raw_record"),
+            F.col(RAW_RECORD),
             F.col(REASON).alias("rejection_reason"),
             F.col(SEQ).cast("string").alias(SEQ),
         )
@@ -177,8 +178,12 @@ def _finish(df: DataFrame, name: str, rules: list[Rule], typed: dict[str, Column
     df = classify(df, rules)
     if extra:
         df = df.select("*", *[c.alias(n) for n, c in extra.items()])
-    keep = [f"_r_{c}" for c in RAW_COLUMNS[name]] + [c for c, _ in CLEAN_SCHEMAS[name]] + [REASON, SEQ]
-    df = df.select(*keep)
+    # raw text is kept whole only where it is needed: as JSON on rejected rows
+    raw_json = F.to_json(F.struct(*[_r(c).alias(c) for c in RAW_COLUMNS[name]]), {"ignoreNullFields": "false"})
+    df = df.select(
+        *[c for c, _ in CLEAN_SCHEMAS[name]], REASON, SEQ, f"_r_{KEYS[name]}",
+        F.when(F.col(REASON).isNotNull(), raw_json).alias(RAW_RECORD),
+    )
     return stage(df, run_dir, name)
 
 
