@@ -15,6 +15,13 @@ from pyspark.sql import functions as F
 # Parent key sets up to this many rows are broadcast (a key is 8-40 bytes,
 # so the bound keeps the hashed relation far below the 8 GB broadcast limit).
 BROADCAST_MAX_ROWS = 2_000_000
+# In a shuffle join, a child key with more rows than this is split into
+# ceil(rows / HOT_KEY_ROWS) salted buckets, so no task receives more than
+# about this many rows of one key.
+HOT_KEY_ROWS = 2_000_000
+# Child rows with a NULL key never match; they are spread over this many salt
+# values so the NULL group does not land in one shuffle partition.
+NULL_KEY_SPREAD = 1024
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -52,18 +59,54 @@ def with_unique_parent_flag(
     parent_keys: DataFrame,
     flag: str,
     small: bool,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Like ``with_membership_flag`` for a parent key set already unique (one row per key).
 
-    ``small`` is the caller's measured size bound for broadcasting.
+    ``small`` is the caller's measured size bound: then the keys are broadcast.
+    Otherwise the join is a shuffle join with hot child keys split by salting
+    (``with_salted_parent_flag``), so one key holding a third of all child rows
+    is spread over many tasks instead of one.
     """
     keys = parent_keys.select(F.col(parent_keys.columns[0]).alias("_fk")).withColumn(flag, F.lit(True))
-    if small:
-        keys = F.broadcast(keys)
-    joined = child.join(keys, child[child_key] == keys["_fk"], "left").drop("_fk")
+    if not small:
+        return with_salted_parent_flag(child, child_key, keys, flag, hot_key_rows or HOT_KEY_ROWS)
+    joined = child.join(F.broadcast(keys), child[child_key] == F.col("_fk"), "left").drop("_fk")
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def with_salted_parent_flag(child: DataFrame, child_key: str, keys: DataFrame, flag: str,
+                            hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Shuffle join of child rows to unique parent keys (``_fk``, ``flag``) with hot keys salted.
+
+    1. Child key counts are pre-aggregated (map-side combine); keys with more
+       than ``hot_key_rows`` rows are hot.  There are at most
+       rows / ``hot_key_rows`` of them, which bounds the broadcast of that set.
+    2. A hot child row gets a salt in [0, ceil(n / hot_key_rows)) from a hash
+       of its arrival order; a NULL-key row (never a match) gets a salt in
+       [0, NULL_KEY_SPREAD); other rows get salt 0.
+    3. Each hot parent key is repeated once per salt value; the join is on
+       (key, salt), so every child row still meets its parent key exactly once.
+    """
+    seq = "_seq" if "_seq" in child.columns else None
+    counts = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_hk")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_key_rows).select(
+        "_hk", F.ceil(F.col("_n") / F.lit(hot_key_rows)).cast("int").alias("_buckets"))
+    hot = F.broadcast(hot)
+    spread = F.xxhash64(F.col(seq)) if seq else F.xxhash64(*[F.col(c) for c in child.columns])
+    salted = child.join(hot, child[child_key] == F.col("_hk"), "left").select(
+        *[child[c] for c in child.columns],
+        F.when(F.col("_buckets").isNotNull(), F.pmod(spread, F.col("_buckets")))
+        .when(child[child_key].isNull(), F.pmod(spread, F.lit(NULL_KEY_SPREAD)))
+        .otherwise(F.lit(0)).cast("int").alias("_salt"),
+    )
+    parent = keys.join(hot, F.col("_fk") == F.col("_hk"), "left").select(
+        "_fk", flag, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_psalt"))
+    joined = salted.join(parent, (salted[child_key] == F.col("_fk")) & (F.col("_salt") == F.col("_psalt")), "left")
+    return joined.drop("_fk", "_psalt", "_salt").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
 def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
                  skip_null: bool = False) -> DataFrame:
     """Child rows whose key has no parent row (LEFT JOIN ... WHERE parent IS NULL), as one count.
