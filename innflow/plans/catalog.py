@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from innflow.functions import normalize as N
 from innflow.operators.dedup import COPIES, duplicate_keys
-from innflow.operators.membership import orphan_count
+from innflow.operators.membership import orphan_count, with_unique_parent_flag
 from innflow.operators.quarantine import REASON, reject_summary
 from innflow.plans import marts as M
 from innflow.plans.checks import contract_tests as _contract_tests
@@ -180,32 +180,28 @@ def _clean(name):
 
 def fk_rooms_property(spark, sf_dir):
     c = cleaned(spark, sf_dir)
-    rooms = c.rooms.classified.select(F.col("_r_room_id").alias("raw_room_id"), "property_id")
-    parents = c.properties.clean.select(F.col("property_id").alias("_pk")).withColumn("property_found", F.lit(True))
-    j = rooms.join(parents, rooms.property_id == parents._pk, "left")
-    return j.select("raw_room_id", "property_id", F.coalesce("property_found", F.lit(False)).alias("property_found"))
+    rooms = c.rooms.classified.select(F.col("_r_room_id").alias("raw_room_id"), "property_id", "_seq")
+    flagged = with_unique_parent_flag(rooms, "property_id", c.properties.clean.select("property_id"),
+                                      "property_found", c.properties.keys_small)
+    return flagged.select("raw_room_id", "property_id", "property_found")
 
 
 def fk_reservations_any(spark, sf_dir):
     c = cleaned(spark, sf_dir)
     r = c.reservations.classified.select(
-        F.col("_r_reservation_id").alias("raw_reservation_id"), "guest_id", "property_id", "room_id")
+        F.col("_r_reservation_id").alias("raw_reservation_id"), "guest_id", "property_id", "room_id", "_seq")
     for parent, key, flag in ((c.guests, "guest_id", "guest_found"), (c.properties, "property_id", "property_found"),
                               (c.rooms, "room_id", "room_found")):
-        keys = parent.clean.select(F.col(key).alias("_pk")).withColumn(flag, F.lit(True))
-        if parent.keys_small:
-            keys = F.broadcast(keys)
-        r = r.join(keys, r[key] == keys["_pk"], "left").drop("_pk").withColumn(flag, F.coalesce(flag, F.lit(False)))
-    return r
+        r = with_unique_parent_flag(r, key, parent.clean.select(key), flag, parent.keys_small)
+    return r.drop("_seq")
 
 
 def fk_payments_reservation(spark, sf_dir):
     c = cleaned(spark, sf_dir)
-    p = c.payments.classified.select(F.col("_r_payment_id").alias("raw_payment_id"), "reservation_id")
-    keys = c.reservations.clean.select(F.col("reservation_id").alias("_pk")).withColumn("reservation_found", F.lit(True))
-    j = p.join(keys, p.reservation_id == keys._pk, "left")
-    return j.select("raw_payment_id", "reservation_id",
-                    F.coalesce("reservation_found", F.lit(False)).alias("reservation_found"))
+    p = c.payments.classified.select(F.col("_r_payment_id").alias("raw_payment_id"), "reservation_id", "_seq")
+    flagged = with_unique_parent_flag(p, "reservation_id", c.reservations.clean.select("reservation_id"),
+                                      "reservation_found", c.reservations.keys_small)
+    return flagged.select("raw_payment_id", "reservation_id", "reservation_found")
 
 
 def orphan_counts(spark, sf_dir):
