@@ -156,6 +156,21 @@ def _title_month_sql(s: str) -> str:
             f"FROM {pos} FOR 1) ELSE {s} END)")
 
 
+def _wall_clock_sql(text: str, fmt: str) -> str:
+    """Parse ``text`` with ``fmt`` into a timestamp without zone, independent of the session time zone.
+
+    The text is read as UTC wall-clock time (an explicit ``+00:00`` is appended
+    unless the pattern has its own offset, which is then converted to UTC) and
+    the instant's epoch microseconds are added to the zone-less epoch, so no
+    daylight-saving gap or overlap of the session zone can move the value.
+    """
+    if "X" in fmt:
+        instant = f"try_to_timestamp({text}, {lit_sql(fmt)})"
+    else:
+        instant = f"try_to_timestamp(concat({text}, ' +00:00'), {lit_sql(fmt + ' XXX')})"
+    return f"timestampadd(MICROSECOND, unix_micros({instant}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+
+
 def parse_with_formats(c: str, formats: Iterable[str], stripped: bool = False) -> Column:
     """First format that parses wins; result is timestamp without zone."""
     s = _text(c, stripped)
@@ -163,8 +178,7 @@ def parse_with_formats(c: str, formats: Iterable[str], stripped: bool = False) -
     tries = []
     for fmt in formats:
         src = titled if "MMM" in fmt else s
-        tries.append(f"CASE WHEN {s} RLIKE {lit_sql(format_shape(fmt))} "
-                     f"THEN CAST(try_to_timestamp({src}, {lit_sql(fmt)}) AS TIMESTAMP_NTZ) END")
+        tries.append(f"CASE WHEN {s} RLIKE {lit_sql(format_shape(fmt))} THEN {_wall_clock_sql(src, fmt)} END")
     return F.expr(f"(CASE WHEN {s} <> '' THEN coalesce({', '.join(tries)}) END)")
 
 

@@ -139,3 +139,13 @@ def test_header_normalisation():
     assert N.normalize_header([" Guest_ID", "First_Name "]) == ["guest_id", "first_name"]
     with pytest.raises(ValueError):
         N.normalize_header(["a", " A"])
+
+
+def test_parsing_ignores_session_time_zone(spark):
+    """Wall-clock text inside a daylight-saving gap or overlap keeps its value in any session zone."""
+    s2 = spark.newSession()
+    s2.conf.set("spark.sql.session.timeZone", "America/New_York")
+    df = s2.createDataFrame([("2025-03-09 02:30:00",), ("2025-11-02 01:30:00",), ("2025-01-15T10:00:00+02:00",)],
+                            "v string")
+    got = [r[0] for r in df.select(N.parse_timestamp("v")).collect()]
+    assert got == [dt.datetime(2025, 3, 9, 2, 30), dt.datetime(2025, 11, 2, 1, 30), dt.datetime(2025, 1, 15, 8, 0)]
