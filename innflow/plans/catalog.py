@@ -37,7 +37,7 @@ def _memo_key(spark: SparkSession, sf_dir: str) -> tuple:
         else 0.0
         for n in ("nation", "region", "customer", "supplier", "orders", "lineitem")
     )
-    return (id(spark._jsparkSession), path, stamp)
+    return (spark.sparkContext.applicationId, id(spark), path, stamp)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

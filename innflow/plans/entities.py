@@ -154,15 +154,14 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
 def _spread(raw: DataFrame) -> DataFrame:
     """At least one task per core for the CPU-heavy normalisation stage.
 
-    A scan of a few small files can yield fewer splits than cores; then the
-    rows are spread round-robin.  At cluster scale the scan already has far
-    more splits than cores and nothing is added.
+    An extract made of fewer files than there are cores (a small test extract)
+    can yield fewer splits than cores; then the rows are spread round-robin.
+    At cluster scale an extract has far more files than cores and nothing is
+    added.
     """
-    plan = raw._jdf.queryExecution().sparkPlan().toString()
-    if any(op in plan for op in ("Exchange", "Join", "Aggregate", "Window", "Sort", "Union")):
-        return raw  # not a plain scan: asking for its partitions would run its shuffles
     cores = raw.sparkSession.sparkContext.defaultParallelism
-    if raw.rdd.getNumPartitions() < cores:
+    files = raw.inputFiles()
+    if files and len(files) < cores:
         return raw.repartition(cores)
     return raw
 

@@ -72,7 +72,7 @@ def _m(k: Column, n: int, r: int) -> Column:
 
 def raw_properties(t: Tables) -> DataFrame:
     nation, region = t["nation"], t["region"]
-    base = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    base = nation.join(broadcast_if_small(region), nation.n_regionkey == region.r_regionkey)
     k = F.col("n_nationkey").cast("bigint")
     kid = _s(k)
     prop = base.select(
