@@ -16,6 +16,7 @@ computed after them, so shuffles carry the raw row once.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -341,12 +342,25 @@ class Cleaned:
 
 
 def transform_all(raw: dict[str, DataFrame], run_dir: str | None = None) -> Cleaned:
-    """Clean all five entities in load order; each classified table is staged under ``run_dir``."""
+    """Clean all five entities; each classified and kept table is staged under ``run_dir``.
+
+    Guests do not depend on properties or rooms, so that chain runs as
+    concurrent Spark jobs next to properties -> rooms; reservations wait for
+    all three survivors, payments for reservations.
+    """
     if run_dir is None:
         run_dir = new_run_dir(next(iter(raw.values())).sparkSession)
-    properties = transform_properties(raw["properties"], run_dir)
-    rooms = transform_rooms(raw["rooms"], properties, run_dir)
-    guests = transform_guests(raw["guests"], run_dir)
+
+    def guests_chain() -> EntityResult:
+        g = transform_guests(raw["guests"], run_dir)
+        g.keys_small, g.clean  # noqa: B018 - stage the kept table in this thread
+        return g
+
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        pending_guests = pool.submit(guests_chain)
+        properties = transform_properties(raw["properties"], run_dir)
+        rooms = transform_rooms(raw["rooms"], properties, run_dir)
+        guests = pending_guests.result()
     reservations = transform_reservations(raw["reservations"], guests, properties, rooms, run_dir)
     payments = transform_payments(raw["payments"], reservations, run_dir)
     return Cleaned(properties, rooms, guests, reservations, payments)
