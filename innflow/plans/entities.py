@@ -29,7 +29,7 @@ from innflow.operators.dedup import COPIES, keep_first
 from innflow.operators.membership import BROADCAST_MAX_ROWS, with_unique_parent_flag
 from innflow.operators.quarantine import REASON, SEQ, Rule, classify, contract_rules
 from innflow.plans.roles import RAW_COLUMNS
-from innflow.sources.staging import new_run_dir, stage
+from innflow.sources.staging import new_run_dir, stage, stage_at
 
 CLEAN_SCHEMAS = {
     "guests": [("guest_id", "bigint"), ("first_name", "string"), ("last_name", "string"),
@@ -78,6 +78,7 @@ class EntityResult:
     classified: DataFrame
     parent_small: dict = field(default_factory=dict)
     run_dir: str | None = None
+    kept_path: str | None = None  # where the keep-first table goes (default: <run_dir>/<name>_kept)
 
     @property
     def key(self) -> str:
@@ -96,9 +97,10 @@ class EntityResult:
         """
         cols = [c for c, _ in CLEAN_SCHEMAS[self.name]]
         first = keep_first(self.accepted.select(*cols, SEQ), self.key, SEQ, payload=cols)
-        if self.run_dir is None:
+        if self.run_dir is None and self.kept_path is None:
             return first
-        return stage(first, self.run_dir, f"{self.name}_kept")
+        first = first.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))
+        return stage_at(first, self.kept_path or f"{self.run_dir}/{self.name}_kept")
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -341,28 +343,37 @@ class Cleaned:
         return out
 
 
-def transform_all(raw: dict[str, DataFrame], run_dir: str | None = None) -> Cleaned:
-    """Clean all five entities; each classified and kept table is staged under ``run_dir``.
+def transform_all(raw: dict[str, DataFrame], run_dir: str | None = None, kept_dir: str | None = None) -> Cleaned:
+    """Clean all five entities; each classified table is staged under ``run_dir``.
 
-    Guests do not depend on properties or rooms, so that chain runs as
-    concurrent Spark jobs next to properties -> rooms; reservations wait for
-    all three survivors, payments for reservations.
+    The keep-first tables go to ``kept_dir/<name>`` when given (the job passes
+    its warehouse folder, so the clean data is written once), else next to the
+    classified tables.  Guests do not depend on properties or rooms, so that
+    chain runs as concurrent Spark jobs next to properties -> rooms;
+    reservations wait for all three survivors, payments for reservations.
     """
     if run_dir is None:
         run_dir = new_run_dir(next(iter(raw.values())).sparkSession)
 
+    def place(e: EntityResult) -> EntityResult:
+        if kept_dir:
+            e.kept_path = f"{kept_dir}/{e.name}"
+        return e
+
     def guests_chain() -> EntityResult:
-        g = transform_guests(raw["guests"], run_dir)
+        g = place(transform_guests(raw["guests"], run_dir))
         g.keys_small, g.clean  # noqa: B018 - stage the kept table in this thread
         return g
 
     with ThreadPoolExecutor(max_workers=1) as pool:
         pending_guests = pool.submit(guests_chain)
-        properties = transform_properties(raw["properties"], run_dir)
-        rooms = transform_rooms(raw["rooms"], properties, run_dir)
+        properties = place(transform_properties(raw["properties"], run_dir))
+        rooms = place(transform_rooms(raw["rooms"], properties, run_dir))
         guests = pending_guests.result()
-    reservations = transform_reservations(raw["reservations"], guests, properties, rooms, run_dir)
-    payments = transform_payments(raw["payments"], reservations, run_dir)
+    reservations = place(transform_reservations(raw["reservations"], guests, properties, rooms, run_dir))
+    payments = place(transform_payments(raw["payments"], reservations, run_dir))
+    for e in (rooms, reservations, payments):
+        e.clean  # noqa: B018 - every kept table is written, parents first
     return Cleaned(properties, rooms, guests, reservations, payments)
 
 

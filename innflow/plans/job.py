@@ -7,7 +7,7 @@ wrote, so a lost executor re-reads files instead of recomputing lineage.
 Layout under ``out_dir``::
 
     bronze/<table>/                   raw text + _source_file, _ingested_at, _seq
-    warehouse/<table>/                typed tables + loaded_at (parents first)
+    warehouse/<table>/                typed tables + loaded_at, _copies (written by the cleaning)
     warehouse/rejected_records/       partitioned by source_table
     checks/  tests/                   one row per check / model test
     marts/<model>/                    fct_reservations, dim_guests, agg_property_performance
@@ -56,14 +56,15 @@ def ingest(spark: SparkSession, raw_dir: str, out_dir: str, report: RunReport) -
 
 
 def load(cleaned: Cleaned, out_dir: str, report: RunReport) -> dict[str, DataFrame]:
-    """Write the warehouse tables, parents before children, then the quarantine table."""
+    """The warehouse tables were written by the cleaning (parents first, with ``loaded_at`` and the
+    ``_copies`` audit column); count them from the footers and write the quarantine table."""
     spark = cleaned.properties.classified.sparkSession
     now = F.current_timestamp().cast("timestamp_ntz")
     tables = {}
     for t in LOAD_ORDER:
-        path = f"{out_dir}/warehouse/{t}"
-        report.warehouse_rows[t] = write_with_count(cleaned[t].clean.withColumn("loaded_at", now), path, t)
-        tables[t] = spark.read.parquet(path).drop("loaded_at")
+        written = spark.read.parquet(f"{out_dir}/warehouse/{t}")
+        report.warehouse_rows[t] = written.count()
+        tables[t] = written.drop("loaded_at", "_copies")
     rejects = cleaned.rejects.select(
         F.sha2(F.concat_ws("|", "source_table", "_seq"), 256).alias("id"),
         "source_table", "raw_record", "rejection_reason", now.alias("rejected_at"),
@@ -77,7 +78,7 @@ def run_job(spark: SparkSession, raw_dir: str, out_dir: str, build_marts: bool =
     """Run every stage; raises ``GateFailed`` (marts untouched) when a warehouse check fails."""
     report = RunReport()
     bronze = ingest(spark, raw_dir, out_dir, report)
-    cleaned = transform_all(bronze, run_dir=f"{out_dir}/_stage")
+    cleaned = transform_all(bronze, run_dir=f"{out_dir}/_stage", kept_dir=f"{out_dir}/warehouse")
     tables = load(cleaned, out_dir, report)
 
     checks = warehouse_checks(tables)

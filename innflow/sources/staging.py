@@ -31,6 +31,10 @@ def new_run_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, run_dir: str, name: str) -> DataFrame:
     """Write ``df`` as parquet at ``run_dir/name`` (overwrite) and return the re-read table."""
-    path = f"{run_dir}/{name}"
+    return stage_at(df, f"{run_dir}/{name}")
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` (overwrite) and return the re-read table."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -31,16 +31,16 @@ def test_job_matches_query_path_and_is_idempotent(spark, extracts):
     assert len(rep.tests) == 40 and all(t["status"] == "PASS" for t in rep.tests)
     c = catalog.cleaned(spark, SF_SMALL)
     for t in TABLES:
-        written = spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at")
+        written = spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at", "_copies")
         assert written.exceptAll(c[t].clean).count() == 0 and c[t].clean.exceptAll(written).count() == 0
     rejects = spark.read.parquet(f"{base}/out/warehouse/rejected_records")
     assert rejects.count() == rep.rejected_rows == c.rejects.count()
     assert rejects.select("id").distinct().count() == rep.rejected_rows
-    first = {t: spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at").collect() for t in TABLES}
+    first = {t: spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at", "_copies").collect() for t in TABLES}
     rep2 = run_job(spark, f"{base}/raw", f"{base}/out")
     assert rep2.warehouse_rows == rep.warehouse_rows and rep2.mart_rows == rep.mart_rows
     for t in TABLES:
-        again = spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at").collect()
+        again = spark.read.parquet(f"{base}/out/warehouse/{t}").drop("loaded_at", "_copies").collect()
         assert sorted(map(tuple, again)) == sorted(map(tuple, first[t]))
 
 
