@@ -33,26 +33,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
-def with_membership_flag(
-    child: DataFrame,
-    child_key: str,
-    parent: DataFrame,
-    parent_key: str,
-    flag: str,
-    max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-) -> DataFrame:
-    """Add boolean ``flag``: child_key is among the parent's keys (NULL key -> false).
-
-    The parent key set is de-duplicated first, so a parent with repeated keys
-    can never multiply child rows; a left join keeps every child row once.
-    """
-    keys = parent.select(F.col(parent_key).alias("_fk")).where(F.col("_fk").isNotNull()).distinct()
-    keys = keys.withColumn(flag, F.lit(True))
-    keys = broadcast_if_small(keys, max_broadcast_rows)
-    joined = child.join(keys, child[child_key] == keys["_fk"], "left").drop("_fk")
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
 def with_unique_parent_flag(
     child: DataFrame,
     child_key: str,
@@ -61,7 +41,7 @@ def with_unique_parent_flag(
     small: bool,
     hot_key_rows: int | None = None,
 ) -> DataFrame:
-    """Like ``with_membership_flag`` for a parent key set already unique (one row per key).
+    """Add boolean ``flag``: the child's key is among the parent keys (one row per key); NULL -> false.
 
     ``small`` is the caller's measured size bound: then the keys are broadcast.
     Otherwise the join is a shuffle join with hot child keys split by salting

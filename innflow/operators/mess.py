@@ -85,7 +85,3 @@ def with_copies(df: DataFrame, seq_col: str, copies: Sequence[tuple[Column, int,
 def orphan_reference(fk: Column, when: Column, offset: int) -> Column:
     """G8: point some foreign keys past every parent key."""
     return F.when(when, fk + F.lit(offset)).otherwise(fk)
-
-
-def text(c: Column) -> Column:
-    return c.cast("string")

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REASON = "_reason"
-RAW = "_raw"
 SEQ = "_seq"
 
 
@@ -50,23 +49,6 @@ def rejected(classified: DataFrame) -> DataFrame:
     return classified.where(F.col(REASON).isNotNull())
 
 
-def raw_json(raw_col: str = RAW) -> Column:
-    """The original raw text of a row as a JSON object; missing values stay as null fields."""
-    return F.to_json(F.col(raw_col), {"ignoreNullFields": "false"})
-
-
-def reject_records(classified: DataFrame, source_table: str, with_seq: bool = False) -> DataFrame:
-    """Rejected rows in the quarantine shape: source_table, raw_record (JSON), rejection_reason."""
-    cols = [
-        F.lit(source_table).alias("source_table"),
-        raw_json().alias("raw_record"),
-        F.col(REASON).alias("rejection_reason"),
-    ]
-    if with_seq:
-        cols.append(F.col(SEQ))
-    return rejected(classified).select(*cols)
-
-
 def contract_rules(limits: dict[str, int], not_null: Sequence[str] = (), prefix: str = "") -> list[Rule]:
     """Write-time contract of the warehouse table: NOT NULL columns and VARCHAR lengths."""
     out = [Rule(f"contract_{c}_null", F.col(c).isNull(), f"{prefix}{c}") for c in not_null]

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from innflow.functions import normalize as N
 from innflow.functions import vocab as V
-from innflow.operators.dedup import COPIES, keep_first
+from innflow.operators.dedup import keep_first
 from innflow.operators.membership import BROADCAST_MAX_ROWS, with_unique_parent_flag
-from innflow.operators.quarantine import REASON, SEQ, Rule, classify, contract_rules
+from innflow.operators.quarantine import REASON, SEQ, Rule, accepted, classify, contract_rules, rejected
 from innflow.plans.roles import RAW_COLUMNS
 from innflow.sources.staging import new_run_dir, stage, stage_at
 
@@ -86,7 +86,7 @@ class EntityResult:
 
     @cached_property
     def accepted(self) -> DataFrame:
-        return self.classified.where(F.col(REASON).isNull())
+        return accepted(self.classified)
 
     @cached_property
     def deduplicated(self) -> DataFrame:
@@ -110,7 +110,7 @@ class EntityResult:
     @cached_property
     def rejects(self) -> DataFrame:
         """source_table, raw_record (original text as JSON), rejection_reason, _seq (arrival order as text)."""
-        return self.classified.where(F.col(REASON).isNotNull()).select(
+        return rejected(self.classified).select(
             F.lit(self.name).alias("source_table"),
             F.col(RAW_RECORD),
             F.col(REASON).alias("rejection_reason"),

@@ -145,7 +145,7 @@ def raw_guests(t: Tables) -> DataFrame:
         .otherwise(first).alias("first_name"),
         F.when(_m(k, 101, 7), F.lit("nan")).when(_m(k, 20, 8), F.concat(last, F.lit("\t")))
         .otherwise(last).alias("last_name"),
-        F.when(_m(k, 33, 0), F.lit("")).when(_m(k, 5, 0), F.upper(email)).otherwise(email).alias("email"),
+        mess.blank(mess.upper_some(email, _m(k, 5, 0)), _m(k, 33, 0)).alias("email"),
         mess.blank(phone, _m(k, 19, 0)).alias("phone"),
         F.when(_m(k, 50, 0) | F.col("n_name").isNull(), F.lit("")).otherwise(F.col("n_name")).alias("country"),
         (k * 8 + 4).alias("_seq"),
