@@ -5,10 +5,11 @@ against the keys that survived the parent's rules and de-duplication
 (rooms -> properties; reservations -> guests, properties, rooms;
 payments -> reservations), so a rejected parent cascades to its children.
 
-Plan shape per entity: one projection for all normalisation, one left join
-per foreign key (broadcast when the parent is proven small, else a shuffle
-join that AQE may still turn into a broadcast or split for skew), one CASE
-WHEN for the reason, and one aggregate for keep-first (partial + final).
+Plan shape per entity: staged projections for the normalisation, one left
+join per foreign key (broadcast when the parent is proven small, else a
+shuffle join with hot and NULL keys salted), one CASE WHEN for the reason,
+then one write of the classified table (the lineage cut both outputs read
+from), and one aggregate for keep-first (partial + final), also written once.
 Raw text travels through the joins; typed columns that no join needs are
 computed after them, so shuffles carry the raw row once.
 """
@@ -175,7 +176,8 @@ def _contract(name: str, not_null: Sequence[str] = ()) -> list[Rule]:
 
 def _finish(df: DataFrame, name: str, rules: list[Rule], typed: dict[str, Column],
             run_dir: str | None, extra: dict[str, Column] | None = None) -> DataFrame:
-    """Typed columns, reason, then stage: raw text + typed columns + reason + seq, written once."""
+    """Typed columns, reason, then one staged write: typed columns, reason, seq, raw key text,
+    and the raw row as JSON for rejected rows only."""
     df = df.select("*", *[c.alias(n) for n, c in typed.items() if n not in df.columns])
     df = classify(df, rules)
     if extra:
