@@ -99,6 +99,7 @@ def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key
     per_key = child.groupBy(F.col(child_key).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
     if skip_null:
         per_key = per_key.where(F.col("_ck").isNotNull())
-    parent_keys = parent.select(F.col(parent_key).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
+    # an anti join never multiplies rows, so the parent keys need no de-duplication
+    parent_keys = parent.select(F.col(parent_key).alias("_pk")).where(F.col("_pk").isNotNull())
     orphans = per_key.join(parent_keys, per_key["_ck"] == parent_keys["_pk"], "left_anti")
     return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("failing_rows"))
