@@ -1,4 +1,4 @@
-"""Parquet tables: the supplied inputs, and typed outputs written by full refresh."""
+"""The supplied parquet tables (read lazily, one reader per table)."""
 
 from __future__ import annotations
 
@@ -30,11 +30,3 @@ class Tables:
         if name not in self._cache:
             self._cache[name] = read_table(self.spark, self.sf_dir, name)
         return self._cache[name]
-
-
-def write_table(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """Full-refresh write (the whole table is replaced; re-running gives the same table)."""
-    w = df.write.mode(mode).option("compression", "zstd")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
