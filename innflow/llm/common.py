@@ -2,13 +2,31 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import innflow
 from innflow.sources.staging import new_run_dir, stage
 from innflow.sources.tables import read_table
 
-__all__ = ["cut_lineage", "documents", "read_table", "shuffle_partitions", "text_or_empty", "order_buckets"]
+__all__ = ["cut_lineage", "documents", "order_buckets", "read_table", "ship", "shuffle_partitions", "text_or_empty"]
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, as ``--py-files`` would (once per Spark application)."""
+    context = spark.sparkContext
+    if any(f.startswith("innflow-") for f in context._python_includes):
+        return
+    package = Path(innflow.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="innflow-ship-")) / "innflow-package.zip"  # the driver's own copy; Spark serves it
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(str(target))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

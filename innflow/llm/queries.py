@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints
+from innflow.llm import fingerprints, near_copies
 from innflow.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,8 +20,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(documents(spark, sf_dir))
 
 
+def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_groups(documents(spark, sf_dir), shingle_words=4, max_bits=4)
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op8_near_copies": op8_near_copies,
 }
 
 ORACLE_SQL: dict[str, str] = {}
