@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, near_copies
-from innflow.llm.common import documents
+from innflow.llm import fingerprints, near_copies, toxicity
+from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,12 +20,17 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(documents(spark, sf_dir))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_groups(documents(spark, sf_dir), shingle_words=4, max_bits=4)
 
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op5_toxicity": op5_toxicity,
     "op8_near_copies": op8_near_copies,
 }
 
