@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, near_copies, packing, toxicity
+from innflow.llm import fingerprints, near_copies, packing, privacy, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_and_edit(documents(spark, sf_dir))
 
 
+def op2_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.private_report(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
@@ -34,6 +38,7 @@ def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_privacy": op2_privacy,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
     "op8_near_copies": op8_near_copies,
