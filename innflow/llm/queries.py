@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, near_copies, packing, privacy, toxicity
+from innflow.llm import fingerprints, mixing, near_copies, packing, privacy, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.replicated(documents(spark, sf_dir))
+
+
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_groups(documents(spark, sf_dir), shingle_words=4, max_bits=4)
 
@@ -41,7 +45,10 @@ QUERIES: dict[str, Query] = {
     "op2_privacy": op2_privacy,
     "op3_packing": op3_packing,
     "op5_toxicity": op5_toxicity,
+    "op7_mixing": op7_mixing,
     "op8_near_copies": op8_near_copies,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_mixing": mixing.ORACLE,
+}
