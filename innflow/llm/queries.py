@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, mixing, near_copies, packing, privacy, toxicity
+from innflow.llm import fingerprints, mixing, near_copies, packing, privacy, repeats, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(documents(spark, sf_dir))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_privacy": op2_privacy,
     "op3_packing": op3_packing,
+    "op4_repeats": op4_repeats,
     "op5_toxicity": op5_toxicity,
     "op7_mixing": op7_mixing,
     "op8_near_copies": op8_near_copies,
