@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, mixing, near_copies, packing, privacy, repeats, toxicity
+from innflow.llm import fingerprints, mixing, near_copies, neighbours, packing, privacy, repeats, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicated(documents(spark, sf_dir))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_repeats": op4_repeats,
     "op5_toxicity": op5_toxicity,
+    "op6_neighbours": op6_neighbours,
     "op7_mixing": op7_mixing,
     "op8_near_copies": op8_near_copies,
 }
