@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, mixing, near_copies, neighbours, packing, privacy, repeats, toxicity
+from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, repeats, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_groups(documents(spark, sf_dir), shingle_words=4, max_bits=4)
 
 
+def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return masked_lm.score_documents(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_privacy": op2_privacy,
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op6_neighbours": op6_neighbours,
     "op7_mixing": op7_mixing,
     "op8_near_copies": op8_near_copies,
+    "op9_masked_lm": op9_masked_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {
