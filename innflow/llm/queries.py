@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, repeats, toxicity
+from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, repeats, revisits, toxicity
 from innflow.llm.common import documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op9_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masked_lm.score_documents(documents(spark, sf_dir))
 
 
+def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolve(revisits.capture_log(read_table(spark, sf_dir, "pages")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_privacy": op2_privacy,
@@ -63,8 +67,10 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_near_copies": op8_near_copies,
     "op9_masked_lm": op9_masked_lm,
+    "op10_revisits": op10_revisits,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_mixing": mixing.ORACLE,
+    "op10_revisits": revisits.ORACLE,
 }
