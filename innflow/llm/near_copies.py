@@ -22,8 +22,8 @@ link, because components are merged afterwards.
 
 Defined results: null or wordless text has fingerprint zero and links like
 any other; texts of one to three words have one shingle; null ``doc_id``s
-take part and a component of null ids only has a null id; repeated rows stay;
-extra columns are kept by ``near_groups`` as they are (its own columns have a ``_nd_`` prefix until the last select).
+take part and a component of null ids only has a null id; repeated rows are kept by ``near_groups``;
+extra columns stay in ``keep_one_per_group`` (columns named ``_nd_*`` are reserved).
 """
 
 from __future__ import annotations
@@ -182,12 +182,11 @@ def fingerprint_links(prints: DataFrame, fp: str = "fp", max_bits: int = MAX_BIT
     return dealt.mapInPandas(_edges_of_sorted(max_bits, group_rows), "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
-                max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row: component_id is the smallest id reachable over links, itself included."""
-    prints = with_fingerprint(docs.select(F.col(f"`{id_col}`").alias("_nd_id"), F.col(f"`{text}`").alias("_nd_text")),
-                              "_nd_text", shingle_words, keep=["_nd_id"])
-    prints = cut_lineage(prints, "prints")
+def _grouped(docs: DataFrame, id_col: str, text: str, shingle_words: int, max_bits: int) -> DataFrame:
+    """``_nd_id, _nd_hash, _nd_fp, component_id`` per row of ``docs``."""
+    keyed = docs.select(F.col(f"`{id_col}`").alias("_nd_id"), F.xxhash64(f"`{text}`").alias("_nd_hash"),
+                        F.col(f"`{text}`").alias("_nd_text"))
+    prints = cut_lineage(with_fingerprint(keyed, "_nd_text", shingle_words, keep=["_nd_id", "_nd_hash"]), "prints")
     labels = components(fingerprint_links(prints, "_nd_fp", max_bits))
     distinct = prints.groupBy("_nd_fp").agg(F.min("_nd_id").alias("_nd_low"))
     joined = distinct.join(labels, distinct["_nd_fp"] == labels["node"], "left").select(
@@ -195,13 +194,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     least = joined.groupBy(F.col("_nd_label").alias("_nd_least")).agg(F.min("_nd_low").alias("component_id"))
     member = joined.join(least, joined["_nd_label"] == least["_nd_least"]).select(
         F.col("_nd_fp").alias("_nd_of"), "component_id")
-    return prints.join(member, prints["_nd_fp"] == member["_nd_of"]).select(
+    return prints.join(member, prints["_nd_fp"] == member["_nd_of"]).drop("_nd_of")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
+                max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` per row: component_id is the smallest id reachable over links, itself included."""
+    return _grouped(docs, id_col, text, shingle_words, max_bits).select(
         F.col("_nd_id").alias(id_col), F.lower(F.lpad(F.hex("_nd_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
                        max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component (rows without an id stay)."""
-    groups = near_groups(docs, id_col, text, shingle_words, max_bits)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_nd_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_nd_gone"], "left_anti")
+    """The rows of ``docs`` that have the smallest id of their component, with all their columns.
+
+    A row without an id stays only where its whole component has none; rows with
+    equal id and text are one document and stay together.
+    """
+    groups = _grouped(docs, id_col, text, shingle_words, max_bits)
+    gone = groups.where(~F.col("_nd_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("_nd_id").alias("_nd_gone"), F.col("_nd_hash").alias("_nd_gone_hash"))
+    keyed = docs.withColumn("_nd_hash", F.xxhash64(f"`{text}`"))
+    return keyed.join(gone, keyed[id_col].eqNullSafe(gone["_nd_gone"]) & (keyed["_nd_hash"] == gone["_nd_gone_hash"]),
+                      "left_anti").drop("_nd_hash")
