@@ -148,10 +148,11 @@ def term_documents(docs: DataFrame, text: str) -> DataFrame:
 
 def disclosing_terms(base: DataFrame, n_t: DataFrame, n_docs: int) -> DataFrame:
     """``entity, term, kind``: pairs whose share reaches a threshold, with what is to be done to the term."""
-    near = base.select("id", "h", F.explode("near").alias("x")).select("id", "h", "x.entity", "x.term")
-    mentions = near.distinct()
-    n_ct = mentions.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
-    n_c = mentions.select("id", "h", "entity").distinct().groupBy(F.col("entity").alias("_e")).agg(F.count(F.lit(1)).alias("n_c"))
+    beside = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
+    n_ct = base.select(F.explode(beside).alias("x")).groupBy("x.entity", "x.term").agg(F.count(F.lit(1)).alias("n_ct"))
+    n_ct = n_ct.where(F.col("n_ct") >= SUPPORT)
+    held = F.array_distinct(F.transform("near", lambda x: x["entity"]))
+    n_c = base.select(F.explode(held).alias("_e")).groupBy("_e").agg(F.count(F.lit(1)).alias("n_c"))
     pairs = n_ct.join(n_c, n_ct["entity"] == n_c["_e"]).withColumn("_th", F.xxhash64("term"))
     pairs = pairs.join(n_t, pairs["_th"] == n_t["term_hash"], "left")
     seen = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct")).cast("double")
