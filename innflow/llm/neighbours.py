@@ -230,7 +230,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     if few.limit(1).count() and total:
         blocks = -(-total // bucket_rows)
         by_block = index.select(F.lit(0).alias("tab"), F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("bucket"), "id", "vec")
-        to_all = few.select(F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint").alias("bucket"),
+        to_all = few.select(F.lit(0).alias("tab"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("bucket"),
                             "id", "vec")
         found = found.unionByName(_matched(by_block, to_all, k + 1, bucket_rows))
     best = _top(found, k + 1).select(F.col("query").alias("_c"), F.col("id").alias("vec_id"), "score")
