@@ -42,7 +42,7 @@ from innflow.llm.wordhash import run_hashes, window_argmin, word_hashes
 
 WINDOW = 50
 PREFIX = 8
-GROUP_ROWS = 4_000
+GROUP_ROWS = 500
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -42,7 +42,7 @@ def _rows():
     return rows
 
 
-@pytest.mark.parametrize("group_rows", [4_000, 2])
+@pytest.mark.parametrize("group_rows", [500, 2])
 def test_against_brute_force(spark, monkeypatch, group_rows):
     rows = _rows()
     monkeypatch.setattr(repeats.repeated_ranges, "__defaults__", (50, 8, group_rows))
