@@ -11,6 +11,7 @@ JVM instead of hundreds of small object constructions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -22,7 +23,7 @@ from innflow.functions import vocab
 # fraction), optional exponent.  Spark's own cast alone also takes '1d', 'inf'.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^[+-]?\d+$"
-_LONG_MIN, _LONG_MAX = -(2**63), 2**63 - 1
+_EXACT = "DECIMAL(38,18)"
 
 
 def lit_sql(s: str) -> str:
@@ -89,14 +90,16 @@ def number_text(c: str, stripped: bool = False) -> Column:
 def to_long(c: str, stripped: bool = False, number: str | None = None) -> Column:
     """Text -> bigint.  '7', ' 7 ', '+7', '007', '7.0', '7e0' -> 7; '1.5', 'inf', '1,000' -> NULL.
 
+    Text with a fraction or exponent goes through a decimal, so 9007199254740993.0 keeps its last digit.
+
     ``number`` may name a column holding ``number_text(c)`` computed in an earlier projection.
     """
     s = _text(c, stripped)
-    d = _ref(number) if number else number_sql(s, stripped=True)
+    exact = f"try_cast({s} AS {_EXACT})"
+    gate = f"{_ref(number)} IS NOT NULL" if number else f"{s} RLIKE {lit_sql(_NUMBER)}"
     return F.expr(
         f"(CASE WHEN {s} RLIKE {lit_sql(_INTEGER)} THEN try_cast({s} AS BIGINT) "
-        f"WHEN {d} = floor({d}) AND {d} >= {float(_LONG_MIN)!r} AND {d} < {float(_LONG_MAX)!r} "
-        f"THEN CAST({d} AS BIGINT) END)"
+        f"WHEN {gate} AND {exact} = floor({exact}) THEN try_cast({exact} AS BIGINT) END)"
     )
 
 
@@ -122,64 +125,80 @@ def std_status(c: str, aliases: Mapping[str, str], stripped: bool = False) -> Co
     return F.expr(f"coalesce(try_element_at(map({pairs}), {key}), {lit_sql(vocab.UNKNOWN_STATUS)})")
 
 
-# Pattern letters -> a permissive regex of the text they can read.  A format is
-# only tried on text of its shape, so a string costs one parse attempt instead
-# of one failed attempt (a thrown and caught exception) per earlier format.
-_SHAPE_TOKENS = (
-    ("yyyyMMdd", r"\d{8}"), ("yyyy", r"\d{4,10}"), ("MMMM", r"[A-Za-z]+"), ("MMM", r"[A-Za-z]{3}"),
-    ("MM", r"\d{2}"), ("dd", r"\d{2}"), ("XXX", r"(Z|[+-]\d{2}:\d{2})"), ("'T'", "T"),
-    ("M", r"\d{1,2}"), ("d", r"\d{1,2}"), ("H", r"\d{1,2}"), ("h", r"\d{1,2}"), ("m", r"\d{1,2}"),
-    ("s", r"\d{1,2}"), ("S", r"\d{1,9}"), ("a", r"[AaPp][Mm]"),
+# --- dates and timestamps --------------------------------------------------------
+# All listed formats of a column are one regular expression: an alternative per format, in order, that
+# spells out valid months and days, so the first alternative that matches is the first format that can
+# parse the text.  One replacement rewrites the text to `yyyy-M-d time|am/pm|offset`, one cast parses it.
+
+_MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+           "november", "december")
+_MONTH_NAME = r"\b(" + "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in _MONTHS) + r")\b"
+_CLOCK12 = r"(?:0?[1-9]|1[0-2]):\d{1,2}"
+_CLOCK24 = r"\d{1,2}:\d{1,2}"
+# pattern text -> (what it captures: Year, Month, Day, Time, AM/PM, Offset), its regular expression
+_FORMAT_PARTS = (
+    ("yyyyMMdd", "YMD", r"(\d{4})(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])"), ("yyyy", "Y", r"(\d{4})"),
+    ("MMMM", "M", r"#(\d{1,2})"), ("MMM", "M", r"#(\d{1,2})"), ("M", "M", r"(0?[1-9]|1[0-2])"),
+    ("d", "D", r"(0?[1-9]|[12]\d|3[01])"), ("H:m:s.S", "T", rf"({_CLOCK24}:\d{{1,2}}\.\d{{1,9}})"),
+    ("H:m:s", "T", rf"({_CLOCK24}:\d{{1,2}})"), ("H:m", "T", rf"({_CLOCK24})"),
+    ("h:m:s a", "TA", rf"({_CLOCK12}:\d{{1,2}}) ([ap]m)"), ("h:m a", "TA", rf"({_CLOCK12}) ([ap]m)"),
+    ("XXX", "O", r"(z|[+-]\d{2}:?\d{2})"), ("'T'", "", "t"),
 )
 
 
-def format_shape(fmt: str) -> str:
-    """Anchored regex that every text parsed by Spark pattern ``fmt`` matches."""
-    out, i = [], 0
+def _format_regex(fmt: str) -> tuple[str, str]:
+    """The regular expression of one pattern, and what its groups capture, in order."""
+    out, groups, i = [], "", 0
     while i < len(fmt):
-        for token, rx in _SHAPE_TOKENS:
+        for token, captured, rx in _FORMAT_PARTS:
             if fmt.startswith(token, i):
                 out.append(rx)
+                groups += captured
                 i += len(token)
                 break
         else:
-            ch = fmt[i]
-            out.append(r"\s+" if ch == " " else ("\\" + ch if not ch.isalnum() else ch))
+            out.append(" +" if fmt[i] == " " else re.escape(fmt[i]))
             i += 1
-    return "^" + "".join(out) + "$"
-
+    return "".join(out), groups
 
-def _title_month_sql(s: str) -> str:
-    """'15-JAN-2025' / '15-jan-2025' -> '15-Jan-2025' (month-name patterns are case-sensitive)."""
-    pos = f"regexp_instr({s}, '[A-Za-z]')"
-    return (f"(CASE WHEN {pos} > 0 THEN overlay(lower({s}) PLACING upper(substring(lower({s}), {pos}, 1)) "
-            f"FROM {pos} FOR 1) ELSE {s} END)")
 
+def formats_regex(formats: Iterable[str]) -> tuple[str, str]:
+    """One anchored expression of all patterns, and the replacement that rewrites a match (groups of other patterns are empty)."""
+    parts = [_format_regex(f) for f in formats]
+    groups = "".join(g for _, g in parts)
+    refs = {k: "".join(f"${n}" for n, g in enumerate(groups, start=1) if g == k) for k in "YMDTAO"}
+    return ("^(?:" + "|".join(rx for rx, _ in parts) + ")$",
+            "@{Y}-{M}-{D} {T}|{A}|{O}".format(**refs))
 
-def _wall_clock_sql(text: str, fmt: str) -> str:
-    """Parse ``text`` with ``fmt`` into a timestamp without zone, independent of the session time zone.
 
-    The text is read as UTC wall-clock time (an explicit ``+00:00`` is appended
-    unless the pattern has its own offset, which is then converted to UTC) and
-    the instant's epoch microseconds are added to the zone-less epoch, so no
-    daylight-saving gap or overlap of the session zone can move the value.
-    """
-    if "X" in fmt:
-        instant = f"try_to_timestamp({text}, {lit_sql(fmt)})"
-    else:
-        instant = f"try_to_timestamp(concat({text}, ' +00:00'), {lit_sql(fmt + ' XXX')})"
-    return f"timestampadd(MICROSECOND, unix_micros({instant}), TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+def _month_numbers_sql(low: str) -> str:
+    """Lower-case text with an English month name, short or full, replaced by `#` and its number."""
+    name = f"substring(regexp_extract({low}, {lit_sql(_MONTH_NAME)}, 1), 1, 3)"
+    short = "".join(m[:3] for m in _MONTHS)
+    number = f"CAST((locate({name}, '{short}') + 2) / 3 AS INT)"
+    return f"(CASE WHEN {low} RLIKE '[a-z]{{3}}' THEN regexp_replace({low}, {lit_sql(_MONTH_NAME)}, concat('#', {number})) ELSE {low} END)"
 
 
 def parse_with_formats(c: str, formats: Iterable[str], stripped: bool = False) -> Column:
-    """First format that parses wins; result is timestamp without zone."""
-    s = _text(c, stripped)
-    titled = _title_month_sql(s)
-    tries = []
-    for fmt in formats:
-        src = titled if "MMM" in fmt else s
-        tries.append(f"CASE WHEN {s} RLIKE {lit_sql(format_shape(fmt))} THEN {_wall_clock_sql(src, fmt)} END")
-    return F.expr(f"(CASE WHEN {s} <> '' THEN coalesce({', '.join(tries)}) END)")
+    """First format that parses wins; result is timestamp without zone (an explicit offset is taken off, giving UTC).
+
+    The cast reads wall-clock fields, so the session time zone plays no part.
+    """
+    rx, rewrite = formats_regex(formats)
+    found = f"regexp_replace({_month_numbers_sql(f'lower({_text(c, stripped)})')}, {lit_sql(rx)}, {lit_sql(rewrite)})"
+    # z: '@date time|am or pm|offset', or the text itself where no format matches
+    when = "try_cast(substring(z, 2, instr(z, '|') - 2) AS TIMESTAMP_NTZ)"
+    half = "split_part(z, '|', 2)"
+    hours = f"(CASE WHEN {half} = 'pm' AND hour(t) < 12 THEN 12 WHEN {half} = 'am' AND hour(t) = 12 THEN -12 ELSE 0 END)"
+    offset = "replace(split_part(z, '|', 3), ':', '')"
+    minutes = (f"(CASE WHEN length({offset}) = 5 THEN CAST(concat(left({offset}, 1), '1') AS INT) * "
+               f"(CAST(substring({offset}, 2, 2) AS INT) * 60 + CAST(substring({offset}, 4, 2) AS INT)) ELSE 0 END)")
+    shifted = (f"(CASE WHEN {half} = '' AND {offset} = '' THEN t ELSE "
+               f"timestampadd(MINUTE, 60 * {hours} - {minutes}, t) END)")
+    # transform over a one-element array binds a value once, where plain text would repeat its expression
+    timed = f"transform(array({when}), t -> {shifted})[0]"
+    own = f"substring({_text(c, stripped)}, 1, 1) <> '@'"  # not a text that only looks rewritten
+    return F.expr(f"(CASE WHEN {own} THEN transform(array({found}), z -> CASE WHEN z LIKE '@%' THEN {timed} END)[0] END)")
 
 
 def parse_date(c: str, fallback: bool = True, stripped: bool = False) -> Column:

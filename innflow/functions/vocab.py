@@ -39,6 +39,10 @@ TIMESTAMP_FORMATS = ("yyyy-M-d H:m:s", "d/M/yyyy H:m", "M-d-yyyy h:m a", "yyyy-M
 COMMON_FALLBACK_FORMATS = (
     "d-M-yyyy", "d-MMMM-yyyy", "yyyyMMdd", "MMMM d, yyyy", "yyyy-M-d'T'H:m:s", "yyyy-M-d H:m",
     "yyyy-M-d H:m:s.S", "yyyy-M-d'T'H:m:sXXX", "yyyy-M-d H:m:sXXX",
+    "yyyy-M-d'T'H:m:s.S", "yyyy-M-d'T'H:m:s.SXXX", "yyyy-M-d H:m:s.SXXX", "yyyy-M-d'T'H:m", "yyyy-M-d'T'H:mXXX", "yyyy-M-d H:mXXX",
+    "d MMM yyyy", "d MMM yyyy H:m", "d MMM yyyy H:m:s", "MMM d yyyy", "MMM d, yyyy H:m", "MMM d, yyyy H:m:s",
+    "d.M.yyyy", "d.M.yyyy H:m", "d.M.yyyy H:m:s", "yyyy.M.d", "yyyy/M/d H:m", "yyyy/M/d H:m:s",
+    "d-MMM-yyyy H:m", "d-MMM-yyyy H:m:s", "M/d/yyyy h:m a", "M/d/yyyy h:m:s a", "d/M/yyyy h:m a",
 )
 DATE_FALLBACK_FORMATS = (
     ("M/d/yyyy",) + COMMON_FALLBACK_FORMATS
@@ -83,4 +87,5 @@ VARCHAR_LIMITS = {
     "payments": {"payment_id": 30, "reservation_id": 30, "payment_method": 30, "payment_status": 20},
 }
 SMALLINT_MAX = 32767
+INTEGER_MIN, INTEGER_MAX = -2147483648, 2147483647
 AMOUNT_TYPE = "decimal(10,2)"

@@ -171,7 +171,10 @@ def _spread(raw: DataFrame) -> DataFrame:
 
 
 def _contract(name: str, not_null: Sequence[str] = ()) -> list[Rule]:
-    return contract_rules(V.VARCHAR_LIMITS[name], not_null, prefix=V.CONTRACT_PREFIX)
+    """NOT NULL and length rules, then the INTEGER range of every id column (all bigint columns of the typed table)."""
+    ids = [c for c, t in CLEAN_SCHEMAS[name] if t == "bigint"]
+    return contract_rules(V.VARCHAR_LIMITS[name], not_null, prefix=V.CONTRACT_PREFIX) + [
+        Rule(f"C_{c}", ~F.col(c).between(V.INTEGER_MIN, V.INTEGER_MAX), V.CONTRACT_PREFIX + c) for c in ids]
 
 
 def _finish(df: DataFrame, name: str, rules: list[Rule], typed: dict[str, Column],

@@ -72,6 +72,9 @@ DATE_CASES = [
     ("2025-01-15T10:00:00", dt.datetime(2025, 1, 15, 10, 0)),
     ("2025-02-30", None), ("31/02/2025", None), ("garbage", None), ("12", None), ("15/01/25", None),
     ("2300-01-01", dt.datetime(2300, 1, 1)),
+    ("15 Jan 2025", dt.datetime(2025, 1, 15)), ("Jan 15, 2025", dt.datetime(2025, 1, 15)), ("15.01.2025", dt.datetime(2025, 1, 15)),
+    ("2025.01.15", dt.datetime(2025, 1, 15)), ("2025-01-15T10:00", dt.datetime(2025, 1, 15, 10, 0)), ("15-Foo-2025", None),
+    ("@2025-01-15 |x|", None), ("2025", None), ("may 5, 2025", dt.datetime(2025, 5, 5)), ("2025-01-15 25:00", None),
 ]
 
 
@@ -88,7 +91,14 @@ TS_CASES = [
     ("05/06/2025", dt.datetime(2025, 5, 6)),      # month first in a timestamp column
     ("15/01/2025 09:30:15", dt.datetime(2025, 1, 15, 9, 30, 15)),
     ("15-Jan-2025", dt.datetime(2025, 1, 15)),
-    ("01-15-2025 13:30 PM", None),
+    ("01-15-2025 13:30 PM", None), ("01-15-2025 12:05 AM", dt.datetime(2025, 1, 15, 0, 5)),
+    ("2025-01-15 10:00:00.123", dt.datetime(2025, 1, 15, 10, 0, 0, 123000)),
+    ("2025-01-15 10:00:00.123456", dt.datetime(2025, 1, 15, 10, 0, 0, 123456)),
+    ("2025-01-15 10:00:00.123456789", dt.datetime(2025, 1, 15, 10, 0, 0, 123456)),
+    ("2025-01-15T10:00:00.123Z", dt.datetime(2025, 1, 15, 10, 0, 0, 123000)),
+    ("2025-01-15T10:00:00+0200", dt.datetime(2025, 1, 15, 8, 0)), ("2025-01-15 10:00:00-05:30", dt.datetime(2025, 1, 15, 15, 30)),
+    ("2025/01/15 10:00:00", dt.datetime(2025, 1, 15, 10, 0)), ("15-Jan-2025 10:00:00", dt.datetime(2025, 1, 15, 10, 0)),
+    ("01/15/2025 11:30 PM", dt.datetime(2025, 1, 15, 23, 30)), ("15 January 2025 10:00", dt.datetime(2025, 1, 15, 10, 0)),
     ("n/a", None),
 ]
 
@@ -101,7 +111,7 @@ def test_timestamp_edge_cases(spark, raw, expected):
 LONG_CASES = [
     ("1", 1), (" 7 ", 7), ("\t7 ", 7), ("1.0", 1), ("1e3", 1000), ("007", 7), ("+5", 5),
     ("1.5", None), ("inf", None), ("1,000", None), ("0x10", None), ("abc", None), ("", None), (None, None),
-    ("123456789012345678901", None), ("-3", -3),
+    ("123456789012345678901", None), ("-3", -3), ("9007199254740993.0", 9007199254740993), ("1e30", None), ("-2.50e1", -25),
 ]
 
 

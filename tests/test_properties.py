@@ -1,7 +1,7 @@
 """Property test: Spark normalisation equals a plain-Python statement of the rules on random text."""
 
-import math
 import re
+from decimal import Context, Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from innflow.functions import normalize as N
 
 _NUM = re.compile(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
+_WIDE = Context(prec=60)
 _INT = re.compile(r"^[+-]?\d+$")
 
 
@@ -27,8 +28,8 @@ def py_long(s):
         v = int(t)
         return v if -(2**63) <= v < 2**63 else None
     if _NUM.match(t):
-        d = float(t)
-        if math.isfinite(d) and d == math.floor(d) and -(2**63) <= d < 2**63:
+        d = Decimal(t)
+        if abs(d) < Decimal(10) ** 20 and d == d.quantize(Decimal(1), context=_WIDE) and -(2**63) <= d < 2**63:
             return int(d)
     return None
 
