@@ -191,29 +191,33 @@ def private_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
                         all_spans(F.col("base"), F.col("added")).alias("spans"))
 
 
-def masked(text: str, spans: str) -> str:
-    """The text with every span replaced by its kind's mask; a span that overlaps one before it extends that one's reach."""
-    out, at = [], 0
-    for a, b, kind in sorted(((int(a), int(b), k) for k, a, b in (s.split(":") for s in spans.split(","))),
-                             key=lambda s: (s[0], -s[1])):
-        if a >= at:
-            out += [text[at:a], MASKS[kind]]
-        at = max(at, b)
-    return "".join(out) + text[at:]
+def masked(text: Column, spans: Column) -> Column:
+    """The text with every span of the list replaced by its kind's mask; a span that overlaps one before it extends that one's reach.
+
+    Native, so texts without spans (null list) pass through untouched and none is sent to Python.
+    """
+    masks = F.create_map(*[F.lit(x) for kv in MASKS.items() for x in kv])
+    part = lambda s, n: F.split_part(s, F.lit(":"), F.lit(n))
+    listed = F.transform(F.split(spans, ","), lambda s: F.struct(
+        part(s, 2).cast("int").alias("a"), (-part(s, 3).cast("int")).alias("minus_b"), masks[part(s, 1)].alias("mask")))
+
+    def step(acc: Column, s: Column) -> Column:
+        fresh = s["a"] >= acc["at"]
+        out = F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["a"] - acc["at"]), s["mask"])).otherwise(acc["out"])
+        return F.struct(out.alias("out"), F.greatest(acc["at"], -s["minus_b"]).alias("at"))
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    done = F.aggregate(F.array_sort(listed), start, step,
+                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.lit(2**31 - 1))))
+    return F.when(spans.isNull(), text).otherwise(done)
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the spans of every text masked; texts without spans are unchanged."""
-    ship(docs.sparkSession)
     found = find_private(docs, id_col, text)
     spans = found.select(F.col("id").alias("_pv_id"), F.col("h").alias("_pv_h"),
                          all_spans(F.col("base"), F.col("added")).alias("_pv_spans"))
     spans = spans.where("_pv_spans <> ''").dropDuplicates(["_pv_id", "_pv_h"])
-
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series, where: pd.Series) -> pd.Series:
-        return pd.Series([t if not w else masked(t, w) for t, w in zip(texts, where, strict=True)], dtype=object)
-
     keyed = docs.withColumn("_pv_of", F.xxhash64(text))
     joined = keyed.join(spans, keyed[id_col].cast("bigint").eqNullSafe(spans["_pv_id"]) & (keyed["_pv_of"] == spans["_pv_h"]), "left")
-    return joined.withColumn(text, mask(F.col(text), F.col("_pv_spans"))).select(*[f"`{c}`" for c in docs.columns])
+    return joined.withColumn(text, masked(F.col(text), F.col("_pv_spans"))).select(*[f"`{c}`" for c in docs.columns])
