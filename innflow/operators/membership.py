@@ -1,90 +1,95 @@
 """Foreign-key membership: flags for the quarantine rules, orphan counts for the checks.
 
-Broadcast is used only behind a measured bound: ``broadcast_if_small`` counts
-at most ``max_rows + 1`` rows of the parent keys (a LIMIT job that stops
-early) and hints a broadcast only when the bound holds; otherwise the join
-stays a shuffle join, where AQE may still pick a broadcast from real shuffle
-sizes and splits skewed child partitions (a hot child key or the NULL group).
+``with_parent_flags`` marks, for several references of one child at once,
+whether the key is among its parent's keys (one row per key):
+
+* a parent whose measured row count is at most ``BROADCAST_MAX_ROWS`` is broadcast;
+* for the others the child is written once and read back.  One aggregate
+  over all their keys (map-side combined) finds hot keys; rows without a key never
+  reach that join; a hot key's rows are split by a hash of their arrival
+  order over ceil(rows / ``HOT_KEY_ROWS``) parts and its parent row is repeated for each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innflow.sources.staging import new_run_dir, stage
+
 # Parent key sets up to this many rows are broadcast (a key is 8-40 bytes,
 # so the bound keeps the hashed relation far below the 8 GB broadcast limit).
 BROADCAST_MAX_ROWS = 2_000_000
 # In a shuffle join, a child key with more rows than this is split into
-# ceil(rows / HOT_KEY_ROWS) salted buckets, so no task receives more than
-# about this many rows of one key.
+# ceil(rows / HOT_KEY_ROWS) parts, so no task receives more than about this many rows of one key.
 HOT_KEY_ROWS = 2_000_000
-# Child rows with a NULL key never match; they are spread over this many salt
-# values so the NULL group does not land in one shuffle partition.
-NULL_KEY_SPREAD = 1024
+
+
+@dataclass(frozen=True)
+class Reference:
+    """A child column, the one-column frame of its parent's keys, the flag to add, and the parent's measured smallness."""
+
+    key: str
+    parent_keys: DataFrame
+    flag: str
+    small: bool
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (a count: no columns are read, one row per task is exchanged)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
-def with_unique_parent_flag(
-    child: DataFrame,
-    child_key: str,
-    parent_keys: DataFrame,
-    flag: str,
-    small: bool,
-    hot_key_rows: int | None = None,
-) -> DataFrame:
-    """Add boolean ``flag``: the child's key is among the parent keys (one row per key); NULL -> false.
-
-    ``small`` is the caller's measured size bound: then the keys are broadcast.
-    Otherwise the join is a shuffle join with hot child keys split by salting
-    (``with_salted_parent_flag``), so one key holding a third of all child rows
-    is spread over many tasks instead of one.
-    """
-    keys = parent_keys.select(F.col(parent_keys.columns[0]).alias("_fk")).withColumn(flag, F.lit(True))
-    if not small:
-        return with_salted_parent_flag(child, child_key, keys, flag, hot_key_rows or HOT_KEY_ROWS)
-    joined = child.join(F.broadcast(keys), child[child_key] == F.col("_fk"), "left").drop("_fk")
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
-def with_salted_parent_flag(child: DataFrame, child_key: str, keys: DataFrame, flag: str,
-                            hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Shuffle join of child rows to unique parent keys (``_fk``, ``flag``) with hot keys salted.
-
-    1. Child key counts are pre-aggregated (map-side combine); keys with more
-       than ``hot_key_rows`` rows are hot.  There are at most
-       rows / ``hot_key_rows`` of them, which bounds the broadcast of that set.
-    2. A hot child row gets a salt in [0, ceil(n / hot_key_rows)) from a hash
-       of its arrival order; a NULL-key row (never a match) gets a salt in
-       [0, NULL_KEY_SPREAD); other rows get salt 0.
-    3. Each hot parent key is repeated once per salt value; the join is on
-       (key, salt), so every child row still meets its parent key exactly once.
-    """
-    seq = "_seq" if "_seq" in child.columns else None
-    counts = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("_hk")).agg(
+def with_parent_flags(child: DataFrame, references: Sequence[Reference], hot_key_rows: int | None = None,
+                      run_dir: str | None = None) -> DataFrame:
+    """``child`` with a boolean column per reference; a NULL key is not among the keys."""
+    columns = child.columns
+    large = [r for r in references if not r.small]
+    if large:
+        run_dir = run_dir or new_run_dir(child.sparkSession)
+        name = "flagged_" + "_".join(r.flag.strip("_") for r in large)
+        child = stage(child, run_dir, name)
+        hot = _hot_keys(child, large, hot_key_rows or HOT_KEY_ROWS, run_dir, name)
+    for r in references:
+        keys = r.parent_keys.select(F.col(r.parent_keys.columns[0]).alias("_fk")).withColumn(r.flag, F.lit(True))
+        if r.small:
+            child = child.join(F.broadcast(keys), child[r.key] == F.col("_fk"), "left").drop("_fk")
+        else:
+            child = _shuffled_flag(child, r, keys, hot)
+    return child.select(*columns, *[F.coalesce(F.col(r.flag), F.lit(False)).alias(r.flag) for r in references])
+
+
+def _hot_keys(child: DataFrame, references: Sequence[Reference], limit: int, run_dir: str, name: str) -> DataFrame:
+    """``_ref, _hk, _buckets``: keys with more than ``limit`` rows, over all references in one pass."""
+    pairs = F.array(*[F.struct(F.lit(r.key).alias("_ref"), F.col(r.key).cast("string").alias("_hk")) for r in references])
+    counts = child.select(F.explode(pairs).alias("p")).select("p.*").where("_hk is not null").groupBy("_ref", "_hk").agg(
         F.count(F.lit(1)).alias("_n"))
-    hot = counts.where(F.col("_n") > hot_key_rows).select(
-        "_hk", F.ceil(F.col("_n") / F.lit(hot_key_rows)).cast("int").alias("_buckets"))
-    hot = F.broadcast(hot)
-    spread = F.xxhash64(F.col(seq)) if seq else F.xxhash64(*[F.col(c) for c in child.columns])
-    salted = child.join(hot, child[child_key] == F.col("_hk"), "left").select(
-        *[child[c] for c in child.columns],
-        F.when(F.col("_buckets").isNotNull(), F.pmod(spread, F.col("_buckets")))
-        .when(child[child_key].isNull(), F.pmod(spread, F.lit(NULL_KEY_SPREAD)))
-        .otherwise(F.lit(0)).cast("int").alias("_salt"),
-    )
-    parent = keys.join(hot, F.col("_fk") == F.col("_hk"), "left").select(
-        "_fk", flag, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_buckets"), F.lit(1)) - 1)).alias("_psalt"))
-    joined = salted.join(parent, (salted[child_key] == F.col("_fk")) & (F.col("_salt") == F.col("_psalt")), "left")
-    return joined.drop("_fk", "_psalt", "_salt").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    hot = counts.where(F.col("_n") > limit).select("_ref", "_hk", F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("_buckets"))
+    return stage(hot, run_dir, name + "_hot")
+
+
+def _shuffled_flag(child: DataFrame, r: Reference, keys: DataFrame, hot: DataFrame) -> DataFrame:
+    columns = child.columns
+    with_key, without = child.where(F.col(r.key).isNotNull()), child.where(F.col(r.key).isNull())
+    mine = hot.where(F.col("_ref") == r.key).select("_hk", "_buckets")
+    if mine.limit(1).count() == 0:
+        joined = with_key.join(keys, with_key[r.key] == keys["_fk"], "left")
+    else:
+        mine = broadcast_if_small(mine)
+        spread = F.xxhash64("_seq") if "_seq" in columns else F.xxhash64(*columns)
+        salted = with_key.join(mine, with_key[r.key].cast("string") == mine["_hk"], "left").select(
+            *columns, F.pmod(spread, F.coalesce("_buckets", F.lit(1))).cast("int").alias("_salt"))
+        parent = keys.join(mine, keys["_fk"].cast("string") == mine["_hk"], "left").select(
+            "_fk", r.flag, F.explode(F.sequence(F.lit(0), F.coalesce("_buckets", F.lit(1)) - 1)).alias("_part"))
+        joined = salted.join(parent, (salted[r.key] == parent["_fk"]) & (salted["_salt"] == parent["_part"]), "left")
+    return joined.select(*columns, r.flag).unionByName(without.withColumn(r.flag, F.lit(False)))
 
 
 def orphan_count(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,

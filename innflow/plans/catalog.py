@@ -7,7 +7,6 @@ from those staged tables, so the work of every query grows with the data.
 
 from __future__ import annotations
 
-import os
 import threading
 from collections.abc import Callable
 
@@ -16,13 +15,17 @@ from pyspark.sql import functions as F
 
 from innflow.functions import normalize as N
 from innflow.operators.dedup import COPIES, duplicate_keys
-from innflow.operators.membership import orphan_count, with_unique_parent_flag
+from innflow.operators.membership import Reference, orphan_count, with_parent_flags
 from innflow.operators.quarantine import REASON, reject_summary
 from innflow.plans import marts as M
+from innflow.plans.checks import MODEL_KEYS, spoiled
 from innflow.plans.checks import contract_tests as _contract_tests
 from innflow.plans.checks import warehouse_checks as _warehouse_checks
 from innflow.plans.entities import KEYS, LOAD_ORDER, Cleaned, transform_all
-from innflow.plans.roles import RAW_BUILDERS, raw_entities
+from innflow.plans.job import run_job
+from innflow.plans.roles import RAW_BUILDERS, raw_entities, write_raw_extracts
+from innflow.sources.files import file_stamp
+from innflow.sources.staging import new_run_dir, stage
 from innflow.sources.tables import Tables
 
 _LOCK = threading.Lock()
@@ -31,13 +34,9 @@ _RAW: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _memo_key(spark: SparkSession, sf_dir: str) -> tuple:
-    path = os.path.abspath(sf_dir)
-    stamp = tuple(
-        os.path.getmtime(os.path.join(path, f"{n}.parquet")) if os.path.exists(os.path.join(path, f"{n}.parquet"))
-        else 0.0
-        for n in ("nation", "region", "customer", "supplier", "orders", "lineitem")
-    )
-    return (spark.sparkContext.applicationId, id(spark), path, stamp)
+    """Session, folder, and size and time of the supplied tables as their file system reports them (any scheme)."""
+    stamps = tuple(file_stamp(spark, f"{sf_dir}/{n}.parquet") for n in ("nation", "region", "customer", "supplier", "orders", "lineitem"))
+    return (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), stamps)
 
 
 def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -178,30 +177,58 @@ def _clean(name):
 
 # --- 2.4 joins -------------------------------------------------------------------
 
-def fk_rooms_property(spark, sf_dir):
+def _flagged(child: DataFrame, parents, large: bool = False) -> DataFrame:
+    """Membership flags of (parent, key, flag); ``large`` takes the path of parents too large to broadcast, with keys of
+    more than ``FORCED_HOT_ROWS`` rows split, whatever the sizes are."""
+    references = [Reference(key, parent.clean.select(key), flag, not large and parent.keys_small) for parent, key, flag in parents]
+    return with_parent_flags(child, references, hot_key_rows=FORCED_HOT_ROWS if large else None)
+
+
+FORCED_HOT_ROWS = 50
+
+
+def _rooms_refs(spark, sf_dir, large=False):
     c = cleaned(spark, sf_dir)
     rooms = c.rooms.classified.select(F.col("_r_room_id").alias("raw_room_id"), "property_id", "_seq")
-    flagged = with_unique_parent_flag(rooms, "property_id", c.properties.clean.select("property_id"),
-                                      "property_found", c.properties.keys_small)
-    return flagged.select("raw_room_id", "property_id", "property_found")
+    return _flagged(rooms, [(c.properties, "property_id", "property_found")], large).drop("_seq")
 
 
-def fk_reservations_any(spark, sf_dir):
+def _reservations_refs(spark, sf_dir, large=False):
     c = cleaned(spark, sf_dir)
     r = c.reservations.classified.select(
         F.col("_r_reservation_id").alias("raw_reservation_id"), "guest_id", "property_id", "room_id", "_seq")
-    for parent, key, flag in ((c.guests, "guest_id", "guest_found"), (c.properties, "property_id", "property_found"),
-                              (c.rooms, "room_id", "room_found")):
-        r = with_unique_parent_flag(r, key, parent.clean.select(key), flag, parent.keys_small)
-    return r.drop("_seq")
+    return _flagged(r, [(c.guests, "guest_id", "guest_found"), (c.properties, "property_id", "property_found"),
+                        (c.rooms, "room_id", "room_found")], large).drop("_seq")
 
 
-def fk_payments_reservation(spark, sf_dir):
+def _payments_refs(spark, sf_dir, large=False):
     c = cleaned(spark, sf_dir)
     p = c.payments.classified.select(F.col("_r_payment_id").alias("raw_payment_id"), "reservation_id", "_seq")
-    flagged = with_unique_parent_flag(p, "reservation_id", c.reservations.clean.select("reservation_id"),
-                                      "reservation_found", c.reservations.keys_small)
-    return flagged.select("raw_payment_id", "reservation_id", "reservation_found")
+    return _flagged(p, [(c.reservations, "reservation_id", "reservation_found")], large).drop("_seq")
+
+
+def fk_rooms_property(spark, sf_dir):
+    return _rooms_refs(spark, sf_dir)
+
+
+def fk_reservations_any(spark, sf_dir):
+    return _reservations_refs(spark, sf_dir)
+
+
+def fk_payments_reservation(spark, sf_dir):
+    return _payments_refs(spark, sf_dir)
+
+
+def fk_rooms_property_large(spark, sf_dir):
+    return _rooms_refs(spark, sf_dir, large=True)
+
+
+def fk_reservations_any_large(spark, sf_dir):
+    return _reservations_refs(spark, sf_dir, large=True)
+
+
+def fk_payments_reservation_large(spark, sf_dir):
+    return _payments_refs(spark, sf_dir, large=True)
 
 
 def orphan_counts(spark, sf_dir):
@@ -253,22 +280,18 @@ def duplicate_counts(spark, sf_dir):
     """Row balance per table: raw = rejected + accepted, accepted = kept + duplicates_dropped."""
     c = cleaned(spark, sf_dir)
     out = None
+    zero = F.lit(0).cast("bigint")
     for n in LOAD_ORDER:
-        e = c[n]
-        bal = e.classified.agg(
-            F.count(F.lit(1)).alias("raw_rows"),
-            F.count_if(F.col(REASON).isNotNull()).alias("rejected_rows"),
-        ).withColumn("table_name", F.lit(n))
-        kept = e.deduplicated.agg(
-            F.sum(COPIES).cast("bigint").alias("accepted_rows"),
-            F.count(F.lit(1)).alias("kept_rows"),
-        ).withColumn("table_name", F.lit(n))
-        part = bal.join(kept, "table_name").select(
-            "table_name", "raw_rows", "rejected_rows",
-            F.coalesce("accepted_rows", F.lit(0).cast("bigint")).alias("accepted_rows"), "kept_rows",
-            (F.coalesce("accepted_rows", F.lit(0).cast("bigint")) - F.col("kept_rows")).alias("duplicates_dropped"))
-        out = part if out is None else out.unionByName(part)
-    return out
+        raw_rows = c[n].classified.select(
+            F.lit(n).alias("table_name"), F.lit(1).cast("bigint").alias("raw"),
+            F.col(REASON).isNotNull().cast("bigint").alias("rejected"), zero.alias("copies"), zero.alias("kept"))
+        kept = c[n].deduplicated.select(
+            F.lit(n).alias("table_name"), zero.alias("raw"), zero.alias("rejected"), F.col(COPIES).alias("copies"),
+            F.lit(1).cast("bigint").alias("kept"))
+        out = raw_rows.unionByName(kept) if out is None else out.unionByName(raw_rows).unionByName(kept)
+    return out.groupBy("table_name").agg(
+        F.sum("raw").alias("raw_rows"), F.sum("rejected").alias("rejected_rows"), F.sum("copies").alias("accepted_rows"),
+        F.sum("kept").alias("kept_rows"), (F.sum("copies") - F.sum("kept")).alias("duplicates_dropped"))
 
 
 def duplicate_keys_report(spark, sf_dir):
@@ -310,11 +333,44 @@ def warehouse_checks(spark, sf_dir):
 
 
 def model_frames(w: M.Warehouse) -> dict[str, DataFrame]:
+    """Staging views, and the marts as written tables (several tests read each)."""
     models = {name: fn(w) for name, fn in M.STAGING.items()}
-    models.update({name: fn(w) for name, fn in M.MARTS.items()})
+    run_dir = new_run_dir(next(iter(w.values())).sparkSession)
+    models.update({name: stage(fn(w), run_dir, name) for name, fn in M.MARTS.items()})
     return models
 
 
+def warehouse_checks_spoiled(spark, sf_dir):
+    """The same checks on tables where every one must fail (see ``spoiled``)."""
+    tables = warehouse_tables(cleaned(spark, sf_dir))
+    return _warehouse_checks({n: spoiled(df, KEYS[n]) for n, df in tables.items()})
+
+
+def contract_tests_spoiled(spark, sf_dir):
+    """The same model tests on models where every one must fail."""
+    models = model_frames(warehouse_tables(cleaned(spark, sf_dir)))
+    return _contract_tests({n: spoiled(df, MODEL_KEYS[n]) for n, df in models.items()})
+
+
+def job_through_files(spark, sf_dir):
+    """The whole job over CSV extracts: written warehouse rows (as text), quarantine reasons, marts and check counts."""
+    folder = new_run_dir(spark)
+    write_raw_extracts(Tables(spark, sf_dir), f"{folder}/raw")
+    run_job(spark, f"{folder}/raw", f"{folder}/out")
+    out = None
+    places = {**{n: f"warehouse/{n}" for n in LOAD_ORDER}, **{n: f"marts/{n}" for n in M.MARTS}}
+    for name, place in places.items():
+        df = spark.read.parquet(f"{folder}/out/{place}").drop("loaded_at", COPIES)
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
+        part = df.select(F.lit(name).alias("table_name"), row.alias("row_text"))
+        out = part if out is None else out.unionByName(part)
+    rejects = spark.read.parquet(f"{folder}/out/warehouse/rejected_records").select(
+        F.lit("rejected_records").alias("table_name"), F.concat_ws("|", "source_table", "rejection_reason").alias("row_text"))
+    checks = spark.read.parquet(f"{folder}/out/checks").select(
+        F.lit("checks").alias("table_name"), F.concat_ws("|", "check", "status").alias("row_text"))
+    return out.unionByName(rejects).unionByName(checks)
+
+
 def contract_tests(spark, sf_dir):
     return _contract_tests(model_frames(warehouse_tables(cleaned(spark, sf_dir))))
 
@@ -340,6 +396,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_rooms_property": fk_rooms_property,
     "fk_reservations_any": fk_reservations_any,
     "fk_payments_reservation": fk_payments_reservation,
+    "fk_rooms_property_large": fk_rooms_property_large,
+    "fk_reservations_any_large": fk_reservations_any_large,
+    "fk_payments_reservation_large": fk_payments_reservation_large,
     "orphan_counts": orphan_counts,
     "rooms_per_property": rooms_per_property,
     "payments_per_reservation": payments_per_reservation,
@@ -354,5 +413,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg_property_performance": agg_property_performance,
     "warehouse_checks": warehouse_checks,
     "contract_tests": contract_tests,
+    "warehouse_checks_spoiled": warehouse_checks_spoiled,
+    "contract_tests_spoiled": contract_tests_spoiled,
+    "job_through_files": job_through_files,
     "inject_mess_reservations": inject_mess_reservations,
 }

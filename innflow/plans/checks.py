@@ -103,6 +103,34 @@ def gate(results: DataFrame) -> DataFrame:
     return results
 
 
+# --- tables on which every check must fail ------------------------------------
+
+MODEL_KEYS = {"stg_guests": "guest_id", "stg_properties": "property_id", "stg_rooms": "room_id",
+              "stg_reservations": "reservation_id", "stg_payments": "payment_id", "fct_reservations": "reservation_id",
+              "dim_guests": "guest_id", "agg_property_performance": "property_id"}
+
+
+def spoiled(df: DataFrame, key: str) -> DataFrame:
+    """``df`` four times over: as it is, again (keys repeat), with every value NULL, and with wrong values.
+
+    Wrong: the key and other ids moved past every parent (by different steps), text marked, numbers negated, the check-out
+    date 4000 days early.  A check that counts nothing here cannot fail at all.
+    """
+    def wrong(name: str, kind: str) -> Column:
+        c = F.col(name)
+        if kind == "bigint" and name.endswith("_id"):
+            return c + F.lit(1_000_000_000_000 if name == key else 2_000_000_000_000)
+        if kind == "string":
+            return F.concat(F.lit("~" if name == key else "^"), c)
+        if kind == "smallint" or kind.startswith("decimal"):
+            return (-c).cast(kind)
+        return F.date_sub(c, 4000) if name == "check_out_date" else c
+
+    nulls = df.select(*[F.lit(None).cast(k).alias(n) for n, k in df.dtypes])
+    moved = df.select(*[wrong(n, k).alias(n) for n, k in df.dtypes])
+    return df.unionByName(df).unionByName(nulls).unionByName(moved)
+
+
 # --- declarative model tests ------------------------------------------------
 
 @dataclass(frozen=True)

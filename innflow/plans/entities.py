@@ -7,7 +7,7 @@ payments -> reservations), so a rejected parent cascades to its children.
 
 Plan shape per entity: staged projections for the normalisation, one left
 join per foreign key (broadcast when the parent is proven small, else a
-shuffle join with hot and NULL keys salted), one CASE WHEN for the reason,
+shuffle join over the child written once, with hot keys split), one CASE WHEN for the reason,
 then one write of the classified table (the lineage cut both outputs read
 from), and one aggregate for keep-first (partial + final), also written once.
 Raw text travels through the joins; typed columns that no join needs are
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from innflow.functions import normalize as N
 from innflow.functions import vocab as V
 from innflow.operators.dedup import keep_first
-from innflow.operators.membership import BROADCAST_MAX_ROWS, with_unique_parent_flag
+from innflow.operators.membership import BROADCAST_MAX_ROWS, Reference, with_parent_flags
 from innflow.operators.quarantine import REASON, SEQ, Rule, accepted, classify, contract_rules, rejected
 from innflow.plans.roles import RAW_COLUMNS
 from innflow.sources.staging import new_run_dir, stage, stage_at
@@ -156,18 +156,12 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
 
 
 def _spread(raw: DataFrame) -> DataFrame:
-    """At least one task per core for the CPU-heavy normalisation stage.
+    """Local runs read extracts of one file (one split): there ``innflow.local.spread`` names the tasks to spread rows over.
 
-    An extract made of fewer files than there are cores (a small test extract)
-    can yield fewer splits than cores; then the rows are spread round-robin.
-    At cluster scale an extract has far more files than cores and nothing is
-    added.
+    Only ``local_session`` sets it; on a cluster the scan's own splits stand.
     """
-    cores = raw.sparkSession.sparkContext.defaultParallelism
-    files = raw.inputFiles()
-    if files and len(files) < cores:
-        return raw.repartition(cores)
-    return raw
+    tasks = raw.sparkSession.conf.get("innflow.local.spread", None)
+    return raw.repartition(int(tasks)) if tasks else raw
 
 
 def _contract(name: str, not_null: Sequence[str] = ()) -> list[Rule]:
@@ -234,7 +228,8 @@ def transform_rooms(raw: DataFrame, properties: EntityResult, run_dir: str | Non
     r = _prepare(raw, "rooms", numeric=["room_id", "property_id", "capacity"])
     r = r.withColumn("property_id", _long("property_id"))
     small = properties.keys_small
-    r = with_unique_parent_flag(r, "property_id", properties.clean.select("property_id"), "_property_ok", small)
+    r = with_parent_flags(r, [Reference("property_id", properties.clean.select("property_id"), "_property_ok", small)],
+                          run_dir=run_dir)
     typed = {
         "room_id": _long("room_id"),
         "room_type": _str("room_type"),
@@ -261,11 +256,10 @@ def transform_reservations(
         _long("property_id").alias("property_id"),
         _long("room_id").alias("room_id"),
     )
-    smalls = {}
-    for parent, key, flag in ((properties, "property_id", "_property_ok"), (rooms, "room_id", "_room_ok"),
-                              (guests, "guest_id", "_guest_ok")):
-        smalls[parent.name] = parent.keys_small
-        r = with_unique_parent_flag(r, key, parent.clean.select(key), flag, smalls[parent.name])
+    parents = ((properties, "property_id", "_property_ok"), (rooms, "room_id", "_room_ok"), (guests, "guest_id", "_guest_ok"))
+    smalls = {parent.name: parent.keys_small for parent, _, _ in parents}
+    r = with_parent_flags(r, [Reference(key, parent.clean.select(key), flag, smalls[parent.name]) for parent, key, flag in parents],
+                          run_dir=run_dir)
     typed = {
         "reservation_id": _str("reservation_id"),
         "_check_in_ts": N.parse_date("_t_check_in_date", stripped=True),
@@ -294,8 +288,8 @@ def transform_payments(raw: DataFrame, reservations: EntityResult, run_dir: str
     run_dir = _run_dir(raw, run_dir)
     r = _prepare(raw, "payments", numeric=["amount"]).withColumn("reservation_id", _str("reservation_id"))
     small = reservations.keys_small
-    r = with_unique_parent_flag(r, "reservation_id", reservations.clean.select("reservation_id"),
-                                "_reservation_ok", small)
+    r = with_parent_flags(r, [Reference("reservation_id", reservations.clean.select("reservation_id"), "_reservation_ok", small)],
+                          run_dir=run_dir)
     typed = {
         "payment_id": _str("payment_id"),
         "payment_method": _str("payment_method"),

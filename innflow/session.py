@@ -40,6 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         # one executor: waiting for a "more local" slot only idles the cores
         .config("spark.locality.wait", "0s")
+        # one-file extracts: tasks to spread rows over before the CPU-heavy normalisation
+        .config("innflow.local.spread", str(os.cpu_count() if cores == "*" else cores))
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
@@ -56,7 +58,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) is a scratch folder made.
+    Only a local session that has none (tests) gets a scratch folder; on a cluster it would be another disk on
+    every machine, so there it is an error.
     """
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
@@ -66,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="innflow-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

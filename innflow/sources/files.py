@@ -9,30 +9,39 @@ as many part files (a folder per table is accepted).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from innflow.functions.normalize import normalize_header
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE"}
+# enforceSchema=false: a part file whose header differs from the first one's fails instead of being read by position
+CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE",
+               "enforceSchema": "false"}
 
 
 class MissingSourceError(FileNotFoundError):
     """An expected raw extract is absent."""
 
 
-def source_path(raw_dir: str, table: str) -> str:
-    """``<raw_dir>/<table>.csv`` (one file) or ``<raw_dir>/<table>/`` (part files)."""
-    single = os.path.join(raw_dir, f"{table}.csv")
-    folder = os.path.join(raw_dir, table)
-    if raw_dir.startswith(("s3a://", "s3://", "gs://", "abfss://", "hdfs://")):
-        return folder
-    if os.path.exists(single):
-        return single
-    if os.path.isdir(folder):
-        return folder
+def _status(spark: SparkSession, path: str):
+    """The file status by the path's own file system, or None where nothing is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getFileStatus(place) if system.exists(place) else None
+
+
+def file_stamp(spark: SparkSession, path: str) -> tuple:
+    """(size, modification time) of a file or folder on any file system; () where there is none."""
+    status = _status(spark, path)
+    return (status.getLen(), status.getModificationTime()) if status else ()
+
+
+def source_path(spark: SparkSession, raw_dir: str, table: str) -> str:
+    """``<raw_dir>/<table>.csv`` (one file) or ``<raw_dir>/<table>/`` (part files), on whatever file system the path names."""
+    single, folder = (f"{raw_dir.rstrip('/')}/{table}{end}" for end in (".csv", ""))
+    for place in (single, folder):
+        if _status(spark, place):
+            return place
     raise MissingSourceError(f"expected source extract not found for table '{table}': {single} or {folder}/")
 
 
@@ -42,7 +51,7 @@ def read_raw_csv(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
     ``_seq`` = (file name, position in the scan) is the arrival order used by
     keep-first; it is stored in bronze so it never changes afterwards.
     """
-    df = spark.read.options(**CSV_OPTIONS).csv(source_path(raw_dir, table))
+    df = spark.read.options(**CSV_OPTIONS).csv(source_path(spark, raw_dir, table))
     df = df.toDF(*normalize_header(df.columns))
     return df.select(
         *[F.col(c).cast("string").alias(c) for c in df.columns],

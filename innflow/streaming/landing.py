@@ -5,8 +5,8 @@ New CSV files dropped into ``<landing_dir>/<table>/`` are appended to
 files in the checkpoint, and each micro-batch overwrites only its own
 ``_batch`` partition, so a batch replayed after a failure replaces rather than
 duplicates its rows.  ``trigger(availableNow=True)`` processes whatever has
-arrived and stops, which suits a scheduled run.  Values stay text; lineage
-and arrival order are the same as ``innflow.sources.files.read_raw_csv``.
+arrived and stops, which suits a scheduled run.  Values stay text; the arrival
+order is (batch, file, position), a total order like that of ``innflow.sources.files.read_raw_csv``.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innflow.plans.roles import RAW_COLUMNS
-from innflow.sources.files import CSV_OPTIONS
+from innflow.sources.files import CSV_OPTIONS, file_stamp
 
 
 def _schema(table: str) -> T.StructType:
@@ -56,7 +56,5 @@ def land(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir:
         .start()
     )
     query.awaitTermination()
-    try:
-        return spark.read.parquet(f"{bronze_dir}/{table}").count()
-    except Exception:  # noqa: BLE001 - nothing landed yet
-        return 0
+    landed = f"{bronze_dir}/{table}"
+    return spark.read.parquet(landed).count() if file_stamp(spark, landed) else 0

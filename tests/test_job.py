@@ -64,3 +64,28 @@ def test_csv_quoting_roundtrip(spark):
     rows = read_raw_csv(spark, d, "properties").orderBy("_seq").collect()
     assert rows[0].property_name == 'Hotel "Grand"' and rows[0].city == "Multi\nLine" and rows[0].country is None
     assert rows[1].property_name is None and rows[1].city == "NA" and rows[1].country == "nan"
+
+
+def test_part_file_with_another_header_is_an_error(spark):
+    import os
+
+    d = tempfile.mkdtemp()
+    os.makedirs(f"{d}/guests")
+    with open(f"{d}/guests/part-1.csv", "w") as f:
+        f.write("guest_id,first_name,last_name,email,phone,country\n1,Una,Berg,,,\n")
+    assert read_raw_csv(spark, d, "guests").count() == 1
+    with open(f"{d}/guests/part-2.csv", "w") as f:
+        f.write("guest_id,last_name,first_name,email,phone,country\n2,Lie,Ola,,,\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_raw_csv(spark, d, "guests").collect()
+
+
+def test_paths_with_a_scheme(spark):
+    d = tempfile.mkdtemp()
+    with open(f"{d}/properties.csv", "w") as f:
+        f.write("property_id,property_name,city,country\n1,Harbour,,\n")
+    assert [r.property_name for r in read_raw_csv(spark, f"file://{d}", "properties").collect()] == ["Harbour"]
+    with pytest.raises(MissingSourceError, match="guests"):
+        read_raw_csv(spark, f"file://{d}", "guests")
+    with pytest.raises(Exception, match="(?i)scheme|filesystem|class"):
+        read_raw_csv(spark, "nosuch://bucket/raw", "guests")

@@ -116,3 +116,16 @@ def test_model_tests(warehouse):
     for t in MODEL_TESTS:
         counts[t.test] = counts.get(t.test, 0) + 1
     assert counts == {"unique": 8, "not_null": 24, "accepted_values": 2, "relationships": 6}
+
+
+def test_every_check_fails_on_spoiled_tables(spark, warehouse):
+    from innflow.plans.catalog import KEYS, MODEL_KEYS, model_frames
+    from innflow.plans.checks import spoiled
+
+    checks = warehouse_checks({n: spoiled(df, KEYS[n]) for n, df in warehouse.items()})
+    assert {r["check"] for r in checks.collect() if r.status == "PASS"} == set() and checks.count() == 17
+    with pytest.raises(GateFailed):
+        gate(checks)
+    tests = contract_tests({n: spoiled(df, MODEL_KEYS[n]) for n, df in model_frames(warehouse).items()})
+    assert {(r.model, r.column, r.test) for r in tests.collect() if r.failing_rows == 0} == set()
+    assert tests.count() == len(MODEL_TESTS)
