@@ -156,11 +156,11 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
 
 
 def _spread(raw: DataFrame) -> DataFrame:
-    """Local runs read extracts of one file (one split): there ``innflow.local.spread`` names the tasks to spread rows over.
+    """Local runs read extracts of one file (one split): there ``spark.innflow.localSpread`` names the tasks to spread rows over.
 
     Only ``local_session`` sets it; on a cluster the scan's own splits stand.
     """
-    tasks = raw.sparkSession.conf.get("innflow.local.spread", None)
+    tasks = raw.sparkSession.conf.get("spark.innflow.localSpread", None)
     return raw.repartition(int(tasks)) if tasks else raw
 
 

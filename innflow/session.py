@@ -41,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         # one executor: waiting for a "more local" slot only idles the cores
         .config("spark.locality.wait", "0s")
         # one-file extracts: tasks to spread rows over before the CPU-heavy normalisation
-        .config("innflow.local.spread", str(os.cpu_count() if cores == "*" else cores))
+        .config("spark.innflow.localSpread", str(os.cpu_count() if cores == "*" else cores))
     )
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
