@@ -123,7 +123,7 @@ def edited(text: Column, following: Column) -> Column:
 
 
 def fingerprint_and_edit(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: the text's fingerprint, that of its edited text, and their likeness (1 - differing bits / all bits).
+    """Per row: the text's fingerprint (text, and halves ``hi``, ``lo``), that of its edited text, and likenesses (1 - differing / all bits).
 
     The buckets of ``with_next`` stay the partitioning throughout: summing
     votes, pairing the two texts of a row and looking at the next row's fingerprint
@@ -148,7 +148,8 @@ def fingerprint_and_edit(df: DataFrame, id_col: str = "doc_id", text: str = "tex
     return seen.select(
         col("_id").alias(id_col), "n_chars", "edited_sha256",
         as_hex(col("hi0"), col("lo0")).alias("fingerprint"), as_hex(col("hi1"), col("lo1")).alias("edited_fingerprint"),
-        near("hi1", "lo1").alias("near_edited"), near("next_hi0", "next_lo0").alias("near_next"))
+        near("hi1", "lo1").alias("near_edited"), near("next_hi0", "next_lo0").alias("near_next"),
+        col("hi0").alias("hi"), col("lo0").alias("lo"))
 
 
 def block_tables(radius: int, blocks: int | None = None, bits: int = BITS) -> list[list[tuple[int, int]]]:
@@ -201,3 +202,18 @@ def within_radius(prints: DataFrame, radius: int = 3, blocks: int | None = None)
                   & (bits <= radius) & (first == col("a.table"))).select(
         col("a.hi").alias("a_hi"), col("a.lo").alias("a_lo"), col("b.hi").alias("b_hi"), col("b.lo").alias("b_lo"),
         bits.alias("bits"))
+
+
+def with_neighbours(rows: DataFrame, radius: int = 3) -> DataFrame:
+    """``rows`` (with ``hi``, ``lo``) and ``n_within``: how many other rows have a fingerprint at most ``radius`` bits away.
+
+    Rows of equal fingerprints are counted as a class, and only different fingerprints are searched for each other.
+    """
+    col = F.col
+    sizes = rows.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("size"))
+    pairs = within_radius(rows, radius)
+    both = pairs.select("a_hi", "a_lo", "b_hi", "b_lo").union(pairs.select("b_hi", "b_lo", "a_hi", "a_lo"))
+    met = both.join(sizes, (col("b_hi") == col("hi")) & (col("b_lo") == col("lo"))).groupBy("a_hi", "a_lo").agg(F.sum("size").alias("others"))
+    counted = sizes.join(met, (col("hi") == col("a_hi")) & (col("lo") == col("a_lo")), "left").select(
+        col("hi").alias("_hi"), col("lo").alias("_lo"), (col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_within"))
+    return rows.join(counted, (col("hi") == col("_hi")) & (col("lo") == col("_lo"))).drop("_hi", "_lo")

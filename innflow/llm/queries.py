@@ -11,13 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, repeats, revisits, toxicity
-from innflow.llm.common import documents, read_table
+from innflow.llm.common import cut_lineage, documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_and_edit(documents(spark, sf_dir))
+    rows = cut_lineage(fingerprints.fingerprint_and_edit(documents(spark, sf_dir)), "fingerprints")
+    return fingerprints.with_neighbours(rows, radius=3).drop("hi", "lo")
 
 
 def op2_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,5 +80,14 @@ def test_block_tables_find_every_pair(spark):
     assert fp.within_radius(prints.limit(0), 3).count() == 0
 
 
+def test_neighbour_counts(spark):
+    rng = random.Random(7)
+    base = [rng.getrandbits(60) for _ in range(6)]
+    values = [b ^ m for b in base for m in (0, 0, 1, 6, 1 << 40, 0b1111)]
+    rows = spark.createDataFrame([(i, v, 5) for i, v in enumerate(values)], "id long, hi long, lo long")
+    got = {r.id: r.n_within for r in fp.with_neighbours(rows).collect()}
+    assert got == {i: sum((v ^ w).bit_count() <= 3 for w in values) - 1 for i, v in enumerate(values)}
+
+
 def test_empty_table(spark):
     assert fp.fingerprint_and_edit(_docs(spark, []).limit(0)).collect() == []
