@@ -42,11 +42,7 @@ def pick(variants: Sequence[str], index: Column) -> Column:
 
 def format_variant(ts: Column, index: Column, patterns: Sequence[str]) -> Column:
     """G5: render a timestamp with pattern number ``index`` of ``patterns``."""
-    i = F.pmod(index, F.lit(len(patterns)))
-    expr = F.when(i == 0, F.date_format(ts, patterns[0]))
-    for n, p in enumerate(patterns[1:], start=1):
-        expr = expr.when(i == n, F.date_format(ts, p))
-    return expr
+    return F.call_function("date_format", ts, pick(patterns, index))
 
 
 def duplicate_rows(df: DataFrame, when: Column, seq_col: str, seq_shift: int, **overrides: Column) -> DataFrame:
