@@ -16,11 +16,15 @@ from innflow.sources.tables import read_table
 __all__ = ["cut_lineage", "documents", "order_buckets", "read_table", "ship", "shuffle_partitions", "text_or_empty"]
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, as ``--py-files`` would (once per Spark application)."""
     context = spark.sparkContext
-    if any(f.startswith("innflow-") for f in context._python_includes):
+    if context.applicationId in _SHIPPED:
         return
+    _SHIPPED.add(context.applicationId)
     package = Path(innflow.__file__).parent
     target = Path(tempfile.mkdtemp(prefix="innflow-ship-")) / "innflow-package.zip"  # the driver's own copy; Spark serves it
     with zipfile.ZipFile(target, "w") as z:
@@ -67,8 +71,7 @@ def bucket_of(column: Column, bounds: list[int]) -> Column:
     if not bounds:
         return F.lit(0)
     steps = len(bounds).bit_length()
-    table = F.lit(bounds) if len(bounds) < 2 else F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    table = F.array(F.lit(bounds[0]).cast("bigint")) if len(bounds) < 2 else table
+    table = F.lit(bounds).cast("array<bigint>")
     size = len(bounds)
 
     def step(position: Column, half: Column) -> Column:

@@ -101,7 +101,8 @@ def with_next(df: DataFrame, id_col: str, text: str, rows_per_bucket: int = 1_00
     i = F.col(id_col)
     own = bucket_of(i, bounds)
     starts_all = i.isNull() if ends["nulls"] else i == F.lit(ends["lo"])
-    starts_one = F.coalesce(own > bucket_of(i - 1, bounds), F.lit(False)) if bounds else F.lit(False)
+    # a row whose id is its bucket's bound is the bucket's first
+    starts_one = F.coalesce((own > 0) & (F.element_at(F.lit(bounds), F.greatest(own, F.lit(1))) == i), F.lit(False)) if bounds else F.lit(False)
     last = len(bounds)
     spots = F.array_compact(F.array(
         F.struct(own.alias("bucket"), F.lit(0).alias("guard")),
