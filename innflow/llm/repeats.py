@@ -172,9 +172,11 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     schema = "id long, h long, start long, stop long, key long, path long"
     settled = cut_lineage(runs.mapInPandas(_settle(window), schema), "ranges")
     # the least documents of each part of a split prefix meet under their whole path
-    again = settled.where("path is not null").groupBy("key", "path").agg(
-        F.min("id").alias("lo"), F.collect_list(F.struct("id", "h", "start", "stop")).alias("rows"))
-    later = again.select("lo", F.explode("rows").alias("r")).where("r.id > lo").select("r.id", "r.h", "r.start", "r.stop")
+    left = settled.where("path is not null")
+    least = left.groupBy(F.col("key").alias("_k"), F.col("path").alias("_p")).agg(F.min("id").alias("lo"), F.count(F.lit(1)).alias("n"))
+    least = least.where("n > 1")
+    later = left.join(least, (left["key"] == least["_k"]) & (left["path"] == least["_p"]) & (left["id"] > least["lo"])).select(
+        "id", "h", "start", "stop")
     ranges = settled.where("path is null").select("id", "h", "start", "stop").unionByName(later)
     return texts.select("id", "h", "t"), ranges
 
