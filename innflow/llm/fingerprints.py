@@ -22,7 +22,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innflow.llm.common import bucket_of, order_buckets, shuffle_partitions, text_or_empty
+from innflow.llm.common import bucket_of, cut_lineage, order_buckets, shuffle_partitions, text_or_empty
 
 BITS = 128
 _LANES = 0x0000000100000001
@@ -217,4 +217,6 @@ def with_neighbours(rows: DataFrame, radius: int = 3) -> DataFrame:
     met = both.join(sizes, (col("b_hi") == col("hi")) & (col("b_lo") == col("lo"))).groupBy("a_hi", "a_lo").agg(F.sum("size").alias("others"))
     counted = sizes.join(met, (col("hi") == col("a_hi")) & (col("lo") == col("a_lo")), "left").select(
         col("hi").alias("_hi"), col("lo").alias("_lo"), (col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_within"))
+    # written first, so that the join's two sides are plain exchanges and a fingerprint of very many rows can be split
+    counted = cut_lineage(counted, "neighbours")
     return rows.join(counted, (col("hi") == col("_hi")) & (col("lo") == col("_lo"))).drop("_hi", "_lo")
