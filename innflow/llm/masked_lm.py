@@ -4,10 +4,19 @@ Words (lower-cased, cut at white space) are numbered by their frequency over all
 documents; the most frequent ``VOCABULARY`` - 1 keep a number, all others share number 0.  For
 every position the network sees the ``SIDE`` words before and after it, never the word itself:
 
-    h = tanh(W [e(left) ... e(right)] + b),    p(word) = p(class | h) * p(word | class, h)
+    h = tanh(W [e(left) ... e(right)] + b),    p(number) = p(class | h) * p(number | class, h)
 
-with words in classes of like frequency, so a position costs two small
-softmaxes.  A document's score is the sum over all its positions of log p(word | both sides).
+with numbers in classes of like frequency, so a position costs two small
+softmaxes.  The words of number 0 are told apart by their own counts:
+
+    p(word) = p(0 | both sides) * n_word / n_other
+
+where n_other counts all their occurrences, so p sums to one over every word of the corpus.
+A document's score is the sum over all its positions of log p(word | both sides).
+
+The counts of the words of number 0 are joined as a table, on one row per document and word.
+Such a word is none of the ``VOCABULARY`` - 1 most frequent, so at most 1 / ``VOCABULARY`` of
+all tokens are its own and no key of that join is hot.
 
 Training runs over all documents, data-parallel: in each of ``ROUNDS`` rounds
 every partition continues from the shared weights on its own documents (Adam
@@ -53,22 +62,47 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame, id_col: str, text: str, top: np.ndarray) -> DataFrame:
-    """``id, words``: the words' numbers as little-endian 16-bit integers (``top``: hashes of words 1, 2, ... by frequency)."""
+    """``row, id, words, rare, times``, one row per document (``top``: hashes of words 1, 2, ... by frequency).
+
+    ``row`` is its own number of each row; ``words`` the words' numbers as little-endian 16-bit integers; ``rare`` the different
+    hashes (64 bits) of its words of number 0 and ``times`` (32 bits) how often each occurs.
+    """
     order = np.argsort(top)
     ordered, number = top[order], (order + 1).astype("<u2")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
         for pdf in batches:
-            out = []
+            out, rare, times = [], [], []
             for t in pdf["t"]:
                 h = word_hashes(t.lower())
                 at = np.minimum(np.searchsorted(ordered, h), max(len(ordered) - 1, 0))
                 known = ordered[at] == h if len(ordered) else np.zeros(len(h), dtype=bool)
                 out.append(np.where(known, number[at] if len(ordered) else 0, 0).astype("<u2").tobytes())
-            yield pd.DataFrame({"id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"), "words": out})
+                others, n = np.unique(h[~known], return_counts=True)
+                rare.append(others.astype("<u8").tobytes())
+                times.append(n.astype("<u4").tobytes())
+            yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"),
+                                "words": out, "rare": rare, "times": times})
+            row += len(pdf)
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text).alias("t"))
-    return narrow.mapInPandas(encode, "id long, words binary")
+    return narrow.mapInPandas(encode, "row long, id long, words binary, rare binary, times binary")
+
+
+def rare_logs(words: DataFrame, counts: DataFrame, n_other: float) -> DataFrame:
+    """``row, rare_log``: sum of log(n_word / n_other) over a document's words of number 0 (documents without any have no row)."""
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            word = np.frombuffer(b"".join(pdf["rare"]), dtype="<u8")
+            yield pd.DataFrame({"row": np.repeat(pdf["row"].to_numpy(), [len(w) // 8 for w in pdf["rare"]]), "word": word.view(np.int64),
+                                "times": np.frombuffer(b"".join(pdf["times"]), dtype="<u4").astype(np.int64)})
+
+    flat = words.select("row", "rare", "times").mapInPandas(listed, "row long, word long, times long")
+    share = F.log(F.col("n") / F.lit(float(n_other or 1)))
+    return flat.join(counts, "word").groupBy("row").agg(F.sum(F.col("times") * share).alias("rare_log"))
 
 
 class Network:
@@ -262,7 +296,7 @@ def fit(words: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, stride: int
 
 
 def with_scores(words: DataFrame, flat: np.ndarray) -> DataFrame:
-    """``id, n_tokens, log_likelihood`` per row of (id, words)."""
+    """``row, id, n_tokens, log_likelihood`` per row of (row, id, words); words of number 0 are scored as that number."""
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         net = Network(flat)
         for pdf in batches:
@@ -275,10 +309,10 @@ def with_scores(words: DataFrame, flat: np.ndarray) -> DataFrame:
                 total = np.concatenate([[0.0], np.cumsum(logs)])
                 sums.append(total[ends] - total[ends - [len(d) for d in docs]])
             n = [len(w) // 2 for w in pdf["words"]]
-            yield pd.DataFrame({"id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"),
+            yield pd.DataFrame({"row": pdf["row"], "id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"),
                                 "n_tokens": n, "log_likelihood": np.concatenate(sums) if sums else []})
 
-    return words.mapInPandas(score, "id long, n_tokens long, log_likelihood double")
+    return words.select("row", "id", "words").mapInPandas(score, "row long, id long, n_tokens long, log_likelihood double")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -291,6 +325,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     hashes = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
     words = cut_lineage(numbered(docs, id_col, text, hashes), "numbered")
     flat = fit(words, np.concatenate([[total - known.sum()], known]))
-    scored = with_scores(words, flat)
+    scored = with_scores(words, flat).join(rare_logs(words, counts, total - known.sum()), "row", "left")
+    scored = scored.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("rare_log", F.lit(0.0)))
     return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood",
                          F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("per_token"))

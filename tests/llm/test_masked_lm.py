@@ -75,3 +75,19 @@ def test_learning_and_odd_rows(spark):
     assert by[(200, 375)].per_token > by[(201, 375)].per_token + 0.3
     assert by[(103, 1)].log_likelihood < 0 and (None, 3) in by and (200, 2) in by
     assert lm.score_documents(docs.limit(0)).count() == 0
+
+
+def test_words_outside_the_vocabulary_are_told_apart(spark):
+    """Two texts that differ only in rare words differ by the logs of those words' counts."""
+    common = [f"c{i}" for i in range(lm.VOCABULARY - 1)]
+    rows = [(i, " ".join(common)) for i in range(8)]
+    rows += [(100, "c1 seven c2"), (101, "c1 once c2"), (101, "c1 once_too c2 once_too c2"), (102, " ".join(["seven"] * 6))]
+    got = {(r.doc_id, r.n_tokens): r.log_likelihood for r in lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    assert abs(got[(100, 3)] - got[(101, 3)] - np.log(7)) < 1e-4
+    n_other = 7 + 1 + 2
+    counts = spark.createDataFrame([(1, 7), (2, 1), (3, 2)], "word long, n long")
+    packed = [(5, np.array([1, 3], "<u8").tobytes(), np.array([2, 4], "<u4").tobytes()), (6, b"", b""), (7, np.array([2], "<u8").tobytes(), np.array([1], "<u4").tobytes())]
+    logs = {r.row: r.rare_log for r in lm.rare_logs(spark.createDataFrame(packed, "row long, rare binary, times binary"), counts, n_other).collect()}
+    assert set(logs) == {5, 7}
+    assert abs(logs[5] - (2 * np.log(0.7) + 4 * np.log(0.2))) < 1e-9 and abs(logs[7] - np.log(0.1)) < 1e-9
