@@ -20,8 +20,8 @@ all tokens are its own and no key of that join is hot.
 
 Training runs over all documents, data-parallel: in each of ``ROUNDS`` rounds
 every partition continues from the shared weights on its own documents (Adam
-on mini-batches, every ``STRIDE``-th position, another phase each round), and the
-weights are averaged by number of examples.  Averages are taken in a tree of groups of ``FAN_IN``,
+on mini-batches, every ``STRIDE``-th position of each document, another phase each round), and the
+weights are averaged by number of examples.  ``STRIDE`` equals ``ROUNDS``, so every position is a target once.  Averages are taken in a tree of groups of ``FAN_IN``,
 so neither a task nor the driver holds more than that many copies (about half a megabyte each).
 Counts are combined per batch before their shuffle; the numbered words are written once and read by all rounds.
 
@@ -43,7 +43,8 @@ from innflow.llm.wordhash import word_hashes
 
 VOCABULARY, CLASSES = 2048, 64
 SIDE, EMBEDDING, HIDDEN = 3, 16, 32
-ROUNDS, STRIDE, BATCH, RATE = 3, 24, 512, 0.004
+ROUNDS, BATCH, RATE = 3, 512, 0.004
+STRIDE = ROUNDS
 FAN_IN = 32
 CHUNK = 1 << 15
 
@@ -157,23 +158,35 @@ class Network:
         x, h = self.hidden(sides)
         cls, within = words // self.width, words % self.width
         g = {name: np.zeros(shape, dtype=np.float32) for name, shape in self.shapes}
-        d = np.exp(_log_softmax(h @ self.wc + self.bc))
+        d = _softmax(h @ self.wc + self.bc)
         d[np.arange(n), cls] -= 1
         d /= n
         g["wc"], g["bc"] = h.T @ d, d.sum(axis=0)
         dh = d @ self.wc.T
-        for c, rows in _by_class(cls):
-            d = np.exp(_log_softmax(h[rows] @ self.ww[c] + self.bw[c]))
-            d[np.arange(len(rows)), within[rows]] -= 1
+        order = np.argsort(cls, kind="stable")
+        h_by, dh_by, within_by = h[order], dh[order], within[order]
+        starts = np.flatnonzero(np.diff(cls[order], prepend=-1)).tolist()
+        for c, a, b in zip(cls[order][starts].tolist(), starts, [*starts[1:], n], strict=True):
+            d = _softmax(h_by[a:b] @ self.ww[c] + self.bw[c])
+            d[np.arange(b - a), within_by[a:b]] -= 1
             d /= n
-            g["ww"][c], g["bw"][c] = h[rows].T @ d, d.sum(axis=0)
-            dh[rows] += d @ self.ww[c].T
+            g["ww"][c], g["bw"][c] = h_by[a:b].T @ d, d.sum(axis=0)
+            dh_by[a:b] += d @ self.ww[c].T
+        dh[order] = dh_by
         dz = dh * (1 - h * h)
         g["w"], g["b"] = x.T @ dz, dz.sum(axis=0)
-        np.add.at(g["e"], sides.ravel(), (dz @ self.w.T).reshape(-1, EMBEDDING))
+        _add_rows(g["e"], sides.ravel(), (dz @ self.w.T).reshape(-1, EMBEDDING))
         return g
 
 
+def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """``total[at] += rows``, rows of equal places summed first."""
+    order = np.argsort(at, kind="stable")
+    places = at[order]
+    starts = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])
+    total[places[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+
+
 def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(cls, kind="stable")
     ends = np.flatnonzero(np.diff(cls[order])) + 1
@@ -182,6 +195,11 @@ def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield int(cls[rows[0]]), rows
 
 
+def _softmax(z: np.ndarray) -> np.ndarray:
+    e = np.exp(z - z.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
+
+
 def _log_softmax(z: np.ndarray) -> np.ndarray:
     z = z - z.max(axis=1, keepdims=True)
     return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
@@ -202,7 +220,7 @@ def _documents(pdf: pd.DataFrame) -> list[np.ndarray]:
 
 
 def train(net: Network, batches: Iterator[pd.DataFrame], phase: int, stride: int = STRIDE) -> int:
-    """Adam over every ``stride``-th position of all documents; the number of examples."""
+    """Adam over the positions of all documents that are ``phase`` modulo ``stride`` within their document; the number of examples."""
     moments: dict[str, list[np.ndarray]] = {n: [np.zeros(s, np.float32), np.zeros(s, np.float32)] for n, s in net.shapes}
     seen, step = 0, 0
     wait_s: list[np.ndarray] = []
@@ -221,8 +239,9 @@ def train(net: Network, batches: Iterator[pd.DataFrame], phase: int, stride: int
     for pdf in batches:
         for docs in _slices(_documents(pdf)):
             sides, words = sides_of(docs)
-            wait_s.append(sides[phase % stride::stride])
-            wait_w.append(words[phase % stride::stride])
+            own = np.concatenate([np.arange(len(d)) for d in docs]) % stride == phase % stride
+            wait_s.append(sides[own])
+            wait_w.append(words[own])
             held += len(wait_w[-1])
             if held >= 16 * BATCH:
                 seen += _drain(wait_s, wait_w, learn, seen)
@@ -279,7 +298,7 @@ def fit(words: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, stride: int
     net.start_at_counts(counts)
     flat = net.flat()
     for r in range(rounds):
-        def one(batches: Iterator[pd.DataFrame], start: np.ndarray = flat, phase: int = r * stride // rounds) -> Iterator[pd.DataFrame]:
+        def one(batches: Iterator[pd.DataFrame], start: np.ndarray = flat, phase: int = r) -> Iterator[pd.DataFrame]:
             from pyspark import TaskContext
 
             local = Network(start)

@@ -91,3 +91,20 @@ def test_words_outside_the_vocabulary_are_told_apart(spark):
     logs = {r.row: r.rare_log for r in lm.rare_logs(spark.createDataFrame(packed, "row long, rare binary, times binary"), counts, n_other).collect()}
     assert set(logs) == {5, 7}
     assert abs(logs[5] - (2 * np.log(0.7) + 4 * np.log(0.2))) < 1e-9 and abs(logs[7] - np.log(0.1)) < 1e-9
+
+
+def test_every_position_is_a_target_once(monkeypatch):
+    """However the documents lie in batches, the rounds together train on each position of each document exactly once."""
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, lm.VOCABULARY, n) for n in (1, 2, 0, 1, 5, 300, 1, 47, 2, 3)]
+    frame = pd.DataFrame({"words": [d.astype("<u2").tobytes() for d in docs]})
+    seen = []
+    real = lm.Network.gradients
+    monkeypatch.setattr(lm.Network, "gradients", lambda net, sides, words: seen.extend(np.column_stack([sides, words]).tolist()) or real(net, sides, words))
+    n = 0
+    for phase in range(lm.ROUNDS):
+        cut = 3 * phase + 1
+        n += lm.train(lm.Network(), iter([frame.iloc[:cut], frame.iloc[cut:]]), phase)
+    sides, words = lm.sides_of(docs)
+    assert n == len(words) == sum(map(len, docs))
+    assert sorted(seen) == sorted(np.column_stack([sides, words]).tolist())
