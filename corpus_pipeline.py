@@ -38,8 +38,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all copies in sequences of at most 4096 tokens."""
-    return packing.pack_documents(docs)
+    """Token pieces of all copies in sequences of at most 4096 tokens, in a random order that spreads the copies of a document."""
+    return packing.pack_documents(docs, seed="pack")
 
 
 STAGES = [

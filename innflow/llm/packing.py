@@ -12,6 +12,10 @@ where S is the token position of a boundary.  The minimum runs over a window
 that only moves forward, so a monotone queue gives each transition in
 constant time.  A window of exactly a power of two tokens is not padded.
 
+With a ``seed`` the documents come in a random order instead: that of a hash of
+(seed, id, text hash, number of the copy among equal rows).  Equal rows are tokenised
+once and counted, so copies of a document are spread over all sequences.
+
 Spark's part: one pass over the texts turns each into its boundaries (token
 positions with the CRC32 of the ids before them, no ids are kept), which is
 written once; ranges of ids of about ``RANGE_TOKENS`` tokens are then dealt by one
@@ -160,7 +164,7 @@ def pack(docs: list[tuple], length: int = LENGTH) -> Iterator[tuple]:
 
 
 def token_boundaries(docs: DataFrame, id_col: str, text: str, tokenizer: str) -> DataFrame:
-    """Per row of ``docs``: id, a digest that orders rows of equal ids, tokens, and its cut places as arrays."""
+    """Per row of ``docs`` (and its ``copies``, if it has them): id, a digest that orders rows of equal ids, tokens, and its cut places as arrays."""
     ship(docs.sparkSession)
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,12 +176,14 @@ def token_boundaries(docs: DataFrame, id_col: str, text: str, tokenizer: str) ->
                 ids = np.append(enc.ids(t or ""), np.uint32(END_ID))
                 rows.append(boundaries(ids, enders))
             yield pd.DataFrame({
-                "id": pdf["id"], "tie": pdf["tie"], "tokens": [int(r[0][-1]) for r in rows],
+                "id": pdf["id"], "tie": pdf["tie"], "copies": pdf["copies"], "tokens": [int(r[0][-1]) for r in rows],
                 "places": [r[0] for r in rows], "crcs": [r[1].astype(np.int64) for r in rows],
                 "kinds": [r[2].astype(np.int32) for r in rows]})
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("tie"))
-    return narrow.mapInPandas(places, "id long, tie long, tokens long, places array<long>, crcs array<long>, kinds array<int>")
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("t"), F.xxhash64(text).alias("tie"),
+                         F.col("_pk_copies") if "_pk_copies" in docs.columns else F.lit(1).cast("bigint"))
+    narrow = narrow.toDF("id", "t", "tie", "copies")
+    return narrow.mapInPandas(places, "id long, tie long, copies long, tokens long, places array<long>, crcs array<long>, kinds array<int>")
 
 
 def _pack_sorted(length: int):
@@ -214,17 +220,27 @@ def _pack_bucket(bucket: int, rows: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", length: int = LENGTH,
-                   tokenizer: str | None = None, range_tokens: int = RANGE_TOKENS) -> DataFrame:
-    """Pieces: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (sequence ids grow with document order)."""
+                   tokenizer: str | None = None, range_tokens: int = RANGE_TOKENS, seed: str | None = None) -> DataFrame:
+    """Pieces: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (sequence ids grow with document order).
+
+    Document order is that of the ids, or, with a ``seed``, of a hash that also tells equal rows apart.
+    """
+    if seed is not None:
+        docs = docs.groupBy(F.col(id_col), F.col(text)).agg(F.count(F.lit(1)).alias("_pk_copies"))
     measured = cut_lineage(token_boundaries(docs, id_col, text, tokenizer or tokenizer_path()), "token_boundaries")
     spark = docs.sparkSession
+    if seed is None:
+        measured = measured.withColumn("place", F.col("id"))
+    else:
+        measured = measured.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+        measured = measured.withColumn("place", F.xxhash64(F.lit(seed), "id", "tie", "copy"))
     total = measured.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t")).first()
     per_row = max(1.0, (total["t"] or 0) / max(1, total["n"]))
-    bounds = order_buckets(measured.select("id"), "id", max(1, int(range_tokens / per_row)), 1)
-    dealt = measured.withColumn("bucket", bucket_of(F.col("id"), bounds).cast("bigint"))
+    bounds = order_buckets(measured.select("place"), "place", max(1, int(range_tokens / per_row)), 1)
+    dealt = measured.withColumn("bucket", bucket_of(F.col("place"), bounds).cast("bigint"))
     n = min(max(shuffle_partitions(spark), 1), len(bounds) + 1)
     dealt = dealt.repartitionByRange(max(n, 1), "bucket").sortWithinPartitions(
-        "bucket", F.col("id").asc_nulls_first(), "tie")
+        "bucket", F.col("place").asc_nulls_first(), F.col("id").asc_nulls_first(), "tie")
     packed = dealt.select("bucket", "id", "tokens", "places", "crcs", "kinds").mapInPandas(
         _pack_sorted(length),
         "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

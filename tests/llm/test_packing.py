@@ -93,3 +93,33 @@ def test_ranges_and_padding(spark):
         sizes[p.sequence_id] = sizes.get(p.sequence_id, 0) + p.length
     assert len({s >> 40 for s in sizes}) > 2
     assert 1 - sum(sizes.values()) / (4096 * len(sizes)) < 0.08  # a partly filled window per range in so small a table
+
+
+def test_seeded_order_spreads_copies(spark):
+    rng = random.Random(5)
+    once = [(i, " ".join(rng.choice(["alpha", "beta", "of"]) for _ in range(40)) + f" {i}.") for i in range(200)]
+    rows = [*once, *[(1000, "a small source. " * 10)] * 40, (None, "no id"), (None, "no id"), (None, None), (7, "another text of id 7")]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    order = lambda ps: sorted(ps, key=lambda p: (p.sequence_id, p.offset))
+    pieces = order(packing.pack_documents(docs, seed="s", range_tokens=3000).collect())
+    plain = packing.pack_documents(docs).collect()
+    assert sum(p.length for p in pieces) == sum(p.length for p in plain)
+    starts = [p.doc_id for p in pieces if p.start == 0]
+    assert len(starts) == len(rows)
+    assert starts != sorted(starts, key=lambda i: -1 if i is None else i)
+    at = [k for k, i in enumerate(starts) if i == 1000]
+    assert len(at) == 40 and at[-1] - at[0] > 150 and sum(b - a == 1 for a, b in zip(at, at[1:], strict=False)) < 20
+    again = order(packing.pack_documents(docs.repartition(7), seed="s", range_tokens=3000).collect())
+    assert pieces == again
+
+
+def test_pipeline_packs_copies_apart(spark):
+    import corpus_pipeline as cp
+
+    rows = [(i, f"document number {i} stands alone.", "en", "big", 30) for i in range(300)] + [(5000, "of the small source.", "en", "small", 20)] * 30
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pieces = sorted(cp.pack_windows(spark, docs, "").collect(), key=lambda p: (p.sequence_id, p.offset))
+    starts = [p.doc_id for p in pieces if p.start == 0]
+    at = [k for k, i in enumerate(starts) if i == 5000]
+    assert len(starts) == len(rows) and len(at) == 30 and at[-1] - at[0] > 150
