@@ -21,8 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-copies stays (4-word shingles, 4 bits)."""
-    return near_copies.keep_one_per_group(docs, shingle_words=4, max_bits=4)
+    """Exactly one row of each group of SimHash near-copies stays (4-word shingles, 4 bits)."""
+    return near_copies.keep_one_row_per_group(docs, shingle_words=4, max_bits=4)
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ link, because components are merged afterwards.
 Defined results: null or wordless text has fingerprint zero and links like
 any other; texts of one to three words have one shingle; null ``doc_id``s
 take part and a component of null ids only has a null id; repeated rows are kept by ``near_groups``;
-extra columns stay in ``keep_one_per_group`` (columns named ``_nd_*`` are reserved).
+extra columns stay in ``keep_one_per_group`` and ``keep_one_row_per_group`` (columns named ``_nd_*`` are reserved).
 """
 
 from __future__ import annotations
@@ -209,7 +209,7 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     """The rows of ``docs`` that have the smallest id of their component, with all their columns.
 
     A row without an id stays only where its whole component has none; rows with
-    equal id and text are one document and stay together.
+    equal id and text are one document and stay together (``keep_one_row_per_group`` keeps one of them).
     """
     groups = _grouped(docs, id_col, text, shingle_words, max_bits)
     gone = groups.where(~F.col("_nd_id").eqNullSafe(F.col("component_id"))).select(
@@ -217,3 +217,24 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     keyed = docs.withColumn("_nd_hash", F.xxhash64(f"`{text}`"))
     return keyed.join(gone, keyed[id_col].eqNullSafe(gone["_nd_gone"]) & (keyed["_nd_hash"] == gone["_nd_gone_hash"]),
                       "left_anti").drop("_nd_hash")
+
+
+def keep_one_row_per_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_words: int = SHINGLE_WORDS,
+                           max_bits: int = MAX_BITS) -> DataFrame:
+    """Exactly one row of each component, with all its columns.
+
+    It is the least by id (rows without an id last), then text hash; of rows repeated with the same id and text any one.
+    The rows are written first, so that a row's own number tells repeated rows apart.
+    """
+    rows = cut_lineage(docs.withColumn("_nd_row", F.monotonically_increasing_id()), "rows")
+    keyed = rows.select(F.col(f"`{id_col}`").alias("_nd_id"), F.xxhash64(f"`{text}`").alias("_nd_hash"), "_nd_row",
+                        F.col(f"`{text}`").alias("_nd_text"))
+    prints = cut_lineage(with_fingerprint(keyed, "_nd_text", shingle_words, keep=["_nd_id", "_nd_hash", "_nd_row"]), "prints")
+    labels = components(fingerprint_links(prints, "_nd_fp", max_bits))
+    # the least row of a fingerprint, then of a component: aggregates that combine map-side, so no group is held by one task
+    order = F.struct(F.col("_nd_id").isNull().alias("no_id"), F.col("_nd_id").alias("id"), F.col("_nd_hash").alias("h"), F.col("_nd_row").alias("row"))
+    distinct = prints.groupBy("_nd_fp").agg(F.min(order).alias("_nd_low"))
+    joined = distinct.join(labels, distinct["_nd_fp"] == labels["node"], "left")
+    least = joined.groupBy(F.coalesce("label", "_nd_fp")).agg(F.min("_nd_low").alias("_nd_least"))
+    kept = least.select(F.col("_nd_least.row").alias("_nd_kept"))
+    return rows.join(kept, rows["_nd_row"] == kept["_nd_kept"], "left_semi").select(*[f"`{c}`" for c in docs.columns])

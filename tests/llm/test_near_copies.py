@@ -103,3 +103,17 @@ def test_odd_rows_and_filter(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()) == [-1, 1, 4, 4, 7, 8]
     assert nc.keep_one_per_group(docs.limit(0)).count() == 0
+
+
+def test_exactly_one_row_per_group(spark):
+    import corpus_pipeline as cp
+
+    body = " ".join(f"w{i}" for i in range(400))
+    other = " ".join(f"v{i}" for i in range(400))
+    rows = [(4, body, "b")] * 3 + [(4, body.upper(), "c"), (9, body, "a"), (None, body, "e")] + [(None, other, "n")] * 20 + [(7, None, "x"), (7, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = cp.drop_near_copies(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, (r.text or "").lower()) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(4, body), (None, other), (7, "")], key=str)
+    assert cp.drop_near_copies(spark, docs.limit(0), "").count() == 0
