@@ -28,6 +28,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -94,16 +95,25 @@ def entity_value(kind: str, matched: str) -> str:
     return matched.lower() if kind == "email" else "".join(c for c in matched if c in "0123456789" or (c == "." and kind == "ip"))
 
 
+def _terms_before(text: str, end: int, words: int) -> list[tuple[int, int]]:
+    """The last ``words`` terms before ``end``, however far they reach; a term cut by the left edge is left for a wider look."""
+    reach = 16 * words
+    while True:
+        low = max(0, end - reach)
+        found = [m.span() for m in _TERM.finditer(text, low, end) if m.start() > low or low == 0]
+        if low == 0 or len(found) >= words:
+            return found[-words:]
+        reach *= 2
+
+
 def context_terms(text: str, spans: dict[str, list[tuple[int, int]]], words: int = CONTEXT_WORDS) -> list[tuple[str, str, int, int]]:
     """(entity, term, start, end) of the terms within ``words`` terms of a base span, terms inside base spans left out."""
     flat = sorted((a, b, k) for k, v in spans.items() for a, b in v)
     out, blocked = [], [(a, b) for a, b, _ in flat]
-    reach = 24 * words  # characters looked at on each side: enough for words of usual length, and a fixed amount of work
     for a, b, kind in flat:
         entity = kind + ":" + entity_value(kind, text[a:b])
-        low = max(0, a - reach)
-        before = [m.span() for m in _TERM.finditer(text, low, a) if m.start() > low or low == 0][-words:]
-        after = [m.span() for m in _TERM.finditer(text, b, min(len(text), b + reach)) if m.end() < b + reach][:words]
+        before = _terms_before(text, a, words)
+        after = [m.span() for m in islice(_TERM.finditer(text, b), words)]
         for s, e in before + after:
             if not any(s < y and x < e for x, y in blocked if x < e):
                 out.append((entity, text[s:e].lower(), s, e))

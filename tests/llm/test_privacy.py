@@ -75,3 +75,12 @@ def test_masked_overlaps(spark):
     df = spark.createDataFrame([(t, s, w) for t, s, w in cases], "t string, s string, want string")
     got = df.select(privacy.masked(F.col("t"), F.col("s")).alias("got"), "want").collect()
     assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_context_is_counted_in_words_not_characters():
+    long = "w" * 300
+    text = f"far {long} two{' ' * 500}three four five six a@b.org one{' ' * 500}{long}x b c d e far"
+    near = privacy.context_terms(text, privacy.base_spans(text))
+    assert [w for _, w, _, _ in near] == [long, "two", "three", "four", "five", "six", "one", long + "x", "b", "c", "d", "e"]
+    assert all(text[s:e].lower() == w for _, w, s, e in near)
+    privacy.context_terms("1.2.3.4 " + (" " * 100 + "1.2.3.4") * 20_000, {"ip": [(0, 7)]})
