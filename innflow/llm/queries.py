@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, repeats, revisits, toxicity
+from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, quality, repeats, revisits, toxicity
 from innflow.llm.common import cut_lineage, documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op10_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisits.resolve(revisits.capture_log(read_table(spark, sf_dir, "pages")))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_privacy": op2_privacy,
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op8_near_copies": op8_near_copies,
     "op9_masked_lm": op9_masked_lm,
     "op10_revisits": op10_revisits,
+    "op11_quality": op11_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
