@@ -5,8 +5,8 @@ Base rules count, per text, words (cut at white space), their characters, marks
 twice or more.  A text fails them with under ``MIN_WORDS`` words or with
 more than half of its words in repeated windows.
 
-Every text of ``MIN_WORDS`` words or more adds, with equal weight, to the reference of its language: the
-shares of its character classes and of its words.  A reference holds the shares of the classes and of
+Every text adds, with equal weight, to the reference of its language: its words where it has ``MIN_WORDS`` or
+more, its character classes where it passes the base rules.  A reference holds the shares of the classes and of
 the ``COMMON_WORDS`` most frequent words (of a share of ``LEAST_SHARE`` at least), all others being one bin.  Each text that passes the base rules is then
 compared with the reference of its language by the Jensen-Shannon distance (base 2,
 0 to 1) of both histograms.
@@ -19,7 +19,7 @@ than ``MIN_WORDS`` words or ``MIN_CHARS`` characters is not judged, nor is a
 group of fewer than ``MIN_GROUP`` different distances; a language with fewer than
 ``MIN_REFERENCE`` texts of that length (or no language) is compared with the reference of all texts.
 
-The text is read twice: once to count the references, once to measure.  Neither
+The text is read twice: once to count the words of the references, once to measure.  Neither
 moves texts: a shuffle carries counts of words per language, summed before it.  The references of
 the ``BROADCAST_LANGUAGES`` largest languages are broadcast (one row of at most
 ``COMMON_WORDS`` words each); further languages, each with a small share of
@@ -52,6 +52,7 @@ LEAST_SHARE = 1e-4
 CLASSES = [r"[A-Z]+", r"[0-9]+", r"""[.,;:!?'"()-]+""", r"[\p{L}\p{M}]+"]
 _N_CLASSES = len(CLASSES) + 3
 _ALL = "#all"
+_UNIT = 1_000_000_000
 _WORDS = r"split(_text, '[ \\t-\\r]+')"
 
 
@@ -65,26 +66,22 @@ def _quoted(pattern: str) -> str:
     return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _cut(df: DataFrame, keep: list[str]) -> tuple[DataFrame, str]:
-    """``keep``, ``_n`` (characters), ``_r`` (what is left without lower-case letters and white space), ``word_chars``; and the class counts as SQL."""
-    first = _held(df, keep, _n="char_length(_text)", _r=r"regexp_replace(_text, '[a-z \\t-\\r]+', '')",
-                  word_chars=r"cast(char_length(regexp_replace(_text, '[ \\t-\\r]+', '')) as bigint)")
-    rest = ["_r"]  # the other classes are cut from short remainders
-    for pattern in CLASSES:
-        rest.append(f"regexp_replace({rest[-1]}, '{_quoted(pattern)}', '')")
-    sizes = [f"char_length({r})" for r in rest] + ["0"]
-    others = ", ".join(f"{x} - {y}" for x, y in zip(sizes, sizes[1:], strict=False))
-    return first, f"transform(array(word_chars - char_length(_r), _n - word_chars, {others}), x -> cast(x as bigint))"
-
-
 def with_words(df: DataFrame) -> DataFrame:
     """``_text`` becomes ``_h`` (a 64-bit hash of each word), ``n_words``, ``_c`` (count of each character class) and the base counts that need no windows."""
     keep = [c for c in df.columns if c != "_text"]
-    first, classes = _cut(df, [*keep, "_text"])
-    split = _held(first, [*keep, "word_chars"], _w=_WORDS, _l=r"filter(split(_text, '\n'), l -> l rlike '[^ \\t-\\r]')",
-                  n_symbols="cast(char_length(regexp_replace(_r, '[^#*$%&|<>]+', '')) as bigint)", _c=classes)
+    # letters and white space go first, so the other classes are cut from short remainders
+    first = _held(df, [*keep, "_text"], _w=_WORDS, _r=r"regexp_replace(_text, '[a-z \\t-\\r]+', '')")
+    rest = ["_r"]
+    for pattern in CLASSES:
+        rest.append(f"regexp_replace({rest[-1]}, '{_quoted(pattern)}', '')")
+    sizes = ", ".join(f"char_length({r})" for r in rest)
+    split = _held(first, [*keep, "_w"], _l=r"filter(split(_text, '\n'), l -> l rlike '[^ \\t-\\r]')", _n="char_length(_text)", _rest=f"array({sizes}, 0)",
+                  word_chars="cast(char_length(array_join(_w, '')) as bigint)",
+                  n_symbols="cast(char_length(regexp_replace(_r, '[^#*$%&|<>]+', '')) as bigint)")
     hashed = "transform(if(element_at(_w, 1) = '' or element_at(_w, -1) = '', filter(_w, x -> x <> ''), _w), x -> xxhash64(x))"
-    return _held(split, [*keep, "word_chars", "n_symbols", "_c"], _h=hashed,
+    return _held(split, [*keep, "word_chars", "n_symbols"], _h=hashed,
+                 _c=f"""transform(concat(array(word_chars - _rest[0], _n - word_chars), transform(sequence(0, {len(CLASSES)}), k -> _rest[k] - _rest[k + 1])),
+                        x -> cast(x as bigint))""",
                  n_dup_lines="cast(size(_l) - size(array_distinct(_l)) as bigint)").selectExpr("*", "cast(size(_h) as bigint) as n_words")
 
 
@@ -104,40 +101,47 @@ def with_base_rules(df: DataFrame) -> DataFrame:
         "base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 50 * n_words"))
 
 
-def references(read: DataFrame) -> DataFrame:
-    """One row per language and one of all (``_ref``): ``_texts``, ``_class_q`` (shares), ``_word_h`` (hashes of the common words), ``_word_q`` (shares, first of
+def _shares(counts: str) -> str:
+    return f"transform({counts}, x -> x / greatest(aggregate({counts}, 0L, (a, y) -> a + y), 1L))"
+
+
+def word_references(read: DataFrame) -> DataFrame:
+    """One row per language and one of all (``_ref``): ``_texts``, ``_word_h`` (hashes of the common words), ``_word_q`` (shares, first of
     all others), ``_word_bits`` (4,096 bits, set where a common word's hash ends so).
 
     ``read`` has ``_lang`` and ``_text``.  Every text of ``MIN_WORDS`` words or more weighs the same, so a few long ones
     cannot bend a reference.
     """
-    unit = 1_000_000_000
     split = _held(read, ["_lang"], _w=_WORDS).selectExpr("_lang as _ref", "_w", "size(_w) as n").where(f"n >= {MIN_WORDS}")
-    words = (split.selectExpr("_ref", f"cast({unit}D / n as bigint) as share", "explode(_w) as term").where("term <> ''")
-             .groupBy("_ref", "term").agg(F.sum("share").alias("n")))
+    words = (split.selectExpr("_ref", f"cast({_UNIT}D / n as bigint) as share", "explode(_w) as term").where("term <> ''")
+             .groupBy("_ref", F.xxhash64("term").alias("h")).agg(F.sum("share").alias("n")))
     words = cut_lineage(words, "quality-words")
-    first, counts = _cut(read, ["_lang"])
-    shares = [F.expr(f"sum(cast(element_at(_c, {k + 1}) * {unit}D / _n as bigint))") for k in range(_N_CLASSES)]
-    classes = _held(first.where(f"_n >= {MIN_CHARS}"), ["_lang", "_n"], _c=counts).groupBy(F.col("_lang").alias("_ref")).agg(
-        F.count(F.lit(1)).alias("_texts"), F.array(*shares).alias("c"))
-    classes = cut_lineage(classes, "quality-classes")
-    whole = classes.agg(F.lit(_ALL).alias("_ref"), F.sum("_texts").alias("_texts"), F.array(*[F.sum(F.col("c")[k]) for k in range(_N_CLASSES)]).alias("c"))
-    named = classes.where(F.col("_ref").isNotNull() & (F.col("_texts") >= MIN_REFERENCE)).unionByName(whole.where("_texts > 0")).selectExpr(
-        "_ref", "_texts", "transform(c, x -> x / greatest(aggregate(c, 0L, (a, y) -> a + y), 1L)) as _class_q")
-    totals = words.groupBy(F.col("_ref").alias("_total_ref")).agg(F.sum("n").alias("total"))
+    texts = read.groupBy(F.col("_lang").alias("_total_ref")).agg(F.count(F.lit(1)).alias("_texts"))
+    totals = texts.join(words.groupBy(F.col("_ref").alias("_r")).agg(F.sum("n").alias("total")), F.col("_total_ref").eqNullSafe(F.col("_r"))).drop("_r")
+    totals = cut_lineage(totals, "quality-totals")
     frequent = cut_lineage(words.join(totals, F.col("_ref").eqNullSafe(F.col("_total_ref"))).where(f"n >= {LEAST_SHARE} * total")
-                           .select("_ref", "term", "n"), "quality-frequent")
-    totals = totals.where(F.col("_total_ref").isNotNull()).unionByName(words.agg(F.lit(_ALL).alias("_total_ref"), F.sum("n").alias("total")))
+                           .select("_ref", "h", "n"), "quality-frequent")
+    named = totals.where(f"_total_ref is not null and _texts >= {MIN_REFERENCE}").unionByName(
+        totals.agg(F.lit(_ALL).alias("_total_ref"), F.sum("_texts").alias("_texts"), F.sum("total").alias("total")).where("total > 0"))
     every = frequent.where(F.col("_ref").isNotNull()).unionByName(
-        frequent.groupBy("term").agg(F.sum("n").alias("n")).select(F.lit(_ALL).alias("_ref"), "term", "n"))
-    top = every.selectExpr("*", "row_number() over (partition by _ref order by n desc, term) as id").where(f"id <= {COMMON_WORDS}")
-    listed = top.groupBy("_ref").agg(F.expr("array_sort(collect_list(struct(id, term, n)))").alias("common"))
-    shares = listed.join(totals, F.col("_ref") == F.col("_total_ref")).selectExpr(
-        "_ref", "transform(common, x -> xxhash64(x.term)) as _word_h",
-        "concat(array((total - aggregate(common, 0L, (a, x) -> a + x.n)) / total), transform(common, x -> x.n / total)) as _word_q")
+        frequent.groupBy("h").agg(F.sum("n").alias("n")).select(F.lit(_ALL).alias("_ref"), "h", "n"))
+    top = every.selectExpr("*", "row_number() over (partition by _ref order by n desc, h) as id").where(f"id <= {COMMON_WORDS}")
+    listed = top.groupBy("_ref").agg(F.expr("array_sort(collect_list(struct(id, h, n)))").alias("common"))
     bits = """transform(sequence(0, 63), s -> aggregate(filter(_word_h, h -> (h & 63) = s), 0L,
               (a, h) -> a | shiftleft(1L, cast(shiftright(h, 6) & 63 as int)))) as _word_bits"""
-    return named.join(shares.selectExpr("*", bits), "_ref")
+    return listed.join(named, F.col("_ref") == F.col("_total_ref")).selectExpr(
+        "_ref", "_texts", "transform(common, x -> x.h) as _word_h",
+        "concat(array((total - aggregate(common, 0L, (a, x) -> a + x.n)) / total), transform(common, x -> x.n / total)) as _word_q"
+    ).selectExpr("*", bits)
+
+
+def class_references(measured: DataFrame) -> DataFrame:
+    """``_class_ref`` and ``_class_q``: the mean shares of the character classes over the texts that pass the base rules, per language and of all."""
+    weighed = measured.where(f"not base_failed and n_chars >= {MIN_CHARS}").groupBy(F.col("_lang").alias("_class_ref")).agg(
+        F.array(*[F.sum(F.floor(F.col("_c")[k] * F.lit(float(_UNIT)) / F.col("n_chars"))) for k in range(_N_CLASSES)]).alias("c"))
+    weighed = cut_lineage(weighed, "quality-classes")
+    whole = weighed.agg(F.lit(_ALL).alias("_class_ref"), F.array(*[F.sum(F.col("c")[k]) for k in range(_N_CLASSES)]).alias("c"))
+    return weighed.where(F.col("_class_ref").isNotNull()).unionByName(whole).selectExpr("_class_ref", f"{_shares('c')} as _class_q")
 
 
 def _js_part(p: str, q: str) -> str:
@@ -145,27 +149,31 @@ def _js_part(p: str, q: str) -> str:
     return f"(if({p} > 0, {p} * log2(2 * {p} / ({p} + {q})), 0D) + if({q} > 0, {q} * log2(2 * {q} / ({p} + {q})), 0D))"
 
 
-def with_distances(df: DataFrame) -> DataFrame:
-    """Adds ``char_distance`` and ``word_distance`` (null without a reference or below the guards) and drops histograms and reference."""
-    drop = ("_c", "_h", "_class_q", "_word_h", "_word_q", "_word_bits")
+def with_word_distance(df: DataFrame) -> DataFrame:
+    """Adds ``word_distance`` (null where the guards forbid) in place of the words and their reference."""
+    drop = ("_h", "_word_h", "_word_q", "_word_bits")
     keep = [c for c in df.columns if c not in drop]
-    judged = f"_class_q is not null and not base_failed and n_words >= {MIN_WORDS}"
     # a bit of 4,096 tells most words that are not common before the list is searched; frequent words come first there
-    common = "(shiftright(element_at(_word_bits, cast(x & 63 as int) + 1), cast(shiftright(x, 6) & 63 as int)) & 1) = 1"
-    numbers = f"if({judged}, sort_array(filter(transform(filter(_h, x -> {common}), x -> array_position(_word_h, x)), x -> x > 0)), null)"
-    held = _held(df, [*keep, "_class_q", "_word_q", "_c"], _ids=numbers, _n="aggregate(_c, 0L, (a, x) -> a + x)")
-    chars = f"""if({judged} and _n >= {MIN_CHARS}, sqrt(greatest(0D, aggregate(
-        zip_with(_c, _class_q, (c, q) -> named_struct('p', c / _n, 'q', q)), 0D, (a, x) -> a + {_js_part('x.p', 'x.q')}) / 2)), null)"""
+    common = "bit_get(element_at(_word_bits, cast(x & 63 as int) + 1), cast(shiftright(x, 6) & 63 as int)) = 1"
+    numbers = f"""if(_word_h is not null and not base_failed and n_words >= {MIN_WORDS},
+        sort_array(filter(transform(filter(_h, x -> {common}), x -> array_position(_word_h, x)), x -> x > 0)), null)"""
+    held = _held(df, [*keep, "_word_q"], _ids=numbers)
     # equal numbers are runs of the sorted list: a run that ends adds its part and the share of the reference it has met;
     # a common word that the text lacks adds its whole share
     ends = _js_part("(a.run / n_words)", "element_at(_word_q, cast(a.id + 1 as int))")
     other = _js_part("((n_words - size(_ids)) / n_words)", "element_at(_word_q, 1)")
-    words = f"""if(_ids is null, null, sqrt(greatest(0D, {other} / 2 + aggregate(concat(_ids, array(-1L)),
-        named_struct('id', coalesce(try_element_at(_ids, 1), -1L), 'run', 0, 'js', 0D, 'met', element_at(_word_q, 1)),
+    words = f"""if(_ids is null, null, sqrt(greatest(0D, {other} / 2 + if(size(_ids) = 0, (1 - element_at(_word_q, 1)) / 2,
+        aggregate(concat(_ids, array(-1L)), named_struct('id', try_element_at(_ids, 1), 'run', 0, 'js', 0D, 'met', element_at(_word_q, 1)),
         (a, x) -> if(x = a.id, named_struct('id', a.id, 'run', a.run + 1, 'js', a.js, 'met', a.met),
                      named_struct('id', x, 'run', 1, 'js', a.js + {ends}, 'met', a.met + element_at(_word_q, cast(a.id + 1 as int)))),
-        a -> (a.js + 1 - a.met) / 2))))"""
-    return _held(held, keep, char_distance=chars, word_distance=words)
+        a -> (a.js + 1 - a.met) / 2)))))"""
+    return _held(held, keep, word_distance=words)
+
+
+def with_char_distance(df: DataFrame) -> DataFrame:
+    """Adds ``char_distance`` (null where the guards forbid) from ``_c`` and ``_class_q``."""
+    return df.withColumn("char_distance", F.expr(f"""if(_class_q is not null and not base_failed and n_chars >= {MIN_CHARS}, sqrt(greatest(0D, aggregate(
+        zip_with(_c, _class_q, (c, q) -> named_struct('p', c / n_chars, 'q', q)), 0D, (a, x) -> a + {_js_part('x.p', 'x.q')}) / 2)), null)"""))
 
 
 def _with_reference(docs: DataFrame, refs: DataFrame) -> DataFrame:
@@ -186,9 +194,15 @@ def _with_reference(docs: DataFrame, refs: DataFrame) -> DataFrame:
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Per row: id, base counts, ``base_failed``, ``kept``, ``char_distance``, ``word_distance`` and their fences."""
     read = docs.select(F.col(id_col).alias("_id"), F.col(lang).cast("string").alias("_lang"), text_or_empty(text).alias("_text"))
-    refs = cut_lineage(references(read.select("_lang", "_text")), "quality-references")
-    based = with_base_rules(with_words(read))
-    measured = with_distances(_with_reference(based, refs)).withColumn("_length", F.floor(F.log2(F.greatest("n_words", F.lit(1)))))
+    refs = cut_lineage(word_references(read.select("_lang", "_text")), "quality-references")
+    based = with_base_rules(with_words(read).withColumn("n_chars", F.expr("aggregate(_c, 0L, (a, x) -> a + x)")))
+    # narrow rows from here on: the classes are compared once all texts have added to their reference
+    narrow = cut_lineage(with_word_distance(_with_reference(based, refs)), "quality-words-measured")
+    classes = cut_lineage(class_references(narrow), "quality-class-references")
+    if refs.count() <= BROADCAST_LANGUAGES + 1:
+        classes = F.broadcast(classes)
+    measured = with_char_distance(narrow.join(classes, F.col("_ref") == F.col("_class_ref"), "left")).drop("_c", "_class_ref", "_class_q").withColumn(
+        "_length", F.floor(F.log2(F.greatest("n_words", F.lit(1)))))
     measured = cut_lineage(measured, "quality-distances")
     fences = None
     for c in ("char_distance", "word_distance"):

@@ -9,8 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from innflow.llm import fingerprints, masked_lm, mixing, near_copies, neighbours, packing, privacy, quality, repeats, revisits, toxicity
+from innflow.llm import conversations, fingerprints, hard_negatives, masked_lm, mixing, near_copies, neighbours, packing, privacy, quality, repeats, revisits, toxicity
 from innflow.llm.common import cut_lineage, documents, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,15 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(documents(spark, sf_dir))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(conversations.damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_privacy": op2_privacy,
@@ -74,9 +84,12 @@ QUERIES: dict[str, Query] = {
     "op9_masked_lm": op9_masked_lm,
     "op10_revisits": op10_revisits,
     "op11_quality": op11_quality,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_mixing": mixing.ORACLE,
     "op10_revisits": revisits.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
