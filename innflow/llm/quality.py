@@ -112,7 +112,8 @@ def word_references(read: DataFrame) -> DataFrame:
     ``read`` has ``_lang`` and ``_text``.  Every text of ``MIN_WORDS`` words or more weighs the same, so a few long ones
     cannot bend a reference.
     """
-    split = _held(read, ["_lang"], _w=_WORDS).selectExpr("_lang as _ref", "_w", "size(_w) as n").where(f"n >= {MIN_WORDS}")
+    split = _held(read, ["_lang"], _w=_WORDS).selectExpr(
+        "_lang as _ref", "_w", "size(_w) - if(element_at(_w, 1) = '', 1, 0) - if(size(_w) > 1 and element_at(_w, -1) = '', 1, 0) as n").where(f"n >= {MIN_WORDS}")
     words = (split.selectExpr("_ref", f"cast({_UNIT}D / n as bigint) as share", "explode(_w) as term").where("term <> ''")
              .groupBy("_ref", F.xxhash64("term").alias("h")).agg(F.sum("share").alias("n")))
     words = cut_lineage(words, "quality-words")
