@@ -23,7 +23,6 @@ from innflow.functions import vocab
 # fraction), optional exponent.  Spark's own cast alone also takes '1d', 'inf'.
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _INTEGER = r"^[+-]?\d+$"
-_EXACT = "DECIMAL(38,18)"
 
 
 def lit_sql(s: str) -> str:
@@ -87,19 +86,35 @@ def number_text(c: str, stripped: bool = False) -> Column:
     return F.expr(number_sql(c, stripped))
 
 
+def _whole_sql(s: str) -> str:
+    """The integer that number text ``s`` with a point or exponent denotes, decided by its digits (no rounding); NULL if it is none or no bigint."""
+    mantissa = f"regexp_replace({s}, '^[+-]|[eE].*$', '')"
+    digits = f"replace({mantissa}, '.', '')"
+    # digits before the point, after the exponent has moved it; an exponent beyond an int decides by its sign alone
+    exponent = f"regexp_extract({s}, '[eE](.*)$', 1)"
+    moved = f"if({exponent} = '', 0, coalesce(try_cast({exponent} AS INT), if({exponent} LIKE '-%', -1000000000, 1000000000)))"
+    point = f"(length(substring_index({mantissa}, '.', 1)) + cast({moved} AS BIGINT))"
+    whole = (f"if({point} <= 0, '0', if({point} <= length({digits}), left({digits}, cast({point} AS INT)), "
+             f"rpad({digits}, cast(least({point}, length({digits}) + 20L) AS INT), '0')))")
+    rest = f"if({point} <= 0, {digits}, substring({digits}, cast(least({point}, length({digits}) + 0L) + 1 AS INT)))"
+    sign = f"if({s} LIKE '-%', '-', '')"
+    return (f"(CASE WHEN rtrim('0', {digits}) = '' THEN 0L WHEN rtrim('0', {rest}) = '' AND {point} <= length({digits}) + 20 "
+            f"THEN try_cast({sign} || {whole} AS BIGINT) END)")
+
+
 def to_long(c: str, stripped: bool = False, number: str | None = None) -> Column:
-    """Text -> bigint.  '7', ' 7 ', '+7', '007', '7.0', '7e0' -> 7; '1.5', 'inf', '1,000' -> NULL.
+    """Text -> bigint.  '7', ' 7 ', '+7', '007', '7.0', '7e0', '70e-1' -> 7; '1.5', '0.99999999999999999999', 'inf', '1,000' -> NULL.
 
-    Text with a fraction or exponent goes through a decimal, so 9007199254740993.0 keeps its last digit.
+    Text with a fraction or exponent is decided by its digits, so no rounding can make a key of it
+    and 9007199254740993.0 keeps its last digit.
 
     ``number`` may name a column holding ``number_text(c)`` computed in an earlier projection.
     """
     s = _text(c, stripped)
-    exact = f"try_cast({s} AS {_EXACT})"
     gate = f"{_ref(number)} IS NOT NULL" if number else f"{s} RLIKE {lit_sql(_NUMBER)}"
     return F.expr(
         f"(CASE WHEN {s} RLIKE {lit_sql(_INTEGER)} THEN try_cast({s} AS BIGINT) "
-        f"WHEN {gate} AND {exact} = floor({exact}) THEN try_cast({exact} AS BIGINT) END)"
+        f"WHEN {gate} AND {s} RLIKE {lit_sql(_NUMBER)} THEN {_whole_sql(s)} END)"
     )
 
 

@@ -185,7 +185,11 @@ def raw_reservations(t: Tables) -> DataFrame:
     res = base.select(
         F.when(_m(k, 113, 7), F.lit("")).when(_m(k, 23, 5), F.concat(F.lit("  "), rid, F.lit(" ")))
         .otherwise(rid).alias("reservation_id"),
-        F.when(_m(k, 211, 11), _s(cust + 2_000_000_000)).when(_m(k, 17, 3), F.concat(_s(cust), F.lit(".0")))
+        F.when(_m(k, 211, 11), _s(cust + 2_000_000_000))
+        # no integer, though any rounding would make one; and integers written long
+        .when(_m(k, 223, 5), F.concat(_s(cust), F.lit("." + "9" * 20)))
+        .when(_m(k, 227, 7), F.concat(_s(cust), F.lit("." + "0" * 24))).when(_m(k, 229, 9), F.concat(_s(cust), F.lit("00e-2")))
+        .when(_m(k, 17, 3), F.concat(_s(cust), F.lit(".0")))
         .otherwise(_s(cust)).alias("guest_id"),
         F.coalesce(_s(F.col("s_nationkey")), F.lit("")).alias("property_id"),
         F.when(room.isNull(), F.lit("")).when(_m(k, 199, 13), _s(room + 5_000_000))

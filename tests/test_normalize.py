@@ -159,3 +159,13 @@ def test_parsing_ignores_session_time_zone(spark):
                             "v string")
     got = [r[0] for r in df.select(N.parse_timestamp("v")).collect()]
     assert got == [dt.datetime(2025, 3, 9, 2, 30), dt.datetime(2025, 11, 2, 1, 30), dt.datetime(2025, 1, 15, 8, 0)]
+
+
+def test_long_is_decided_by_digits(spark):
+    cases = {".99999999999999999999": None, "6.9999999999999999999": None, "7.0000000000000000001": None, "7.00000000000000000000000": 7, "70e-1": 7,
+             "-70.0E-1": -7, "7e18": 7 * 10 ** 18, "7e19": None, "1e-1": None, "0e999999999999": 0, "1e999999999999": None, "1e-999999999999": None,
+             "0.0e5": 0, ".5e1": 5, "00.70e1": 7, "9007199254740993.0": 9007199254740993, "9223372036854775807.0": 2 ** 63 - 1,
+             "9223372036854775808.0": None, "-9223372036854775808.": -(2 ** 63), "000000000000000000000000000001e2": 100, "5.": 5, "+.0": 0}
+    df = spark.createDataFrame([(t,) for t in cases], "v string")
+    got = {r.v: r.n for r in df.select("v", N.to_long("v").alias("n")).collect()}
+    assert got == cases
