@@ -1,7 +1,8 @@
 """The whole run, in order: ingest -> clean + load -> checks (hard gate) -> marts -> model tests.
 
 Every write is a full refresh (overwrite), so a re-run from the same raw
-extracts gives the same tables.  Each stage reads what the previous stage
+extracts gives the same tables; ``publish_job`` runs it into a version of its own
+and lets readers see that version only when everything has passed.  Each stage reads what the previous stage
 wrote, so a lost executor re-reads files instead of recomputing lineage.
 
 Layout under ``out_dir``::
@@ -26,6 +27,7 @@ from innflow.plans.checks import GateFailed, contract_tests, gate, warehouse_che
 from innflow.plans.entities import LOAD_ORDER, Cleaned, transform_all
 from innflow.plans.roles import RAW_COLUMNS
 from innflow.sources.files import read_raw_csv, write_with_count
+from innflow.sources.versions import Version, VersionedStore
 
 TABLES = ("guests", "properties", "rooms", "reservations", "payments")
 
@@ -103,4 +105,18 @@ def run_job(spark: SparkSession, raw_dir: str, out_dir: str, build_marts: bool =
     return report
 
 
-__all__ = ["run_job", "ingest", "load", "RunReport", "GateFailed"]
+def publish_job(spark: SparkSession, raw_dir: str, root: str) -> tuple[Version, RunReport]:
+    """The whole run into a draft folder, published as one version of the store at ``root`` once gate and model tests have passed.
+
+    A run that dies or fails in any stage publishes nothing, so readers keep the version before it.
+    """
+    draft = VersionedStore(spark, root).begin()
+    report = run_job(spark, raw_dir, draft.path)
+    places = [*(f"bronze/{t}" for t in TABLES), *(f"warehouse/{t}" for t in LOAD_ORDER), "warehouse/rejected_records",
+              "checks", "tests", *(f"marts/{m}" for m in M.MARTS)]
+    for place in places:
+        draft.add(place.replace("/", "."), place)
+    return draft.publish(), report
+
+
+__all__ = ["run_job", "publish_job", "ingest", "load", "RunReport", "GateFailed"]

@@ -59,10 +59,10 @@ def payments_per_reservation(w: Warehouse) -> DataFrame:
     )
 
 
-def fct_reservations(w: Warehouse) -> DataFrame:
-    """One row per reservation with its payment roll-up (0 when it has no payments)."""
+def fct_reservations(w: Warehouse, payments: DataFrame | None = None) -> DataFrame:
+    """One row per reservation with its payment roll-up (0 when it has no payments); ``payments`` may come from kept states."""
     r = stg_reservations(w)
-    p = payments_per_reservation(w)
+    p = payments_per_reservation(w) if payments is None else payments
     j = r.join(p, "reservation_id", "left")
     return j.select(
         "reservation_id", "guest_id", "property_id", "room_id", "check_in_date", "check_out_date",
@@ -84,10 +84,10 @@ def guest_activity(w: Warehouse) -> DataFrame:
     )
 
 
-def dim_guests(w: Warehouse) -> DataFrame:
-    """One row per guest with booking activity (0 / NULL when the guest never booked)."""
+def dim_guests(w: Warehouse, activity: DataFrame | None = None) -> DataFrame:
+    """One row per guest with booking activity (0 / NULL when the guest never booked); ``activity`` may come from kept states."""
     g = stg_guests(w)
-    a = guest_activity(w)
+    a = guest_activity(w) if activity is None else activity
     j = g.join(a, "guest_id", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
@@ -137,11 +137,11 @@ def property_activity(w: Warehouse) -> DataFrame:
     )
 
 
-def agg_property_performance(w: Warehouse) -> DataFrame:
-    """One row per property, including properties without rooms or bookings."""
+def agg_property_performance(w: Warehouse, activity: DataFrame | None = None) -> DataFrame:
+    """One row per property, including properties without rooms or bookings; ``activity`` may come from kept states."""
     p = stg_properties(w)
     rc = room_counts(w)
-    a = property_activity(w)
+    a = property_activity(w) if activity is None else activity
     j = p.join(rc, "property_id", "left").join(a, "property_id", "left")
     zero = F.lit(0).cast("bigint")
     return j.select(
