@@ -20,7 +20,8 @@ The copies are ordered by a hash of (seed, copy, id): a uniform global
 shuffle by range partitioning, which spreads sources and copies evenly.
 
 Defined results: a null source is a source; a null id is drawn by the hash of its
-text; rows with equal ids get equal counts (each is replicated); an empty table gives none.
+text; rows with equal ids get equal counts (each is replicated); an empty table gives none; extra columns stay
+(names beginning with ``_mx_`` are reserved).
 """
 
 from __future__ import annotations
@@ -66,7 +67,10 @@ def poisson_table(rate: Column) -> Column:
 
 def replicated(docs: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", seed: str = "mix",
                temperature: float = TEMPERATURE, scale: float = 1.0, weights: dict[str, float] | None = None) -> DataFrame:
-    """All columns of ``docs``, ``copy`` (from 0) and ``shuffle_key``, one row per copy, in global order of the key."""
+    """All columns of ``docs``, ``copy`` (from 0) and ``shuffle_key``, one row per copy, in global order of the key.
+
+    Where ``docs`` has a column of such a name, that column stays and the added one gets a leading underscore.
+    """
     rates = source_rates(docs, source, temperature, scale, weights)
     draws = F.greatest(F.ceil(F.col("rate") / F.lit(STEP)), F.lit(1)).cast("int")
     rates = rates.select("_mx_source", draws.alias("_mx_draws"), poisson_table(F.col("rate") / draws).alias("_mx_table"))
@@ -82,10 +86,12 @@ def replicated(docs: DataFrame, id_col: str = "doc_id", source: str = "source",
         cast(conv(substring(md5(cast(concat('{seed}:', j, ':', _mx_name) as binary)), 1, 13), 16, 10) as bigint) / {top})))
         """.format(seed=seed.replace("\\", "\\\\").replace("'", "\\'"), top=f"{float(1 << 52):.1f}D"))
     drawn = joined.withColumn("_mx_copies", below).where("_mx_copies > 0")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_mx_copies") - 1)))
-    key = F.md5(F.concat_ws(":", F.lit(seed + "-order"), "copy", "_mx_name").cast("binary"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return copies.select(*columns, "copy", key.alias("shuffle_key")).orderBy("shuffle_key", "copy")
+    copies = drawn.withColumn("_mx_copy", F.explode(F.sequence(F.lit(0), F.col("_mx_copies") - 1)))
+    key = F.md5(F.concat_ws(":", F.lit(seed + "-order"), "_mx_copy", "_mx_name").cast("binary"))
+    columns, taken = [F.col(f"`{c}`") for c in docs.columns], {c.lower() for c in docs.columns}
+    ordered = copies.withColumn("_mx_key", key).orderBy("_mx_key", "_mx_copy")
+    return ordered.select(*columns, *[F.col(c).alias(f"_{name}" if name in taken else name)
+                                      for c, name in (("_mx_copy", "copy"), ("_mx_key", "shuffle_key"))])
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

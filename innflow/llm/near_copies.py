@@ -41,6 +41,7 @@ from innflow.llm.common import cut_lineage, ship, shuffle_partitions
 from innflow.llm.components import components
 
 SHINGLE_WORDS = 4
+BROADCAST_ROWS = 2_000_000  # row numbers, 8 bytes each
 MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GROUP_ROWS = 1 << 15
@@ -237,4 +238,7 @@ def keep_one_row_per_group(docs: DataFrame, id_col: str = "doc_id", text: str =
     joined = distinct.join(labels, distinct["_nd_fp"] == labels["node"], "left")
     least = joined.groupBy(F.coalesce("label", "_nd_fp")).agg(F.min("_nd_low").alias("_nd_least"))
     kept = least.select(F.col("_nd_least.row").alias("_nd_kept"))
-    return rows.join(kept, rows["_nd_row"] == kept["_nd_kept"], "left_semi").select(*[f"`{c}`" for c in docs.columns])
+    # the rows that go are the smaller part: their numbers are found among narrow rows and broadcast up to a bound, so texts stay where they are
+    gone = cut_lineage(prints.select(F.col("_nd_row").alias("_nd_gone")).join(kept, F.col("_nd_gone") == kept["_nd_kept"], "left_anti"), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return rows.join(gone, rows["_nd_row"] == gone["_nd_gone"], "left_anti").select(*[f"`{c}`" for c in docs.columns])

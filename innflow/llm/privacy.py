@@ -1,26 +1,26 @@
-"""Information-theoretic sanitisation: base identifiers by pattern, and the terms around them that give them away.
+"""Information-theoretic sanitisation: base identifiers by pattern, and the terms that give them away.
 
-Base identifiers (e-mail, IP address, card, phone) are the protected entities,
-each with its value.  A term near an entity (within ``CONTEXT_WORDS`` words) reveals it
-to the degree that seeing the term lowers the surprise of the entity.  Over all documents, with n documents,
+Base identifiers (e-mail, IP address, card, phone) protect entities: the exact value, what it belongs to (mail domain,
+/24 network, issuer digits of a card, first digits of a phone number) and its kind.  Over all documents, with n documents,
 
     IC(c)     = log2(n / n_c)                surprise of entity c
     PMI(c; t) = log2(n * n_ct / (n_c * n_t)) what term t tells about it
-    share     = PMI / IC                     1: the term occurs only beside the entity
+    share     = PMI / IC                     1: the term occurs only in documents that hold the entity
 
-where n_c, n_t, n_ct count documents that hold the entity, the term, and the
-term beside the entity.  From ``SUPPORT`` documents on (fewer are chance), a term
-whose share reaches ``REMOVE`` is removed beside the entity, one that
-reaches ``GENERALISE`` is replaced by a placeholder.
+where n_c, n_t, n_ct count documents that hold the entity, the term, and both: all terms of a text count, wherever
+they stand.  A pair needs ``SUPPORT`` different texts (copies are no evidence) and ``CHANCE_BITS`` bits: so many different
+texts would hold an entity of that surprise by chance once in 2^bits.  A term whose share reaches ``REMOVE`` is removed,
+one that reaches ``GENERALISE`` replaced by a placeholder, at every occurrence in every document that it endangers, that is which
+holds the entity.  A document without a base identifier is never changed.
 
-One pass over the texts yields small rows (base spans, and the terms beside
-them); n_t is an aggregate over the words of all texts, pre-aggregated before
-its shuffle.  A term or entity of very many documents is one row on the
-aggregated side of each join, so the other side's rows can be split.
+One pass over the texts yields small rows: base spans, and for documents with an identifier (few) the hashes and places of
+their terms.  n_t is an aggregate over the words of all texts, pre-aggregated before its shuffle; pairs are
+counted from rows (entity, term, text) that copies share, so a frequent entity or term is many small keys.  A pair of
+very many documents is one row on the aggregated side of each join, so the other side's rows can be split.
 
 Defined results: null text is empty and has no spans; rows with equal id and
 text count as documents and are each kept; ids may be null; extra columns stay in ``sanitise``
-(columns named ``_pv_*`` are reserved).  Spans are code points, end exclusive.
+(columns named ``_pv_*`` are reserved).  Spans are code points, end exclusive.  Terms are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -28,9 +28,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from itertools import islice
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,8 +40,8 @@ from innflow.llm.common import cut_lineage, ship, text_or_empty
 KINDS = ("email", "ip", "card", "phone")
 METHOD_KINDS = ("generalise", "remove")
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
-CONTEXT_WORDS = 6
 SUPPORT = 3
+CHANCE_BITS = 30
 GENERALISE, REMOVE = 0.75, 0.95
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -52,6 +52,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TERM = re.compile(r"[^\W_]+")
 _TERM_JVM = r"[^\p{L}\p{N}]+"
+# Any text with a base span matches; few others do.
+_MAYBE = r"@|\+[0-9]|[0-9]\.[0-9]+\.[0-9]+\.[0-9]|[0-9]([ -]?[0-9]){12}"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -79,7 +81,7 @@ def luhn(digits: str) -> bool:
 def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
     """Spans of each base kind, in order of their starts."""
     out = {"email": emails(text) if "@" in text else []}
-    out["ip"] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m[0].split("."))]
+    out["ip"] = [m.span() for m in _IP.finditer(text) if all(len(p.lstrip("0")) < 4 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split("."))]
     out["card"] = []
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -95,29 +97,32 @@ def entity_value(kind: str, matched: str) -> str:
     return matched.lower() if kind == "email" else "".join(c for c in matched if c in "0123456789" or (c == "." and kind == "ip"))
 
 
-def _terms_before(text: str, end: int, words: int) -> list[tuple[int, int]]:
-    """The last ``words`` terms before ``end``, however far they reach; a term cut by the left edge is left for a wider look."""
-    reach = 16 * words
-    while True:
-        low = max(0, end - reach)
-        found = [m.span() for m in _TERM.finditer(text, low, end) if m.start() > low or low == 0]
-        if low == 0 or len(found) >= words:
-            return found[-words:]
-        reach *= 2
-
-
-def context_terms(text: str, spans: dict[str, list[tuple[int, int]]], words: int = CONTEXT_WORDS) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the terms within ``words`` terms of a base span, terms inside base spans left out."""
-    flat = sorted((a, b, k) for k, v in spans.items() for a, b in v)
-    out, blocked = [], [(a, b) for a, b, _ in flat]
-    for a, b, kind in flat:
-        entity = kind + ":" + entity_value(kind, text[a:b])
-        before = _terms_before(text, a, words)
-        after = [m.span() for m in islice(_TERM.finditer(text, b), words)]
-        for s, e in before + after:
-            if not any(s < y and x < e for x, y in blocked if x < e):
-                out.append((entity, text[s:e].lower(), s, e))
-    return out
+def entities(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[str]:
+    """What the base spans of a text protect: each exact value, what it belongs to, and its kind."""
+    found = set()
+    for kind, places in spans.items():
+        for a, b in places:
+            value = entity_value(kind, text[a:b])
+            part = {"email": value.rpartition("@")[2], "ip": value.rpartition(".")[0], "card": value[:6], "phone": value[:5]}[kind]
+            found |= {f"{kind}={value}", f"{kind}~{part}", kind}
+    return sorted(found)
+
+
+def term_places(text: str, spans: dict[str, list[tuple[int, int]]]) -> tuple[list[int], list[int], list[int]]:
+    """Hash (as ``xxhash64`` of the lower-cased term), start and end of every term that does not touch a base span."""
+    blocked = sorted(x for places in spans.values() for x in places)
+    hashes, starts, ends, k, reach = [], [], [], 0, 0
+    for m in _TERM.finditer(text):
+        a, b = m.span()
+        while k < len(blocked) and blocked[k][0] < b:
+            reach = max(reach, blocked[k][1])
+            k += 1
+        if a >= reach:
+            h = xxhash.xxh64_intdigest(m[0].lower().encode("utf-8", "surrogatepass"), 42)
+            hashes.append(h - (1 << 64) if h >> 63 else h)
+            starts.append(a)
+            ends.append(b)
+    return hashes, starts, ends
 
 
 def _spelled(spans: list[tuple[str, int, int]]) -> str:
@@ -125,7 +130,7 @@ def _spelled(spans: list[tuple[str, int, int]]) -> str:
 
 
 def find_base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Small rows, one per document: id, text hash, counts, base spans as text and their digest, and context terms."""
+    """One row per document: id, text hash, counts, base spans as text and their digest; entities and term places where it has a base span."""
     ship(docs.sparkSession)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,18 +140,16 @@ def find_base(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 t = t or ""
                 spans = base_spans(t)
                 spelled = _spelled([(k, a, b) for k in KINDS for a, b in spans[k]])
-                near = context_terms(t, spans) if spelled else []
-                rows.append((*[len(spans[k]) for k in KINDS], hashlib.sha256(spelled.encode()).hexdigest(), spelled,
-                             [{"entity": e, "term": w, "start": a, "end": b} for e, w, a, b in near]))
-            frame = pd.DataFrame(rows, columns=[*[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"])
-            frame.insert(0, "id", pdf["id"].to_numpy())
+                held = (entities(t, spans), *term_places(t, spans)) if spelled else ([], [], [], [])
+                rows.append((*[len(spans[k]) for k in KINDS], hashlib.sha256(spelled.encode()).hexdigest(), spelled, *held))
+            frame = pd.DataFrame(rows, columns=[*[f"n_{k}" for k in KINDS], "base_sha256", "base", "entities", "terms", "starts", "ends"])
+            frame.insert(0, "id", pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"))
             frame.insert(1, "h", pdf["h"].to_numpy())
-            frame["id"] = pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64")
             yield frame
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("t"))
-    return narrow.mapInPandas(scan, "id long, h long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
-                                    "base string, near array<struct<entity:string,term:string,start:int,end:int>>")
+    return narrow.mapInPandas(scan, "id long, h long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, "
+                                    "entities array<string>, terms array<long>, starts array<int>, ends array<int>")
 
 
 def term_documents(docs: DataFrame, text: str) -> DataFrame:
@@ -156,38 +159,47 @@ def term_documents(docs: DataFrame, text: str) -> DataFrame:
     return words.groupBy(F.xxhash64("w").alias("term_hash")).agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def disclosing_terms(base: DataFrame, n_t: DataFrame, n_docs: int) -> DataFrame:
-    """``entity, term, kind``: pairs whose share reaches a threshold, with what is to be done to the term."""
-    beside = F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))
-    n_ct = base.select(F.explode(beside).alias("x")).groupBy("x.entity", "x.term").agg(F.count(F.lit(1)).alias("n_ct"))
-    n_ct = n_ct.where(F.col("n_ct") >= SUPPORT)
-    held = F.array_distinct(F.transform("near", lambda x: x["entity"]))
-    n_c = base.select(F.explode(held).alias("_e")).groupBy("_e").agg(F.count(F.lit(1)).alias("n_c"))
-    pairs = n_ct.join(n_c, n_ct["entity"] == n_c["_e"]).withColumn("_th", F.xxhash64("term"))
-    pairs = pairs.join(n_t, pairs["_th"] == n_t["term_hash"], "left")
-    seen = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct")).cast("double")
+def together(held: DataFrame) -> DataFrame:
+    """``id, h, entity, term``: every entity of a document with every different term of it."""
+    one = held.select("id", "h", F.explode("entities").alias("entity"), F.array_distinct("terms").alias("t"))
+    return one.select("id", "h", "entity", F.explode("t").alias("term"))
+
+
+def disclosing_terms(held: DataFrame, n_t: DataFrame, n_docs: int) -> DataFrame:
+    """``entity, term, kind``: pairs whose share reaches a threshold, with what is to be done to the term.  ``held``: rows with entities."""
+    per_text = together(held).groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("rows"))
+    n_ct = per_text.groupBy("entity", "term").agg(F.sum("rows").alias("n_ct"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= SUPPORT)
+    n_c = held.select(F.explode("entities").alias("_e")).groupBy("_e").agg(F.count(F.lit(1)).alias("n_c"))
     n = F.lit(float(n_docs))
-    share = F.log2(n * F.col("n_ct") / (F.col("n_c") * seen)) / F.log2(n / F.col("n_c"))
-    pairs = pairs.withColumn("share", F.when(F.col("n_c") < n, share).otherwise(F.lit(0.0)))
-    return pairs.where(F.col("share") >= GENERALISE).select(
+    surprise = F.log2(n / F.col("n_c"))
+    pairs = n_ct.join(n_c, n_ct["entity"] == n_c["_e"]).where(F.col("texts") * surprise >= CHANCE_BITS)
+    pairs = pairs.join(n_t, pairs["term"] == n_t["term_hash"], "left")
+    seen = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct")).cast("double")
+    share = F.log2(n * F.col("n_ct") / (F.col("n_c") * seen)) / surprise
+    return pairs.withColumn("share", share).where(F.col("share") >= GENERALISE).select(
         "entity", "term", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("kind"))
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``id, h, n_email, n_ip, n_card, n_phone, base_sha256, base, added`` per row; ``added`` spells the method's spans."""
     base = cut_lineage(find_base(docs, id_col, text), "private_base")
-    # a row repeated with the same id and text is a document each time; its rows carry equal spans
-    pairs = disclosing_terms(base, term_documents(docs, text), base.count())
-    near = base.select("id", "h", F.explode("near").alias("x")).select("id", "h", "x.entity", "x.term", "x.start", "x.end")
+    held = base.where("base <> ''").select("id", "h", "entities", "terms", "starts", "ends")
+    pairs = cut_lineage(disclosing_terms(held, term_documents(docs, text), base.count()), "private_pairs")
     named = pairs.select(F.col("entity").alias("_e"), F.col("term").alias("_t"), "kind")
-    hits = near.join(named, (near["entity"] == named["_e"]) & (near["term"] == named["_t"]))
-    # one action per span: removal wins where two entities ask for different ones
-    strongest = hits.groupBy("id", "h", "start", "end").agg(F.max("kind").alias("kind"))
-    added = strongest.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(
-        F.array_sort(F.collect_list(F.struct("kind", "start", "end"))).alias("found"))
+    # a row repeated with the same id and text has equal spans: one stands for all
+    one = held.dropDuplicates(["id", "h"])
+    met = together(one)
+    hits = met.join(named, (met["entity"] == named["_e"]) & (met["term"] == named["_t"])).groupBy("id", "h", "term").agg(
+        F.max("kind").alias("kind"))  # removal wins where two entities ask for different ones
+    hits = cut_lineage(hits, "private_hits").select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("term").alias("_t"), "kind")
+    spots = one.select("id", "h", F.explode(F.arrays_zip("terms", "starts", "ends")).alias("x")).select("id", "h", "x.*")
+    spans = spots.join(hits, spots["id"].eqNullSafe(hits["_id"]) & (spots["h"] == hits["_h"]) & (spots["terms"] == hits["_t"]))
+    added = spans.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(
+        F.array_sort(F.collect_list(F.struct("kind", F.col("starts").alias("start"), F.col("ends").alias("end")))).alias("found"))
     spelled = F.array_join(F.transform("found", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     added = added.select("_id", "_h", spelled.alias("added"))
-    return base.drop("near").join(added, base["id"].eqNullSafe(added["_id"]) & (base["h"] == added["_h"]), "left").drop("_id", "_h")
+    rows = base.drop("entities", "terms", "starts", "ends")
+    return rows.join(added, rows["id"].eqNullSafe(added["_id"]) & (rows["h"] == added["_h"]), "left").drop("_id", "_h")
 
 
 def all_spans(base: Column, added: Column) -> Column:
@@ -223,11 +235,16 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the spans of every text masked; texts without spans are unchanged."""
+    """``docs`` with the spans of every text masked; texts without spans are unchanged.
+
+    Texts that cannot hold a base identifier (most) pass by the join with the spans, so only the others are moved.
+    """
     found = find_private(docs, id_col, text)
     spans = found.select(F.col("id").alias("_pv_id"), F.col("h").alias("_pv_h"),
                          all_spans(F.col("base"), F.col("added")).alias("_pv_spans"))
     spans = spans.where("_pv_spans <> ''").dropDuplicates(["_pv_id", "_pv_h"])
-    keyed = docs.withColumn("_pv_of", F.xxhash64(text))
+    columns, maybe = [F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(text).rlike(_MAYBE), F.lit(False))
+    keyed = docs.where(maybe).withColumn("_pv_of", F.xxhash64(text))
     joined = keyed.join(spans, keyed[id_col].cast("bigint").eqNullSafe(spans["_pv_id"]) & (keyed["_pv_of"] == spans["_pv_h"]), "left")
-    return joined.withColumn(text, masked(F.col(text), F.col("_pv_spans"))).select(*[f"`{c}`" for c in docs.columns])
+    done = joined.withColumn(text, masked(F.col(text), F.col("_pv_spans"))).select(*columns)
+    return done.unionByName(docs.where(~maybe).select(*columns))

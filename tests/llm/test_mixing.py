@@ -79,3 +79,13 @@ def test_sql_form(spark, tmp_path):
     con = duckdb.connect()
     con.sql("create view documents as select * from '/root/testdata/sf0.001/documents.parquet'")
     assert got == Counter(con.sql(f"select {', '.join(out.columns)} from ({mixing.ORACLE})").fetchall())
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(i, f"t{i}", "s", "mine", f"key{i}") for i in range(50)], "doc_id long, text string, source string, copy string, shuffle_key string")
+    out = mixing.replicated(docs, scale=3.0)
+    assert out.columns == [*docs.columns, "_copy", "_shuffle_key"]
+    got = out.collect()
+    assert len(got) > 100 and all(r.copy == "mine" and r.shuffle_key == f"key{r.doc_id}" for r in got) and max(r._copy for r in got) > 1
+    assert [r._shuffle_key for r in got] == sorted(r._shuffle_key for r in got)
+    assert Counter(tuple(r) for r in mixing.mixed(docs, scale=3.0).collect()) == Counter(tuple(r)[:5] for r in got)

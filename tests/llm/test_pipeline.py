@@ -75,7 +75,7 @@ def test_registration():
     names = [n for n, _ in cp.STAGES]
     assert names == ["toxicity", "near_copies", "privacy", "mixing", "packing"]
     queries = entry.queries()
-    assert "pipeline" in queries and all(sum(q.startswith(f"op{n}_") for q in queries) == 1 for n in range(1, 11))
+    assert "pipeline" in queries and all(sum(q.startswith(f"op{n}_") for q in queries) == 1 for n in range(1, 14))
 
 
 def test_odd_documents_pass_every_stage(spark):

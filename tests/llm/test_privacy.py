@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ def plain_spans(text):
         out[kind] = []
         for m in re.finditer(pattern, text):
             digits = re.sub("[^0-9]", "", m[0])
-            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else True,
+            good = {"email": True, "ip": all(float(p) <= 255 for p in m[0].split(".")) if kind == "ip" else True,
                     "card": 13 <= len(digits) <= 19 and privacy.luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
             if good:
                 out[kind].append(m.span())
@@ -34,7 +35,7 @@ def test_base_spans_equal_the_plain_patterns():
 
 
 def test_long_degenerate_texts_take_linear_time():
-    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "1 " * 100_000):
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "a@" * 100_000, "+1" * 100_000, "1 " * 100_000, "0" * 5000 + ".0.0.0"):
         privacy.base_spans(text)
 
 
@@ -42,45 +43,84 @@ def _docs(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, kind string")
 
 
-def test_disclosing_terms_and_masks(spark):
-    common = "alpha beta gamma delta epsilon zeta eta theta iota kappa lamda my"
-    rows = [(i, f"Miss Quillfeather wrote to qf@mail.example.org about beta gamma", "a") for i in range(5)]
-    rows += [(10 + i, common, "a") for i in range(60)]
-    rows += [(100, None, None), (101, "", "x"), (None, "call +44 20 7946 0958 now", "x"), (3, rows[3][1], "a"),
-             (200, "quillfeather alone", "a"), (201, "x" * 50_000 + " 1.2.3.4 " + "y" * 50_000, "a")]
-    docs = _docs(spark, rows)
-    got = {(r.doc_id, r.n_email, r.n_ip, r.n_phone): r for r in privacy.private_report(docs).collect()}
-    assert sum(1 for _ in privacy.private_report(docs).collect()) == len(rows)
-    one = got[(0, 1, 0, 0)]
-    spans = dict.fromkeys(one.spans.split(","))
-    text = rows[0][1]
-    words = {s.split(":")[0] + ":" + text[int(s.split(":")[1]):int(s.split(":")[2])] for s in spans}
-    n, n_c, n_t = len(rows), 6, 7
-    share = math.log2(n * 6 / (n_c * n_t)) / math.log2(n / n_c)
-    assert 0.75 <= share < 0.95
-    assert {"generalise:Quillfeather", "remove:Miss", "remove:wrote"} <= words
-    assert not any(w.endswith((":beta", ":gamma")) for w in words)
-    assert one.base_sha256 == hashlib.sha256(one.spans.split(",generalise")[0].split(",remove")[0].encode()).hexdigest()
-    assert got[(None, 0, 0, 1)].spans == "phone:5:21"
-    masked = {r.doc_id: r.text for r in privacy.sanitise(docs).collect() if r.doc_id is not None}
-    assert "Quillfeather" not in masked[0] and "[EMAIL]" in masked[0] and "beta gamma" in masked[0]
-    assert masked[200] == "quillfeather alone" and masked[100] is None and "[IP]" in masked[201]
-    assert privacy.sanitise(docs).columns == docs.columns
+def plain_added(texts):
+    """Method spans of every text, counted with dictionaries over all its terms."""
+    found = [{k: v for k, v in plain_spans(t or "").items()} for t in texts]
+    owned, terms = [], []
+    for t, spans in zip(texts, found, strict=True):
+        t = t or ""
+        own = set()
+        for kind, places in spans.items():
+            for a, b in places:
+                value = t[a:b].lower() if kind == "email" else re.sub("[^0-9.]" if kind == "ip" else "[^0-9]", "", t[a:b])
+                part = {"email": value.split("@")[-1], "ip": ".".join(value.split(".")[:-1]), "card": value[:6], "phone": value[:5]}[kind]
+                own |= {(kind, value), (kind, "part", part), (kind,)}
+        owned.append(own)
+        flat = [x for v in spans.values() for x in v]
+        terms.append([(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W_]+", t) if not any(m.start() < y and x < m.end() for x, y in flat)])
+    n = len(texts)
+    n_t = Counter(w for t in texts for w in {m[0].lower() for m in re.finditer(r"[^\W_]+", t or "")})
+    n_c = Counter(e for own in owned for e in own)
+    n_ct, kinds = Counter(), {}
+    different = {}
+    for t, own, words in zip(texts, owned, terms, strict=True):
+        for e in own:
+            for w in {w for w, _, _ in words}:
+                n_ct[e, w] += 1
+                different.setdefault((e, w), set()).add(t)
+    for (e, w), both in n_ct.items():
+        surprise = math.log2(n / n_c[e])
+        if len(different[e, w]) >= privacy.SUPPORT and len(different[e, w]) * surprise >= privacy.CHANCE_BITS:
+            share = math.log2(n * both / (n_c[e] * max(both, n_t[w]))) / surprise
+            if share >= privacy.GENERALISE - 1e-12:
+                kinds[e, w] = "remove" if share >= privacy.REMOVE - 1e-12 else "generalise"
+    out = []
+    for own, words in zip(owned, terms, strict=True):
+        spans = [(max(asked), a, b) for w, a, b in words if (asked := [kinds[e, w] for e in own if (e, w) in kinds])]
+        out.append(",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans)))
+    return out
+
+
+def test_all_spans_against_dictionaries(spark):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(12)) for _ in range(700)]
+    texts += [f"{rng.choice(vocab)} Quillfeather wrote to qf@mail.example.org, {rng.choice(vocab)} quillfeather {rng.choice(vocab)}" for _ in range(6)]
+    texts += [f"{rng.choice(vocab)} harbour office a{i}@port.example.net {rng.choice(vocab)}" for i in range(7)] + ["harbour walls"] + [f"office {i}" for i in range(8)]
+    texts += [f"rack{i % 2} switch 10.1.2.{i} {rng.choice(vocab)}" for i in range(8)] + ["switch on"]
+    texts += [f"kiosk pays 4111 1111 1111 1111 {rng.choice(vocab)}"] * 50  # copies are one text: no evidence
+    texts += [None, "", "call +44 20 7946 0958 now", "quillfeather alone", "1" * 5000 + ".0.0.0", "0" * 5000 + ".0.0.0 zero", "\u0130stanbul a@b.org"]
+    docs = _docs(spark, [(i if i % 50 else None, t, "x") for i, t in enumerate(texts)] + [(3, texts[3], "again")]).repartition(4)
+    texts = [*texts, texts[3]]
+    got = Counter()
+    for r in privacy.private_report(docs).collect():
+        got[r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256, r.spans] += 1
+    want = Counter()
+    added = plain_added(texts)
+    for t, more in zip(texts, added, strict=True):
+        spans = plain_spans(t or "")
+        base = ",".join(f"{k}:{a}:{b}" for k in PLAIN for a, b in spans[k])
+        want[*[len(spans[k]) for k in PLAIN], hashlib.sha256(base.encode()).hexdigest(), ",".join(x for x in (base, more) if x)] += 1
+    assert got == want
+    assert sum(bool(x) for x in added) >= 20 and any("generalise" in x for x in added) and any("remove" in x for x in added)
+    masked = Counter(r.text for r in privacy.sanitise(docs).collect())
+    assert sum(masked.values()) == len(texts) and masked["quillfeather alone"] == 1 and masked["harbour walls"] == 1
+    assert not any("Quillfeather wrote" in (t or "") or "qf@" in (t or "") for t in masked)
+    assert masked[texts[0]] >= 1 and privacy.sanitise(docs).columns == docs.columns
     assert privacy.sanitise(docs.limit(0)).count() == 0
 
 
+def test_texts_that_pass_by_hold_no_base_span():
+    rng = random.Random(4)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a@.-+ 0199 () b") for _ in range(rng.randint(0, 40)))
+        if any(privacy.base_spans(text).values()):
+            assert re.search(privacy._MAYBE, text), text
+
+
 def test_masked_overlaps(spark):
     cases = [("1.2.3.4 x", "ip:0:7", "[IP] x"), ("1.2.3.4 x", "phone:2:5,ip:0:7", "[IP] x"), ("1.2.3.4 x", "card:0:3,phone:2:7", "[CARD] x"),
              ("é1.2.3.4", "remove:0:1,ip:1:8", "[IP]"), ("same", None, "same"), (None, None, None), ("a b c", "generalise:2:3", "a [TERM] c")]
     df = spark.createDataFrame([(t, s, w) for t, s, w in cases], "t string, s string, want string")
     got = df.select(privacy.masked(F.col("t"), F.col("s")).alias("got"), "want").collect()
     assert [r.got for r in got] == [r.want for r in got]
-
-
-def test_context_is_counted_in_words_not_characters():
-    long = "w" * 300
-    text = f"far {long} two{' ' * 500}three four five six a@b.org one{' ' * 500}{long}x b c d e far"
-    near = privacy.context_terms(text, privacy.base_spans(text))
-    assert [w for _, w, _, _ in near] == [long, "two", "three", "four", "five", "six", "one", long + "x", "b", "c", "d", "e"]
-    assert all(text[s:e].lower() == w for _, w, s, e in near)
-    privacy.context_terms("1.2.3.4 " + (" " * 100 + "1.2.3.4") * 20_000, {"ip": [(0, 7)]})
