@@ -14,8 +14,8 @@ one that reaches ``GENERALISE`` replaced by a placeholder, at every occurrence i
 holds the entity.  A document without a base identifier is never changed.
 
 One pass over the texts yields small rows: base spans, and for documents with an identifier (few) the hashes and places of
-their terms.  n_t is an aggregate over the words of all texts, pre-aggregated before its shuffle; pairs are
-counted from rows (entity, term, text) that copies share, so a frequent entity or term is many small keys.  A pair of
+their terms.  n_t is an aggregate over the words of all texts, pre-aggregated before its shuffle; so are the pairs, after
+copies have become one row and entities of too few texts have gone.  A pair of
 very many documents is one row on the aggregated side of each join, so the other side's rows can be split.
 
 Defined results: null text is empty and has no spans; rows with equal id and
@@ -42,6 +42,7 @@ METHOD_KINDS = ("generalise", "remove")
 MASKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
 SUPPORT = 3
 CHANCE_BITS = 30
+BROADCAST_ROWS = 200_000
 GENERALISE, REMOVE = 0.75, 0.95
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -159,19 +160,30 @@ def term_documents(docs: DataFrame, text: str) -> DataFrame:
     return words.groupBy(F.xxhash64("w").alias("term_hash")).agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def together(held: DataFrame) -> DataFrame:
-    """``id, h, entity, term``: every entity of a document with every different term of it."""
-    one = held.select("id", "h", F.explode("entities").alias("entity"), F.array_distinct("terms").alias("t"))
-    return one.select("id", "h", "entity", F.explode("t").alias("term"))
+def together(held: DataFrame, listed: DataFrame) -> DataFrame:
+    """The columns of ``held`` but its lists, ``entity`` and ``term``: every listed entity of a document with every different term of it.
+
+    ``listed`` (``_e``) is a small part of all entities, so it meets the few entities of a document before the terms are spread.
+    """
+    keep = [c for c in held.columns if c not in ("entities", "terms")]
+    some = F.broadcast(listed) if listed.count() <= BROADCAST_ROWS else listed
+    one = held.select(*keep, F.array_distinct("terms").alias("t"), F.explode("entities").alias("entity"))
+    return one.join(some, F.col("entity") == F.col("_e"), "left_semi").select(*keep, "entity", F.explode("t").alias("term"))
 
 
 def disclosing_terms(held: DataFrame, n_t: DataFrame, n_docs: int) -> DataFrame:
-    """``entity, term, kind``: pairs whose share reaches a threshold, with what is to be done to the term.  ``held``: rows with entities."""
-    per_text = together(held).groupBy("entity", "term", "h").agg(F.count(F.lit(1)).alias("rows"))
-    n_ct = per_text.groupBy("entity", "term").agg(F.sum("rows").alias("n_ct"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= SUPPORT)
-    n_c = held.select(F.explode("entities").alias("_e")).groupBy("_e").agg(F.count(F.lit(1)).alias("n_c"))
-    n = F.lit(float(n_docs))
-    surprise = F.log2(n / F.col("n_c"))
+    """``entity, term, kind``: pairs whose share reaches a threshold, with what is to be done to the term.  ``held``: rows with entities.
+
+    Copies become one row with their number first, and entities of too few texts go, so pairs are counted with map-side combining.
+    """
+    texts = held.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), F.any_value("entities").alias("entities"), F.any_value("terms").alias("terms"))
+    texts = cut_lineage(texts, "private_texts")
+    n, surprise = F.lit(float(n_docs)), F.log2(F.lit(float(n_docs)) / F.col("n_c"))
+    n_c = texts.select("rows", F.explode("entities").alias("_e")).groupBy("_e").agg(F.sum("rows").alias("n_c"), F.count(F.lit(1)).alias("different"))
+    # no pair of an entity can have more texts than the entity
+    n_c = cut_lineage(n_c.where((F.col("different") >= SUPPORT) & (F.col("different") * surprise >= CHANCE_BITS)).select("_e", "n_c"), "private_entities")
+    n_ct = together(texts.drop("h"), n_c.select("_e")).groupBy("entity", "term").agg(F.sum("rows").alias("n_ct"), F.count(F.lit(1)).alias("texts")).where(
+        F.col("texts") >= SUPPORT)
     pairs = n_ct.join(n_c, n_ct["entity"] == n_c["_e"]).where(F.col("texts") * surprise >= CHANCE_BITS)
     pairs = pairs.join(n_t, pairs["term"] == n_t["term_hash"], "left")
     seen = F.greatest(F.coalesce("n_t", "n_ct"), F.col("n_ct")).cast("double")
@@ -188,7 +200,8 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     named = pairs.select(F.col("entity").alias("_e"), F.col("term").alias("_t"), "kind")
     # a row repeated with the same id and text has equal spans: one stands for all
     one = held.dropDuplicates(["id", "h"])
-    met = together(one)
+    named = F.broadcast(named) if named.count() <= BROADCAST_ROWS else named
+    met = together(one.drop("starts", "ends"), named.select("_e").distinct())
     hits = met.join(named, (met["entity"] == named["_e"]) & (met["term"] == named["_t"])).groupBy("id", "h", "term").agg(
         F.max("kind").alias("kind"))  # removal wins where two entities ask for different ones
     hits = cut_lineage(hits, "private_hits").select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("term").alias("_t"), "kind")
