@@ -15,14 +15,18 @@ tree is never whole anywhere:
    subtree: its rows are the runs of windows that hold the anchor, as hashes of
    the paths of depth 50.  Sorting a group by path finds its deep nodes, and the
    least document of each.
-4. A prefix with more than ``GROUP_ROWS`` suffixes is split by document hash; each part settles all
+4. A prefix with more than ``GROUP_ROWS`` suffixes is split by a hash of (id, text); each part settles all
    but its least document per path, and those few meet again under the longer
-   prefix, the whole path.  So no task holds a large group, and none is capped.
+   prefix, the whole path: the least id of a path is an aggregate, which its rows then join.
+   So no task holds a large group, and none is capped.
+
+Rows of equal id and equal text are judged alike: they become one before their suffixes are grouped (combined in
+each task first), and all lists kept per row are of one text's own prefixes or ranges.
 
 Rows move between steps as tables in the shared folder.
 
 Defined results: null text has no words; rows without an id lose and remove nothing; rows with
-equal ids are judged each against smaller ids only; texts under 50 words are unchanged;
+equal ids are judged each, by their own text, against smaller ids only; texts under 50 words are unchanged;
 extra columns are ignored.
 """
 
@@ -53,21 +57,19 @@ def anchors(words: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tu
 
 
 def find_anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
-    """``key, id, at`` of every anchor (``docs``: id, t)."""
+    """``key, id, h``: the different prefixes at the anchors of every row (``docs``: id, h, t)."""
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys, ids, places = [], [], []
-            for i, t in zip(pdf["id"], pdf["t"], strict=True):
+            keys = []
+            for t in pdf["t"]:
                 heads, chosen = anchors(word_hashes(t), window, prefix)
-                at = np.unique(chosen)
-                keys.append(heads[at])
-                places.append(at)
-                ids.append(np.full(len(at), i, dtype=np.int64))
+                keys.append(np.unique(heads[np.unique(chosen)]))
             if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "id": np.concatenate(ids),
-                                    "at": np.concatenate(places).astype(np.int32)})
+                n = [len(k) for k in keys]
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "id": np.repeat(pdf["id"].to_numpy(dtype=np.int64), n),
+                                    "h": np.repeat(pdf["h"].to_numpy(dtype=np.int64), n)})
 
-    return docs.mapInPandas(scan, "key long, id long, at int")
+    return docs.mapInPandas(scan, "key long, id long, h long")
 
 
 def find_runs(texts: DataFrame, window: int, prefix: int) -> DataFrame:
@@ -81,12 +83,12 @@ def find_runs(texts: DataFrame, window: int, prefix: int) -> DataFrame:
                 if not len(chosen):
                     continue
                 paths = run_hashes(words, window).view(np.int64)
-                salts = {m["at"]: m["salt"] for m in marks}
+                salts = {m["key"]: m["salt"] for m in marks}
                 first = np.concatenate([[0], np.flatnonzero(np.diff(chosen)) + 1, [len(chosen)]])
                 for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    at = int(chosen[a])
-                    if at in salts:
-                        rows.append((int(heads[at].view(np.int64)), salts[at], i, h, a, paths[a:b]))
+                    key = int(heads[chosen[a]].view(np.int64))
+                    if key in salts:
+                        rows.append((key, salts[key], i, h, a, paths[a:b]))
             yield pd.DataFrame(rows, columns=["key", "salt", "id", "h", "start", "paths"])
 
     return texts.mapInPandas(scan, "key long, salt int, id long, h long, start int, paths array<long>")
@@ -156,26 +158,29 @@ def _settled(rows: pd.DataFrame, window: int) -> pd.DataFrame:
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX, group_rows: int = GROUP_ROWS
                     ) -> tuple[DataFrame, DataFrame]:
-    """(texts with remaining anchors: id, h, t; word ranges to remove: id, h, start, stop) for ``docs`` (id, h, t)."""
+    """(different texts with remaining anchors: id, h, t; word ranges to remove: id, h, start, stop) for ``docs`` (id, h, t)."""
     ship(docs.sparkSession)
     known = docs.where("id is not null and t is not null")
-    found = cut_lineage(find_anchors(known.select("id", "t"), window, prefix), "anchors")
+    found = cut_lineage(find_anchors(known.select("id", "h", "t"), window, prefix), "anchors")
     branching = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
     branching = cut_lineage(branching.where("lo < hi").select(F.col("key").alias("_k"), "n"), "prefixes")
     parts = F.ceil(F.col("n") / F.lit(group_rows))
-    salt = F.when(F.col("n") > group_rows, F.pmod(F.xxhash64("id"), parts)).otherwise(F.lit(-1)).cast("int")
-    marks = found.join(branching, found["key"] == branching["_k"]).select("id", "at", salt.alias("salt"))
-    per_doc = marks.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("at", "salt")).alias("marks"))
-    texts = cut_lineage(known.join(per_doc, known["id"] == per_doc["_id"]).select("id", "h", "t", "marks"), "texts")
+    salt = F.when(F.col("n") > group_rows, F.pmod(F.xxhash64("id", "h"), parts)).otherwise(F.lit(-1)).cast("int")
+    marks = found.join(branching, found["key"] == branching["_k"]).select("id", "h", F.struct("key", salt.alias("salt")).alias("m"))
+    per_text = marks.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(F.collect_set("m").alias("marks"))
+    once = known.dropDuplicates(["id", "h"])
+    texts = cut_lineage(once.join(per_text, (once["id"] == per_text["_id"]) & (once["h"] == per_text["_h"]))
+                        .select("id", "h", "t", "marks"), "texts")
     n = 2 * shuffle_partitions(docs.sparkSession)
     runs = find_runs(texts, window, prefix).repartition(n, "key", "salt").sortWithinPartitions("key", "salt")
     schema = "id long, h long, start long, stop long, key long, path long"
     settled = cut_lineage(runs.mapInPandas(_settle(window), schema), "ranges")
     # the least documents of each part of a split prefix meet under their whole path
-    again = settled.where("path is not null").groupBy("key", "path").agg(
-        F.min("id").alias("lo"), F.collect_list(F.struct("id", "h", "start", "stop")).alias("rows"))
-    later = again.select("lo", F.explode("rows").alias("r")).where("r.id > lo").select("r.id", "r.h", "r.start", "r.stop")
-    ranges = settled.where("path is null").select("id", "h", "start", "stop").unionByName(later)
+    waiting = settled.where("path is not null")
+    least = waiting.groupBy(F.col("key").alias("_k"), F.col("path").alias("_p")).agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    least = least.where("lo < hi").drop("hi")
+    later = waiting.join(least, (waiting["key"] == least["_k"]) & (waiting["path"] == least["_p"])).where("id > lo")
+    ranges = settled.where("path is null").select("id", "h", "start", "stop").unionByName(later.select("id", "h", "start", "stop"))
     return texts.select("id", "h", "t"), ranges
 
 
@@ -198,9 +203,7 @@ def shortened(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts, ranges = repeated_ranges(docs, window)
     per_doc = ranges.groupBy(F.col("id").alias("_id"), F.col("h").alias("_h")).agg(
         F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    # rows repeated with equal id and text are in ``texts`` each; one stands for all
-    one = texts.dropDuplicates(["id", "h"])
-    joined = one.join(per_doc, (one["id"] == per_doc["_id"]) & (one["h"] == per_doc["_h"])).select("id", "h", "t", "ranges")
+    joined = texts.join(per_doc, (texts["id"] == per_doc["_id"]) & (texts["h"] == per_doc["_h"])).select("id", "h", "t", "ranges")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

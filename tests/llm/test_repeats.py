@@ -55,6 +55,38 @@ def test_against_brute_force(spark, monkeypatch, group_rows):
     assert got == brute(rows, 50)
 
 
+@pytest.mark.parametrize("group_rows", [2, 8])
+def test_equal_ids_with_different_texts(spark, monkeypatch, group_rows):
+    rng = random.Random(9)
+    passages = [[f"p{k}w{j}" for j in range(80)] for k in range(3)]
+    rows = []
+    for n in range(90):
+        pick = [w for k in rng.sample(range(3), 2) for w in passages[k][rng.randint(0, 12):]]
+        head = [f"h{rng.randint(0, 500)}" for _ in range(rng.randint(0, 30))]
+        rows.append((rng.choice([1, 2, 2, 3, 7, 7, 7, 11]), " ".join(head + pick)))
+    rows += [rows[0]] * 3 + [(7, rows[1][1])] * 5
+    monkeypatch.setattr(repeats.repeated_ranges, "__defaults__", (50, 8, group_rows))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {}
+    found = repeats.without_repeats(docs).collect()
+    for r in found:
+        got.setdefault(r.doc_id, set()).add((r.n_words, r.n_removed, r.kept_sha256))
+    assert len(found) == len(rows)
+    assert got == brute(rows, 50)
+
+
+def test_one_repeated_id_keeps_its_words_and_lists_stay_small(spark, monkeypatch):
+    passage = " ".join(f"w{j}" for j in range(120))
+    rows = [(5, f"v{n % 400} " + passage) for n in range(1200)] + [(9, passage)]
+    monkeypatch.setattr(repeats.repeated_ranges, "__defaults__", (50, 8, 50))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = repeats.without_repeats(docs)
+    assert found.where("doc_id = 5 and n_removed > 0").count() == 0
+    assert [(r.n_words, r.n_removed) for r in found.where("doc_id = 9").collect()] == [(120, 120)]
+    texts, _ = repeats.repeated_ranges(docs.selectExpr("doc_id as id", "xxhash64(text) as h", "text as t"))
+    assert texts.count() == 401
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string").limit(0)
     assert repeats.without_repeats(docs).count() == 0
