@@ -77,6 +77,7 @@ R_PAYMENT_RESERVATION = "reservation_id not found in reservations"
 R_NEGATIVE = "negative payment amount"
 R_PAYMENT_STATUS = "unrecognized payment_status value"
 CONTRACT_PREFIX = "warehouse contract: "
+R_MALFORMED = "malformed row: wrong number of fields"
 
 # --- fixed values: warehouse column limits (VARCHAR lengths, numeric ranges) ---
 VARCHAR_LIMITS = {

@@ -14,20 +14,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innflow.functions import normalize as N
+from innflow.functions import vocab as V
 from innflow.operators.dedup import COPIES, duplicate_keys
-from innflow.operators.membership import Reference, orphan_count, with_parent_flags
+from innflow.operators.membership import Reference, with_parent_flags
 from innflow.operators.quarantine import REASON, reject_summary
+from innflow.operators.tagged import Reference as TaggedReference
+from innflow.operators.tagged import failing_rows, labelled
 from innflow.plans import marts as M
 from innflow.plans.checks import MODEL_KEYS, spoiled
 from innflow.plans.checks import contract_tests as _contract_tests
 from innflow.plans.checks import warehouse_checks as _warehouse_checks
-from innflow.plans.entities import KEYS, LOAD_ORDER, Cleaned, transform_all
+from innflow.plans.entities import KEYS, LOAD_ORDER, Cleaned, transform_all, transform_rooms
 from innflow.plans.incremental import PAYMENTS, RESERVATIONS, refresh_marts, upsert
 from innflow.plans.incremental import agg_property_performance as kept_property_performance
 from innflow.plans.incremental import dim_guests as kept_guests
 from innflow.plans.job import run_job
-from innflow.plans.roles import RAW_BUILDERS, raw_entities, write_raw_extracts
-from innflow.sources.files import file_stamp
+from innflow.plans.replay import replay
+from innflow.plans.roles import RAW_BUILDERS, raw_entities, write_raw_extracts, write_uneven_rooms
+from innflow.sources.files import file_stamp, read_raw_csv
 from innflow.sources.staging import new_run_dir, stage
 from innflow.sources.tables import Tables
 from innflow.sources.versions import VersionedStore
@@ -238,19 +242,17 @@ def fk_payments_reservation_large(spark, sf_dir):
 def orphan_counts(spark, sf_dir):
     """Typed child rows (accepted or not) whose key has no surviving parent (NULL keys count)."""
     c = cleaned(spark, sf_dir)
-    pairs = [
-        ("rooms.property_id", c.rooms.classified, "property_id", c.properties.clean, "property_id"),
-        ("reservations.guest_id", c.reservations.classified, "guest_id", c.guests.clean, "guest_id"),
-        ("reservations.property_id", c.reservations.classified, "property_id", c.properties.clean, "property_id"),
-        ("reservations.room_id", c.reservations.classified, "room_id", c.rooms.clean, "room_id"),
-        ("payments.reservation_id", c.payments.classified, "reservation_id", c.reservations.clean, "reservation_id"),
-    ]
-    out = None
-    for name, child, ck, parent, pk in pairs:
-        part = orphan_count(child, ck, parent, pk).select(F.lit(name).alias("relationship"),
-                                                          F.col("failing_rows").alias("orphan_rows"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    references = {
+        "rooms.property_id": TaggedReference("rooms", "property_id", "kept properties", "property_id"),
+        "reservations.guest_id": TaggedReference("reservations", "guest_id", "kept guests", "guest_id"),
+        "reservations.property_id": TaggedReference("reservations", "property_id", "kept properties", "property_id"),
+        "reservations.room_id": TaggedReference("reservations", "room_id", "kept rooms", "room_id"),
+        "payments.reservation_id": TaggedReference("payments", "reservation_id", "kept reservations", "reservation_id"),
+    }
+    tables = {n: c[n].classified for n in ("rooms", "reservations", "payments")}
+    tables.update({f"kept {n}": c[n].clean for n in ("properties", "rooms", "guests", "reservations")})
+    counted = labelled(failing_rows(tables, list(references.values())), [{"relationship": name} for name in references])
+    return counted.withColumnRenamed("failing_rows", "orphan_rows")
 
 
 def rooms_per_property(spark, sf_dir):
@@ -418,6 +420,42 @@ def incremental_guests(spark, sf_dir):
     return kept_guests(_in_deliveries(spark, sf_dir), cleaned(spark, sf_dir).guests.clean)
 
 
+def _as_text(name: str, df: DataFrame) -> DataFrame:
+    """``table_name, row_text``: all values of a row in the order of the column names."""
+    row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
+    return df.select(F.lit(name).alias("table_name"), row.alias("row_text"))
+
+
+def _arrives_late(name: str):
+    """Rows of the second delivery: some properties, rooms, guests and bookings, so that children wait at every level."""
+    return {"properties": F.pmod("_seq", F.lit(3)) == 1, "rooms": F.pmod("_seq", F.lit(6)) == 4, "guests": F.pmod("_seq", F.lit(5)) == 2,
+            "reservations": F.pmod("_seq", F.lit(7)) == 3}.get(name, F.lit(False))
+
+
+def replay_late_parents(spark, sf_dir):
+    """Clean tables and quarantine after orphans of a first delivery were replayed with the parents of a second."""
+    extracts = raw(spark, sf_dir)
+    first = transform_all({n: df.where(~_arrives_late(n)) for n, df in extracts.items()})
+    c = replay(first, {n: extracts[n].where(_arrives_late(n)) for n in ("properties", "rooms", "guests", "reservations")})
+    out = None
+    for n in LOAD_ORDER:
+        part = _as_text(n, c[n].clean)
+        out = part if out is None else out.unionByName(part)
+    return out.unionByName(c.rejects.select(
+        F.lit("rejected_records").alias("table_name"),
+        F.concat_ws("|", "source_table", "rejection_reason", "raw_record").alias("row_text")))
+
+
+def quarantine_malformed_rows(spark, sf_dir):
+    """Rooms through a CSV extract some of whose rows have a field too many or too few: kept rows, and the malformed text."""
+    folder = new_run_dir(spark)
+    write_uneven_rooms(raw(spark, sf_dir)["rooms"], f"{folder}/raw/rooms")
+    rooms = transform_rooms(read_raw_csv(spark, f"{folder}/raw", "rooms"), cleaned(spark, sf_dir).properties)
+    malformed = rooms.rejects.where(F.col("rejection_reason") == V.R_MALFORMED).select(
+        F.lit("malformed").alias("table_name"), F.get_json_object("raw_record", "$.malformed_row").alias("row_text"))
+    return _as_text("rooms", rooms.clean).unionByName(malformed)
+
+
 def contract_tests(spark, sf_dir):
     return _contract_tests(model_frames(warehouse_tables(cleaned(spark, sf_dir))))
 
@@ -466,5 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_two_deliveries": upsert_two_deliveries,
     "incremental_property_performance": incremental_property_performance,
     "incremental_guests": incremental_guests,
+    "replay_late_parents": replay_late_parents,
+    "quarantine_malformed_rows": quarantine_malformed_rows,
     "inject_mess_reservations": inject_mess_reservations,
 }

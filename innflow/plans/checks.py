@@ -1,9 +1,8 @@
 """Warehouse checks (the hard gate) and declarative model tests.
 
 Both return small DataFrames, one row per check or test, computed from the
-whole tables: per table one single-pass aggregate for all row conditions,
-one grouped count per uniqueness check, and one pre-aggregated anti join per
-reference check.  Only the final result (<= 40 rows) reaches the driver, in
+whole tables in one tagged pass (``operators.tagged``): each table is read once, all keys of
+all checks meet in one shuffle.  Only the final result (<= 40 rows) reaches the driver, in
 ``gate``.
 """
 
@@ -16,8 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innflow.functions import vocab as V
-from innflow.operators.dedup import duplicate_keys
-from innflow.operators.membership import orphan_count
+from innflow.operators.tagged import Condition, Listed, Reference, Unique, failing_rows, labelled
 
 
 class GateFailed(RuntimeError):
@@ -28,67 +26,33 @@ def _status(failing: Column) -> Column:
     return F.when(failing == 0, F.lit("PASS")).otherwise(F.lit("FAIL"))
 
 
-def _row(df_one_count: DataFrame, **labels: str) -> DataFrame:
-    """Label a one-row ``failing_rows`` frame."""
-    return df_one_count.select(
-        *[F.lit(v).alias(k) for k, v in labels.items()],
-        F.col("failing_rows").cast("bigint").alias("failing_rows"),
-    )
-
-
-def _conditions(df: DataFrame, conds: Sequence[tuple[dict, Column]]) -> DataFrame:
-    """Several row-count conditions over one table in one pass, then one output row each."""
-    aggs = [F.count_if(c).alias(f"_c{i}") for i, (_, c) in enumerate(conds)]
-    one = df.agg(*aggs)
-    label_keys = list(conds[0][0].keys())
-    rows = [
-        F.struct(*[F.lit(lbl[k]).alias(k) for k in label_keys], F.col(f"_c{i}").cast("bigint").alias("failing_rows"))
-        for i, (lbl, _) in enumerate(conds)
-    ]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-
-
-def _unique(df: DataFrame, key: str, skip_null: bool = False) -> DataFrame:
-    return duplicate_keys(df, key, skip_null).agg(F.count(F.lit(1)).alias("failing_rows"))
-
-
 # --- warehouse checks -------------------------------------------------------
 
 def warehouse_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """V1-V17 over the warehouse tables: check, failing_rows, status (PASS iff 0)."""
-    g, p, rm, r, pay = (tables[n] for n in ("guests", "properties", "rooms", "reservations", "payments"))
-    parts = [
-        _row(_unique(g, "guest_id"), check="V01 guests.guest_id unique"),
-        _conditions(g, [({"check": "V02 guests names present"},
-                         F.col("first_name").isNull() | F.col("last_name").isNull())]),
-        _row(_unique(p, "property_id"), check="V03 properties.property_id unique"),
-        _row(_unique(rm, "room_id"), check="V04 rooms.room_id unique"),
-        _row(orphan_count(rm, "property_id", p, "property_id"), check="V05 rooms.property_id has a property"),
-        _conditions(rm, [({"check": "V06 rooms.capacity positive"}, F.col("capacity") <= 0)]),
-        _row(_unique(r, "reservation_id"), check="V07 reservations.reservation_id unique"),
-        _row(orphan_count(r, "guest_id", g, "guest_id"), check="V08 reservations.guest_id has a guest"),
-        _row(orphan_count(r, "property_id", p, "property_id"),
-             check="V09 reservations.property_id has a property"),
-        _row(orphan_count(r, "room_id", rm, "room_id"), check="V10 reservations.room_id has a room"),
-        _conditions(r, [
-            ({"check": "V11 reservations.booking_status known"}, ~F.col("booking_status").isin(*V.BOOKING_STATUSES)),
-            ({"check": "V12 reservations check-out not before check-in"},
-             F.col("check_out_date").isNotNull() & (F.col("check_out_date") < F.col("check_in_date"))),
-            ({"check": "V13 reservations check-in and booking dates present"},
-             F.col("check_in_date").isNull() | F.col("booking_date").isNull()),
-        ]),
-        _row(_unique(pay, "payment_id"), check="V14 payments.payment_id unique"),
-        _row(orphan_count(pay, "reservation_id", r, "reservation_id"),
-             check="V15 payments.reservation_id has a reservation"),
-        _conditions(pay, [
-            ({"check": "V16 payments.payment_status known"}, ~F.col("payment_status").isin(*V.PAYMENT_STATUSES)),
-            ({"check": "V17 payments.amount not negative"}, F.col("amount") < 0),
-        ]),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("check", "failing_rows", _status(F.col("failing_rows")).alias("status"))
+    checks = {
+        "V01 guests.guest_id unique": Unique("guests", "guest_id"),
+        "V02 guests names present": Condition("guests", F.col("first_name").isNull() | F.col("last_name").isNull()),
+        "V03 properties.property_id unique": Unique("properties", "property_id"),
+        "V04 rooms.room_id unique": Unique("rooms", "room_id"),
+        "V05 rooms.property_id has a property": Reference("rooms", "property_id", "properties", "property_id"),
+        "V06 rooms.capacity positive": Condition("rooms", F.col("capacity") <= 0),
+        "V07 reservations.reservation_id unique": Unique("reservations", "reservation_id"),
+        "V08 reservations.guest_id has a guest": Reference("reservations", "guest_id", "guests", "guest_id"),
+        "V09 reservations.property_id has a property": Reference("reservations", "property_id", "properties", "property_id"),
+        "V10 reservations.room_id has a room": Reference("reservations", "room_id", "rooms", "room_id"),
+        "V11 reservations.booking_status known": Condition("reservations", ~F.col("booking_status").isin(*V.BOOKING_STATUSES)),
+        "V12 reservations check-out not before check-in": Condition(
+            "reservations", F.col("check_out_date").isNotNull() & (F.col("check_out_date") < F.col("check_in_date"))),
+        "V13 reservations check-in and booking dates present": Condition(
+            "reservations", F.col("check_in_date").isNull() | F.col("booking_date").isNull()),
+        "V14 payments.payment_id unique": Unique("payments", "payment_id"),
+        "V15 payments.reservation_id has a reservation": Reference("payments", "reservation_id", "reservations", "reservation_id"),
+        "V16 payments.payment_status known": Condition("payments", ~F.col("payment_status").isin(*V.PAYMENT_STATUSES)),
+        "V17 payments.amount not negative": Condition("payments", F.col("amount") < 0),
+    }
+    counted = labelled(failing_rows(tables, list(checks.values())), [{"check": name} for name in checks])
+    return counted.select("check", "failing_rows", _status(F.col("failing_rows")).alias("status"))
 
 
 def gate(results: DataFrame) -> DataFrame:
@@ -191,27 +155,15 @@ MODEL_TESTS = _spec()
 def contract_tests(models: dict[str, DataFrame], tests: Sequence[Test] = MODEL_TESTS) -> DataFrame:
     """D1-D4: model, column, test, failing_rows, status.  NULLs are skipped by unique,
     accepted_values and relationships (they are the not_null test's business)."""
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[Test]] = {}
-    for t in tests:
-        by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        df = models[model]
-        nn = [({"model": model, "column": t.column, "test": "not_null"}, F.col(t.column).isNull())
-              for t in ts if t.test == "not_null"]
-        if nn:
-            parts.append(_conditions(df, nn))
-        for t in ts:
-            labels = {"model": model, "column": t.column, "test": t.test}
-            if t.test == "unique":
-                parts.append(_row(_unique(df, t.column, skip_null=True), **labels))
-            elif t.test == "accepted_values":
-                bad = df.where(F.col(t.column).isNotNull() & ~F.col(t.column).isin(*t.values))
-                parts.append(_row(bad.agg(F.count_distinct(t.column).alias("failing_rows")), **labels))
-            elif t.test == "relationships":
-                parent, pcol = t.to
-                parts.append(_row(orphan_count(df, t.column, models[parent], pcol, skip_null=True), **labels))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select("model", "column", "test", "failing_rows", _status(F.col("failing_rows")).alias("status"))
+    def check(t: Test) -> Condition | Unique | Listed | Reference:
+        if t.test == "not_null":
+            return Condition(t.model, F.col(t.column).isNull())
+        if t.test == "unique":
+            return Unique(t.model, t.column, skip_null=True)
+        if t.test == "accepted_values":
+            return Listed(t.model, t.column, tuple(t.values))
+        return Reference(t.model, t.column, *t.to, skip_null=True)
+
+    counted = labelled(failing_rows(models, [check(t) for t in tests]),
+                       [{"model": t.model, "column": t.column, "test": t.test} for t in tests])
+    return counted.select("model", "column", "test", "failing_rows", _status(F.col("failing_rows")).alias("status"))

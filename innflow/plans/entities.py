@@ -30,6 +30,7 @@ from innflow.operators.dedup import keep_first
 from innflow.operators.membership import BROADCAST_MAX_ROWS, Reference, with_parent_flags
 from innflow.operators.quarantine import REASON, SEQ, Rule, accepted, classify, contract_rules, rejected
 from innflow.plans.roles import RAW_COLUMNS
+from innflow.sources.files import MALFORMED
 from innflow.sources.staging import new_run_dir, stage, stage_at
 
 CLEAN_SCHEMAS = {
@@ -148,7 +149,8 @@ def _prepare(raw: DataFrame, name: str, numeric: Sequence[str] = ()) -> DataFram
     missing = [c for c in cols if c not in raw.columns]
     if missing:
         raise ValueError(f"{name}: raw extract lacks columns {missing}")
-    r = raw.select(*[F.col(c).cast("string").alias(f"_r_{c}") for c in cols], F.col(SEQ))
+    whole = [MALFORMED] if MALFORMED in raw.columns else []
+    r = raw.select(*[F.col(c).cast("string").alias(f"_r_{c}") for c in cols], F.col(SEQ), *whole)
     r = r.select("*", *[N.strip_text(f"_r_{c}").alias(f"_t_{c}") for c in cols])
     if numeric:
         r = r.select("*", *[N.number_text(f"_t_{c}", stripped=True).alias(f"_n_{c}") for c in numeric])
@@ -176,11 +178,16 @@ def _finish(df: DataFrame, name: str, rules: list[Rule], typed: dict[str, Column
     """Typed columns, reason, then one staged write: typed columns, reason, seq, raw key text,
     and the raw row as JSON for rejected rows only."""
     df = df.select("*", *[c.alias(n) for n, c in typed.items() if n not in df.columns])
+    malformed = MALFORMED in df.columns
+    if malformed:  # before all other rules: its fields may stand in the wrong columns
+        rules = [Rule("S1", F.col(MALFORMED).isNotNull(), V.R_MALFORMED), *rules]
     df = classify(df, rules)
     if extra:
         df = df.select("*", *[c.alias(n) for n, c in extra.items()])
     # raw text is kept whole only where it is needed: as JSON on rejected rows
     raw_json = F.to_json(F.struct(*[_r(c).alias(c) for c in RAW_COLUMNS[name]]), {"ignoreNullFields": "false"})
+    if malformed:
+        raw_json = F.when(F.col(MALFORMED).isNotNull(), F.to_json(F.struct(F.col(MALFORMED).alias("malformed_row")))).otherwise(raw_json)
     df = df.select(
         *[c for c, _ in CLEAN_SCHEMAS[name]], REASON, SEQ, f"_r_{KEYS[name]}",
         F.when(F.col(REASON).isNotNull(), raw_json).alias(RAW_RECORD),

@@ -271,3 +271,15 @@ def write_raw_extracts(t: Tables, raw_dir: str) -> dict[str, int]:
         counts[name] = t.spark.read.options(header="true", multiLine="true", escape='"').csv(
             f"{raw_dir}/{name}").count()
     return counts
+
+
+def write_uneven_rooms(rooms: DataFrame, path: str) -> None:
+    """The rooms extract as CSV in which every seventh row has a field too many and another seventh lacks its last one."""
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in RAW_COLUMNS["rooms"]]
+    place = F.pmod("_seq", F.lit(7))
+    line = (F.when(place == 3, F.concat_ws(",", *quoted, F.lit('"late"')))
+            .when(place == 5, F.concat_ws(",", *quoted[:-1]))
+            .otherwise(F.concat_ws(",", *quoted)))
+    lines = rooms.orderBy("_seq").select(line.alias(",".join(RAW_COLUMNS["rooms"])))
+    # one column whose separator never occurs: Spark writes the lines as they are, a header in every part file
+    lines.write.mode("overwrite").options(header="true", sep="\u0001", quote="", escape="").csv(path)

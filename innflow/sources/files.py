@@ -3,7 +3,7 @@
 Reading keeps every value as text (no inference), so nothing is coerced
 before the cleaning job sees it.  ``multiLine`` + ``escape='"'`` read quoted
 fields with doubled quotes and embedded newlines; the empty field reads as
-NULL.  A multi-line CSV file is not split, so large extracts should arrive
+NULL.  A row with too many or too few fields is kept whole, as text, in ``_malformed``.  A multi-line CSV file is not split, so large extracts should arrive
 as many part files (a folder per table is accepted).
 """
 
@@ -11,12 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from innflow.functions.normalize import normalize_header
 
 # enforceSchema=false: a part file whose header differs from the first one's fails instead of being read by position
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE",
-               "enforceSchema": "false"}
+               "enforceSchema": "false", "columnPruning": "false"}  # the fields of a row are counted whichever columns are read
+# the text of a row whose fields are not as many as the header's (NULL: the row is well formed)
+MALFORMED = "_malformed"
 
 
 class MissingSourceError(FileNotFoundError):
@@ -46,15 +49,19 @@ def source_path(spark: SparkSession, raw_dir: str, table: str) -> str:
 
 
 def read_raw_csv(spark: SparkSession, raw_dir: str, table: str) -> DataFrame:
-    """All-text scan of one extract plus lineage: ``_source_file``, ``_ingested_at`` and ``_seq``.
+    """All-text scan of one extract, ``_malformed``, and lineage: ``_source_file``, ``_ingested_at`` and ``_seq``.
 
+    A malformed row's other columns hold what fields it has, by position; the cleaning quarantines it by ``_malformed``.
     ``_seq`` = (file name, position in the scan) is the arrival order used by
     keep-first; it is stored in bronze so it never changes afterwards.
     """
-    df = spark.read.options(**CSV_OPTIONS).csv(source_path(spark, raw_dir, table))
-    df = df.toDF(*normalize_header(df.columns))
+    path = source_path(spark, raw_dir, table)
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    schema = StructType([StructField(c, StringType()) for c in (*header, MALFORMED)])
+    df = spark.read.options(**CSV_OPTIONS, columnNameOfCorruptRecord=MALFORMED).schema(schema).csv(path)
+    df = df.toDF(*normalize_header(header), MALFORMED)
     return df.select(
-        *[F.col(c).cast("string").alias(c) for c in df.columns],
+        *df.columns,
         F.col("_metadata.file_name").alias("_source_file"),
         F.current_timestamp().cast("timestamp_ntz").alias("_ingested_at"),
         F.struct(F.col("_metadata.file_name").alias("file"),

@@ -89,3 +89,23 @@ def test_paths_with_a_scheme(spark):
         read_raw_csv(spark, f"file://{d}", "guests")
     with pytest.raises(Exception, match="(?i)scheme|filesystem|class"):
         read_raw_csv(spark, "nosuch://bucket/raw", "guests")
+
+
+def test_rows_with_too_many_or_too_few_fields_are_kept_as_text(spark):
+    from innflow.functions import vocab as V
+    from innflow.plans.entities import transform_properties, transform_rooms
+
+    d = tempfile.mkdtemp()
+    with open(f"{d}/properties.csv", "w") as f:
+        f.write("property_id,property_name,city,country\n5,Harbour,,\n")
+    with open(f"{d}/rooms.csv", "w") as f:
+        f.write('room_id,property_id,room_type,capacity\n1,5,Loft, big,3\n2,5,Twin\n3,5,Twin,2\n4,5,"Loft\nor, twin",1\n5,5,"a\nb",1,"x"\n')
+    raw = read_raw_csv(spark, d, "rooms")
+    assert [r._malformed for r in raw.orderBy("_seq").collect()] == ["1,5,Loft, big,3", "2,5,Twin", None, None, '5,5,"a\nb",1,"x"']
+    assert raw.count() == 5
+    assert sorted(r.room_id for r in raw.select("room_id", "_malformed").collect() if r._malformed) == ["1", "2", "5"]
+    rooms = transform_rooms(raw, transform_properties(read_raw_csv(spark, d, "properties")))
+    assert sorted(r.room_id for r in rooms.clean.collect()) == [3, 4]
+    rejects = rooms.rejects.collect()
+    assert {r.rejection_reason for r in rejects} == {V.R_MALFORMED}
+    assert sorted(r.raw_record for r in rejects)[0] == '{"malformed_row":"1,5,Loft, big,3"}'
