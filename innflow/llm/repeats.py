@@ -57,19 +57,21 @@ def anchors(words: np.ndarray, window: int = WINDOW, prefix: int = PREFIX) -> tu
 
 
 def find_anchors(docs: DataFrame, window: int, prefix: int) -> DataFrame:
-    """``key, id, h``: the different prefixes at the anchors of every row (``docs``: id, h, t)."""
+    """``key, id, h, times``: the different prefixes at the anchors of every row, and at how many each stands (``docs``: id, h, t)."""
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys = []
+            keys, times = [], []
             for t in pdf["t"]:
                 heads, chosen = anchors(word_hashes(t), window, prefix)
-                keys.append(np.unique(heads[np.unique(chosen)]))
+                different, n = np.unique(heads[np.unique(chosen)], return_counts=True)
+                keys.append(different)
+                times.append(n)
             if keys:
                 n = [len(k) for k in keys]
                 yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "id": np.repeat(pdf["id"].to_numpy(dtype=np.int64), n),
-                                    "h": np.repeat(pdf["h"].to_numpy(dtype=np.int64), n)})
+                                    "h": np.repeat(pdf["h"].to_numpy(dtype=np.int64), n), "times": np.concatenate(times)})
 
-    return docs.mapInPandas(scan, "key long, id long, h long")
+    return docs.mapInPandas(scan, "key long, id long, h long, times long")
 
 
 def find_runs(texts: DataFrame, window: int, prefix: int) -> DataFrame:
@@ -162,7 +164,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, prefix: int = PREFIX,
     ship(docs.sparkSession)
     known = docs.where("id is not null and t is not null")
     found = cut_lineage(find_anchors(known.select("id", "h", "t"), window, prefix), "anchors")
-    branching = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    branching = found.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.sum("times").alias("n"))
     branching = cut_lineage(branching.where("lo < hi").select(F.col("key").alias("_k"), "n"), "prefixes")
     parts = F.ceil(F.col("n") / F.lit(group_rows))
     salt = F.when(F.col("n") > group_rows, F.pmod(F.xxhash64("id", "h"), parts)).otherwise(F.lit(-1)).cast("int")
