@@ -4,6 +4,7 @@
 whether the key is among its parent's keys (one row per key):
 
 * a parent whose measured row count is at most ``BROADCAST_MAX_ROWS`` is broadcast;
+* a larger one with integer keys is broadcast as bitmaps (``keybits``) if they measure at most ``BITMAP_MAX_BYTES``;
 * for the others the child is written once and read back.  One aggregate
   over all their keys (map-side combined) finds hot keys; rows without a key never
   reach that join; a hot key's rows are split by a hash of their arrival
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from innflow.operators.keybits import BITMAP_MAX_BYTES, INTEGRAL, bitmap_bytes, key_bitmaps, with_bit
 from innflow.sources.staging import new_run_dir, stage
 
 # Parent key sets up to this many rows are broadcast (a key is 8-40 bytes,
@@ -48,10 +50,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 
 def with_parent_flags(child: DataFrame, references: Sequence[Reference], hot_key_rows: int | None = None,
-                      run_dir: str | None = None) -> DataFrame:
-    """``child`` with a boolean column per reference; a NULL key is not among the keys."""
+                      run_dir: str | None = None, bitmap_max_bytes: int = BITMAP_MAX_BYTES) -> DataFrame:
+    """``child`` with a boolean column per reference; a NULL key is not among the keys.
+
+    ``bitmap_max_bytes`` = 0 takes large parents through the shuffle join at any size.
+    """
     columns = child.columns
-    large = [r for r in references if not r.small]
+    as_bits = {r.flag for r in references if not r.small and bitmap_max_bytes and _fits_bitmaps(child, r, bitmap_max_bytes)}
+    large = [r for r in references if not r.small and r.flag not in as_bits]
     if large:
         run_dir = run_dir or new_run_dir(child.sparkSession)
         name = "flagged_" + "_".join(r.flag.strip("_") for r in large)
@@ -61,11 +67,19 @@ def with_parent_flags(child: DataFrame, references: Sequence[Reference], hot_key
         keys = r.parent_keys.select(F.col(r.parent_keys.columns[0]).alias("_fk")).withColumn(r.flag, F.lit(True))
         if r.small:
             child = child.join(F.broadcast(keys), child[r.key] == F.col("_fk"), "left").drop("_fk")
+        elif r.flag in as_bits:
+            child = with_bit(child, F.col(r.key), key_bitmaps(r.parent_keys), r.flag)
         else:
             child = _shuffled_flag(child, r, keys, hot)
     return child.select(*columns, *[F.coalesce(F.col(r.flag), F.lit(False)).alias(r.flag) for r in references])
 
 
+def _fits_bitmaps(child: DataFrame, r: Reference, max_bytes: int) -> bool:
+    """Integer keys on both sides whose bitmaps, measured, take at most ``max_bytes``."""
+    types = (child.schema[r.key].dataType, r.parent_keys.schema[0].dataType)
+    return all(isinstance(t, INTEGRAL) for t in types) and bitmap_bytes(r.parent_keys) <= max_bytes
+
+
 def _hot_keys(child: DataFrame, references: Sequence[Reference], limit: int, run_dir: str, name: str) -> DataFrame:
     """``_ref, _hk, _buckets``: keys with more than ``limit`` rows, over all references in one pass."""
     pairs = F.array(*[F.struct(F.lit(r.key).alias("_ref"), F.col(r.key).cast("string").alias("_hk")) for r in references])

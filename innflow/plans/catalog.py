@@ -9,13 +9,15 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innflow.functions import normalize as N
 from innflow.functions import vocab as V
-from innflow.operators.dedup import COPIES, duplicate_keys
+from innflow.operators.dedup import COPIES, duplicate_keys, keep_first_narrow
+from innflow.operators.keybits import BITMAP_MAX_BYTES
 from innflow.operators.membership import Reference, with_parent_flags
 from innflow.operators.quarantine import REASON, reject_summary
 from innflow.operators.tagged import Reference as TaggedReference
@@ -185,28 +187,30 @@ def _clean(name):
 
 # --- 2.4 joins -------------------------------------------------------------------
 
-def _flagged(child: DataFrame, parents, large: bool = False) -> DataFrame:
+def _flagged(child: DataFrame, parents, large: bool = False, bitmaps: bool = False) -> DataFrame:
     """Membership flags of (parent, key, flag); ``large`` takes the path of parents too large to broadcast, with keys of
-    more than ``FORCED_HOT_ROWS`` rows split, whatever the sizes are."""
+    more than ``FORCED_HOT_ROWS`` rows split, whatever the sizes are; ``bitmaps`` that of large parents with integer keys."""
     references = [Reference(key, parent.clean.select(key), flag, not large and parent.keys_small) for parent, key, flag in parents]
-    return with_parent_flags(child, references, hot_key_rows=FORCED_HOT_ROWS if large else None)
+    if bitmaps:
+        return with_parent_flags(child, [replace(r, small=False) for r in references])
+    return with_parent_flags(child, references, hot_key_rows=FORCED_HOT_ROWS if large else None, bitmap_max_bytes=0 if large else BITMAP_MAX_BYTES)
 
 
 FORCED_HOT_ROWS = 50
 
 
-def _rooms_refs(spark, sf_dir, large=False):
+def _rooms_refs(spark, sf_dir, large=False, bitmaps=False):
     c = cleaned(spark, sf_dir)
     rooms = c.rooms.classified.select(F.col("_r_room_id").alias("raw_room_id"), "property_id", "_seq")
-    return _flagged(rooms, [(c.properties, "property_id", "property_found")], large).drop("_seq")
+    return _flagged(rooms, [(c.properties, "property_id", "property_found")], large, bitmaps).drop("_seq")
 
 
-def _reservations_refs(spark, sf_dir, large=False):
+def _reservations_refs(spark, sf_dir, large=False, bitmaps=False):
     c = cleaned(spark, sf_dir)
     r = c.reservations.classified.select(
         F.col("_r_reservation_id").alias("raw_reservation_id"), "guest_id", "property_id", "room_id", "_seq")
     return _flagged(r, [(c.guests, "guest_id", "guest_found"), (c.properties, "property_id", "property_found"),
-                        (c.rooms, "room_id", "room_found")], large).drop("_seq")
+                        (c.rooms, "room_id", "room_found")], large, bitmaps).drop("_seq")
 
 
 def _payments_refs(spark, sf_dir, large=False):
@@ -239,6 +243,14 @@ def fk_payments_reservation_large(spark, sf_dir):
     return _payments_refs(spark, sf_dir, large=True)
 
 
+def fk_rooms_property_bitmap(spark, sf_dir):
+    return _rooms_refs(spark, sf_dir, bitmaps=True)
+
+
+def fk_reservations_any_bitmap(spark, sf_dir):
+    return _reservations_refs(spark, sf_dir, bitmaps=True)
+
+
 def orphan_counts(spark, sf_dir):
     """Typed child rows (accepted or not) whose key has no surviving parent (NULL keys count)."""
     c = cleaned(spark, sf_dir)
@@ -282,6 +294,14 @@ def dedup_keep_first(spark, sf_dir):
                     F.col(COPIES).alias("copies"))
 
 
+def dedup_keep_first_narrow(spark, sf_dir):
+    """Keep-first of payments where only rows whose key may repeat are moved."""
+    c = cleaned(spark, sf_dir).payments
+    kept = keep_first_narrow(c.accepted.select("payment_id", "reservation_id", "payment_date", "payment_method", "amount", "payment_status", "_seq"),
+                             "payment_id", "_seq")
+    return kept.withColumnRenamed(COPIES, "copies").drop("_seq")
+
+
 def duplicate_counts(spark, sf_dir):
     """Row balance per table: raw = rejected + accepted, accepted = kept + duplicates_dropped."""
     c = cleaned(spark, sf_dir)
@@ -484,12 +504,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fk_rooms_property_large": fk_rooms_property_large,
     "fk_reservations_any_large": fk_reservations_any_large,
     "fk_payments_reservation_large": fk_payments_reservation_large,
+    "fk_rooms_property_bitmap": fk_rooms_property_bitmap,
+    "fk_reservations_any_bitmap": fk_reservations_any_bitmap,
     "orphan_counts": orphan_counts,
     "rooms_per_property": rooms_per_property,
     "payments_per_reservation": payments_per_reservation,
     "guest_activity": guest_activity,
     "property_activity": property_activity,
     "dedup_keep_first": dedup_keep_first,
+    "dedup_keep_first_narrow": dedup_keep_first_narrow,
     "duplicate_counts": duplicate_counts,
     "duplicate_keys": duplicate_keys_report,
     "reject_summary": reject_summary_q,
