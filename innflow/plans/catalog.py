@@ -22,6 +22,7 @@ from innflow.operators.membership import Reference, with_parent_flags
 from innflow.operators.quarantine import REASON, reject_summary
 from innflow.operators.tagged import Reference as TaggedReference
 from innflow.operators.tagged import failing_rows, labelled
+from innflow.plans import history as H
 from innflow.plans import marts as M
 from innflow.plans.checks import MODEL_KEYS, spoiled
 from innflow.plans.checks import contract_tests as _contract_tests
@@ -440,6 +441,68 @@ def incremental_guests(spark, sf_dir):
     return kept_guests(_in_deliveries(spark, sf_dir), cleaned(spark, sf_dir).guests.clean)
 
 
+_HISTORIES: dict[tuple, VersionedStore] = {}
+# moments of the four snapshots, and the date of the mart as it was between the last two
+SNAPSHOT_MOMENTS = ("1992-01-01 00:00:00", "1994-07-01 00:00:00", "1996-07-01 00:00:00", "1997-07-01 00:00:00")
+MART_MOMENT = "1996-12-31 00:00:00"
+
+
+def _snapshot(name: str, df: DataFrame, n: int) -> DataFrame:
+    """State n (1 to 4) of a dimension: some rows open late, change, change back, close for a time."""
+    key = F.col(KEYS[name])
+    if name == "properties":
+        renamed = F.when((key % 3 == 1) & F.lit(n in (2, 3)), F.concat("property_name", F.lit(" & Spa"))).otherwise(F.col("property_name"))
+        moved = F.when((key % 4 == 2) & F.lit(n >= 3), F.lit(None).cast("string")).otherwise(F.col("city"))
+        df = df.withColumn("property_name", renamed).withColumn("city", moved)
+        return df.where(key % 5 != 4) if n == 1 else df.where(key % 7 != 3) if n == 3 else df
+    larger = F.when(key % 3 == 1, F.col("capacity") + F.lit(min(n, 3) - 1)).otherwise(F.col("capacity")).cast("smallint")
+    return (df.where(key % 11 != 5) if n == 3 else df).withColumn("capacity", larger)
+
+
+def _histories(spark, sf_dir) -> VersionedStore:
+    """Histories of properties and rooms after four snapshots, once per session; each snapshot is one version."""
+    c, key = cleaned(spark, sf_dir), _memo_key(spark, sf_dir)
+    with _LOCK:
+        if key not in _HISTORIES:
+            store = VersionedStore(spark, new_run_dir(spark))
+            for n, moment in enumerate(SNAPSHOT_MOMENTS, 1):
+                draft = store.begin()
+                for dim in (H.PROPERTIES, H.ROOMS):
+                    H.advance(draft, dim, _snapshot(dim.name, c[dim.name].clean, n), moment)
+                draft.publish()
+            _HISTORIES[key] = store
+        return _HISTORIES[key]
+
+
+def property_history(spark, sf_dir):
+    return H.history(_histories(spark, sf_dir), H.PROPERTIES)
+
+
+def room_history(spark, sf_dir):
+    return H.history(_histories(spark, sf_dir), H.ROOMS)
+
+
+def _bookings_as_of(spark, sf_dir, **limits):
+    store = _histories(spark, sf_dir)
+    r = cleaned(spark, sf_dir).reservations.clean.select("reservation_id", "property_id", "room_id", "booking_date")
+    r = H.as_of_join(r, H.history(store, H.PROPERTIES), "property_id", "booking_date", {"property_name": "property_name", "city": "city"}, **limits)
+    return H.as_of_join(r, H.history(store, H.ROOMS), "room_id", "booking_date", {"room_type": "room_type", "capacity": "capacity"}, **limits)
+
+
+def bookings_as_of(spark, sf_dir):
+    """Every booking with its property and room as they were when it was made."""
+    return _bookings_as_of(spark, sf_dir)
+
+
+def bookings_as_of_large(spark, sf_dir):
+    """The same on the path of dimensions too large to broadcast, with hot (key, year) groups split."""
+    return _bookings_as_of(spark, sf_dir, broadcast_rows=0, hot_rows=FORCED_HOT_ROWS)
+
+
+def property_performance_as_of(spark, sf_dir):
+    return H.performance_as_of(_histories(spark, sf_dir), warehouse_tables(cleaned(spark, sf_dir)), MART_MOMENT)
+
+
 def _as_text(name: str, df: DataFrame) -> DataFrame:
     """``table_name, row_text``: all values of a row in the order of the column names."""
     row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)])
@@ -527,6 +590,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_two_deliveries": upsert_two_deliveries,
     "incremental_property_performance": incremental_property_performance,
     "incremental_guests": incremental_guests,
+    "property_history": property_history,
+    "room_history": room_history,
+    "bookings_as_of": bookings_as_of,
+    "bookings_as_of_large": bookings_as_of_large,
+    "property_performance_as_of": property_performance_as_of,
     "replay_late_parents": replay_late_parents,
     "quarantine_malformed_rows": quarantine_malformed_rows,
     "inject_mess_reservations": inject_mess_reservations,
