@@ -15,10 +15,11 @@ pairs: from an unvisited fingerprint all unvisited ones within reach are taken
 group of thousands of near copies costs a few comparisons with the
 remainder and gives one edge per fingerprint to the least of its sub-group,
 where all pairs would grow with the square.  Equal fingerprints are one row
-before the index is built.  A signature group beyond ``GROUP_ROWS`` is
-searched in finer parts: the 64 bits are cut into 5 pieces, one of which two
-linked fingerprints share exactly; each part is searched on its own.  That loses no
-link, because components are merged afterwards.
+before the index is built.  Signatures are counted first (map-side combined); a
+signature of more than ``GROUP_ROWS`` fingerprints is dealt in finer parts: the 64 bits are cut into 5 pieces, one of which two
+linked fingerprints share exactly, and each signature and piece is a key of its own, so its parts go to different tasks.  That loses no
+link, because components are merged afterwards.  Which signatures are that large is broadcast as bitmaps over their 28 bits: 32 MB at
+most, whatever the number of fingerprints.
 
 Defined results: null or wordless text has fingerprint zero and links like
 any other; texts of one to three words have one shingle; null ``doc_id``s
@@ -39,11 +40,13 @@ from pyspark.sql import types as T
 
 from innflow.llm.common import cut_lineage, ship, shuffle_partitions
 from innflow.llm.components import components
+from innflow.operators.keybits import key_bitmaps, with_bit
 
 SHINGLE_WORDS = 4
 BROADCAST_ROWS = 2_000_000  # row numbers, 8 bytes each
 MAX_BITS = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+SEGMENT_BITS = 22  # the widest segment; a signature is the number of its wildcard and that many bits
 GROUP_ROWS = 1 << 15
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -86,10 +89,18 @@ def signatures(fp: str = "fp") -> str:
     for offset, width in SEGMENTS:
         for i in range(width):
             mask = ((1 << width) - 1) & ~(1 << i)
-            out.append(f"{(offset + i) << 32}L | (shiftrightunsigned({fp}, {offset}) & {mask}L)")
+            out.append(f"{(offset + i) << SEGMENT_BITS}L | (shiftrightunsigned({fp}, {offset}) & {mask}L)")
     return f"array({', '.join(out)})"
 
 
+def piece_keys(key: str, fp: str, max_bits: int) -> str:
+    """SQL array of the finer keys of a signature: its own bits, the number of an exact piece, and the piece."""
+    cuts = [64 * p // (max_bits + 1) for p in range(max_bits + 2)]
+    pieces = [f"shiftleft((shiftrightunsigned({fp}, {a}) & {(1 << (b - a)) - 1}L) * {max_bits + 1} + {n + 1}, {SEGMENT_BITS + 6}) | {key}"
+              for n, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+    return f"array({', '.join(pieces)})"
+
+
 def linked_groups(fps: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
     """For each of the unsigned fingerprints, the index of the least fingerprint linked to it through others of the array."""
     order = np.argsort(fps, kind="stable")
@@ -176,10 +187,13 @@ def fingerprint_links(prints: DataFrame, fp: str = "fp", max_bits: int = MAX_BIT
     if not max_bits < 2 * len(SEGMENTS):
         raise ValueError(f"{len(SEGMENTS)} segments find at most {2 * len(SEGMENTS) - 1} differing bits")
     ship(prints.sparkSession)
-    one = prints.select(F.col(fp).alias("fp")).where("fp is not null").distinct()
+    n = max(shuffle_partitions(prints.sparkSession), 4)
+    one = cut_lineage(prints.select(F.col(fp).alias("fp")).where("fp is not null").distinct().repartition(n, "fp"), "fingerprints")
     listed = one.select("fp", F.explode(F.expr(signatures())).alias("key"))
-    n = max(shuffle_partitions(one.sparkSession), 4)
-    dealt = listed.repartition(4 * n, "key").sortWithinPartitions("key")
+    large = listed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > group_rows).select("key")
+    marked = with_bit(listed, F.col("key"), key_bitmaps(cut_lineage(large, "large")), "large")
+    keys = F.when(F.col("large"), F.expr(piece_keys("key", "fp", max_bits))).otherwise(F.array("key"))
+    dealt = marked.select("fp", F.explode(keys).alias("key")).repartition(4 * n, "key").sortWithinPartitions("key")
     return dealt.mapInPandas(_edges_of_sorted(max_bits, group_rows), "a long, b long").distinct()
 
 
@@ -190,9 +204,10 @@ def _grouped(docs: DataFrame, id_col: str, text: str, shingle_words: int, max_bi
     prints = cut_lineage(with_fingerprint(keyed, "_nd_text", shingle_words, keep=["_nd_id", "_nd_hash"]), "prints")
     labels = components(fingerprint_links(prints, "_nd_fp", max_bits))
     distinct = prints.groupBy("_nd_fp").agg(F.min("_nd_id").alias("_nd_low"))
-    joined = distinct.join(labels, distinct["_nd_fp"] == labels["node"], "left").select(
-        "_nd_fp", "_nd_low", F.coalesce("label", "_nd_fp").alias("_nd_label"))
-    least = joined.groupBy(F.col("_nd_label").alias("_nd_least")).agg(F.min("_nd_low").alias("component_id"))
+    # both sides of the next join are written, so that Spark can split a component of very many fingerprints
+    joined = cut_lineage(distinct.join(labels, distinct["_nd_fp"] == labels["node"], "left").select(
+        "_nd_fp", "_nd_low", F.coalesce("label", "_nd_fp").alias("_nd_label")), "labelled")
+    least = cut_lineage(joined.groupBy(F.col("_nd_label").alias("_nd_least")).agg(F.min("_nd_low").alias("component_id")), "least")
     member = joined.join(least, joined["_nd_label"] == least["_nd_least"]).select(
         F.col("_nd_fp").alias("_nd_of"), "component_id")
     return prints.join(member, prints["_nd_fp"] == member["_nd_of"]).drop("_nd_of")

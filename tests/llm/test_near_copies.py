@@ -70,11 +70,27 @@ def test_batches_split_a_key():
     assert set(map(tuple, whole.to_numpy())) == set(map(tuple, parts.to_numpy()))
 
 
-def test_links_give_all_components(spark):
+def test_finer_keys_tell_signatures_and_pieces_apart(spark):
+    values = _values(4)[:40]
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long").selectExpr("fp", f"explode({nc.signatures()}) as key")
+    rows = df.selectExpr("fp", "key", f"{nc.piece_keys('key', 'fp', 4)} as parts").collect()
+    cuts = [0, 12, 25, 38, 51, 64]
+    meaning = {}
+    for r in rows:
+        assert 0 <= r.key < 1 << 28 and len(r.parts) == 5
+        for n, part in enumerate(r.parts):
+            piece = (r.fp % (1 << 64)) >> cuts[n] & ((1 << (cuts[n + 1] - cuts[n])) - 1)
+            assert part >= 1 << 28 and meaning.setdefault(part, (r.key, n, piece)) == (r.key, n, piece)
+    assert len(set(meaning.values())) == len(meaning)
+
+
+@pytest.mark.parametrize("group_rows", [1 << 15, 3, 1])
+def test_links_give_all_components(spark, group_rows):
     values = _values(8)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     prints = spark.createDataFrame([(s,) for s in signed] + [(None,), (signed[0],)], "fp long")
-    got = {r.node % (1 << 64): r.label % (1 << 64) for r in components(nc.fingerprint_links(prints)).collect()}
+    got = {r.node % (1 << 64): r.label % (1 << 64) for r in components(nc.fingerprint_links(prints, group_rows=group_rows)).collect()}
     want = brute_groups(values)
     classes = lambda label: {frozenset(k for k in label if label[k] == x) for x in set(label.values())}
     full = {v: got.get(v, v) for v in values}
