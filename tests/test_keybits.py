@@ -62,3 +62,38 @@ def test_rows_with_one_key_are_not_sorted_or_moved(spark):
     out = keep_first_narrow(df, "k", "_seq", payload=["_seq"])
     assert out.count() == 1000 and out.where("_copies <> 1").count() == 0
     assert keep_first_narrow(df.where("false"), "k", "_seq").count() == 0
+
+
+@pytest.mark.parametrize("limit", [BUCKET_BYTES, 64 << 20])
+def test_large_text_parents_move_and_write_no_child_row(spark, monkeypatch, limit):
+    from innflow.operators import membership
+
+    written, plain = {}, membership.stage
+
+    def stage(df, run_dir, name):
+        written[name] = plain(df, run_dir, name)
+        return written[name]
+
+    monkeypatch.setattr(membership, "stage", stage)
+    parents = [f"RES-{i}" for i in range(0, 4000, 2)]
+    rows = [(i, None if i % 97 == 0 else "RES-0" if i % 5 == 0 else f"RES-{i}") for i in range(6000)]
+    child = spark.createDataFrame(rows, "_seq bigint, ref string")
+    refs = [Reference("ref", spark.createDataFrame([(p,) for p in [*parents, parents[1], None]], "id string"), "ok", False)]
+    flagged = membership.with_parent_flags(child, refs, bitmap_max_bytes=limit)
+    assert {r._seq: r.ok for r in flagged.collect()} == {i: ref in set(parents) for i, ref in rows}
+    assert flagged.count() == len(rows)
+    assert not [name for name in written if name.startswith("flagged")]
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    chance = {r[0] for r in written["wrong"].collect()}  # in one bucket of 32,768 bits some keys must share a bit
+    assert chance.isdisjoint(parents) and (chance or limit > BUCKET_BYTES)
+
+
+def test_too_many_shared_bits_take_the_join(spark, monkeypatch):
+    from innflow.operators import membership
+
+    monkeypatch.setattr(membership, "BROADCAST_MAX_ROWS", 3)
+    child = spark.createDataFrame([(i, f"RES-{i}") for i in range(6000)], "_seq bigint, ref string")
+    refs = [Reference("ref", spark.createDataFrame([(f"RES-{i}",) for i in range(0, 4000, 2)], "id string"), "ok", False)]
+    flagged = membership.with_parent_flags(child, refs, bitmap_max_bytes=BUCKET_BYTES)
+    assert {r._seq: r.ok for r in flagged.collect()} == {i: i < 4000 and i % 2 == 0 for i in range(6000)}
