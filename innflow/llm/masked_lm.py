@@ -47,6 +47,8 @@ ROUNDS, BATCH, RATE = 3, 512, 0.004
 STRIDE = ROUNDS
 FAN_IN = 32
 CHUNK = 1 << 15
+BLOCK = 2048  # columns scored at a time, so that they stay in the processor's cache
+FEW = 12  # rare classes of at most so many positions of a batch each are handled together
 
 
 def word_counts(docs: DataFrame, text: str) -> DataFrame:
@@ -117,6 +119,8 @@ class Network:
 
     def __init__(self, flat: np.ndarray | None = None, seed: int = 5):
         rng, at = np.random.default_rng(seed), 0
+        self.slope = np.zeros(sum(int(np.prod(shape)) for _, shape in self.shapes), dtype=np.float32)
+        self.slopes = self.parts(self.slope)
         for name, shape in self.shapes:
             size = int(np.prod(shape))
             if flat is not None:
@@ -128,6 +132,17 @@ class Network:
             setattr(self, name, value)
             at += size
 
+    @classmethod
+    def parts(cls, flat: np.ndarray) -> dict[str, np.ndarray]:
+        """Views of a vector, one per weight array."""
+        ends = np.cumsum([int(np.prod(shape)) for _, shape in cls.shapes])
+        return {name: flat[end - int(np.prod(shape)):end].reshape(shape) for (name, shape), end in zip(cls.shapes, ends.tolist(), strict=True)}
+
+    def view(self, flat: np.ndarray) -> None:
+        """Let the weights be parts of ``flat``."""
+        for name, value in self.parts(flat).items():
+            setattr(self, name, value)
+
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n, _ in self.shapes])
 
@@ -140,109 +155,169 @@ class Network:
         self.bc = np.log(np.exp(logs).sum(axis=1)).astype(np.float32)
 
     def hidden(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = self.e[sides].reshape(len(sides), -1)
-        return x, np.tanh(x @ self.w + self.b)
+        """Inputs (one row per position) and hidden values (one column per position)."""
+        x = self.e.take(sides, axis=0).reshape(len(sides), -1)
+        h = self.w.T @ x.T
+        h += self.b[:, None]
+        return x, np.tanh(h, out=h)
 
     def log_probs(self, sides: np.ndarray, words: np.ndarray) -> np.ndarray:
         """log p(word | both sides) per position."""
-        _, h = self.hidden(sides)
-        cls, within = words // self.width, words % self.width
-        out = _log_softmax(h @ self.wc + self.bc)[np.arange(len(words)), cls]
-        for c, rows in _by_class(cls):
-            out[rows] += _log_softmax(h[rows] @ self.ww[c] + self.bw[c])[np.arange(len(rows)), within[rows]]
+        out = np.empty(len(words), dtype=self.e.dtype)
+        order = np.argsort(words, kind="stable")
+        cls, within = np.divmod(words[order].astype(np.intp), self.width)
+        h = np.empty((HIDDEN, len(words)), dtype=self.e.dtype)
+        logs = np.empty(len(words), dtype=self.e.dtype)
+        for a in range(0, len(words), BLOCK):
+            part = slice(a, a + BLOCK)
+            _, h[:, part] = self.hidden(sides[order[part]])
+            logs[part] = _log_of(self.wc.T @ h[:, part], self.bc, cls[part])
+        for c, a, b in _runs(cls):
+            for at in range(a, b, BLOCK):
+                part = slice(at, min(at + BLOCK, b))
+                logs[part] += _log_of(self.ww[c].T @ h[:, part], self.bw[c], within[part])
+        out[order] = logs
         return out
 
     def gradients(self, sides: np.ndarray, words: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean negative log probability."""
-        n = len(words)
+        """Of the mean negative log probability: parts of ``slope``, which the next call overwrites."""
+        n, g = len(words), self.slopes
+        cls, within = np.divmod(words.astype(np.intp), self.width)
+        counts = np.bincount(cls, minlength=CLASSES)
+        large = counts > FEW
+        turn = (np.arange(CLASSES) + CLASSES * ~large).astype(np.uint8)  # large classes first
+        order = np.argsort(turn.take(cls), kind="stable")  # the positions of a class are columns side by side
+        sides, cls, within = sides.take(order, axis=0), cls.take(order), within.take(order)
+        by_turn = np.argsort(turn)
+        starts = np.empty(CLASSES, dtype=np.intp)
+        starts[by_turn] = np.cumsum(counts[by_turn]) - counts[by_turn]
         x, h = self.hidden(sides)
-        cls, within = words // self.width, words % self.width
-        g = {name: np.zeros(shape, dtype=np.float32) for name, shape in self.shapes}
-        d = _softmax(h @ self.wc + self.bc)
-        d[np.arange(n), cls] -= 1
-        d /= n
-        g["wc"], g["bc"] = h.T @ d, d.sum(axis=0)
-        dh = d @ self.wc.T
-        order = np.argsort(cls, kind="stable")
-        h_by, dh_by, within_by = h[order], dh[order], within[order]
-        starts = np.flatnonzero(np.diff(cls[order], prepend=-1)).tolist()
-        for c, a, b in zip(cls[order][starts].tolist(), starts, [*starts[1:], n], strict=True):
-            d = _softmax(h_by[a:b] @ self.ww[c] + self.bw[c])
-            d[np.arange(b - a), within_by[a:b]] -= 1
-            d /= n
-            g["ww"][c], g["bw"][c] = h_by[a:b].T @ d, d.sum(axis=0)
-            dh_by[a:b] += d @ self.ww[c].T
-        dh[order] = dh_by
-        dz = dh * (1 - h * h)
-        g["w"], g["b"] = x.T @ dz, dz.sum(axis=0)
-        _add_rows(g["e"], sides.ravel(), (dz @ self.w.T).reshape(-1, EMBEDDING))
+        d = _softmax_less_one(self.wc.T @ h, self.bc, cls, n)
+        np.matmul(h, d.T, out=g["wc"])
+        d.sum(axis=1, out=g["bc"])
+        dh = self.wc @ d
+        if not large.all():
+            self._small_classes(large, counts, starts, h, cls, within, dh, g)
+        for c in np.flatnonzero(large).tolist():
+            own = slice(starts[c], starts[c] + counts[c])
+            d = _softmax_less_one(self.ww[c].T @ h[:, own], self.bw[c], within[own], n)
+            np.matmul(h[:, own], d.T, out=g["ww"][c])
+            d.sum(axis=1, out=g["bw"][c])
+            dh[:, own] += self.ww[c] @ d
+        dh *= 1 - h * h
+        np.matmul(x.T, dh.T, out=g["w"])
+        dh.sum(axis=1, out=g["b"])
+        g["e"][...] = 0
+        _add_rows(g["e"], sides.ravel(), (dh.T @ self.w.T).reshape(-1, EMBEDDING))
         return g
 
+    def _small_classes(self, large: np.ndarray, counts: np.ndarray, starts: np.ndarray, h: np.ndarray, cls: np.ndarray, within: np.ndarray,
+                       dh: np.ndarray, g: dict[str, np.ndarray]) -> None:
+        """The share of the classes that are not ``large``, side by side in one array with empty places (large ones are overwritten later)."""
+        some, a, n = int(large.argmin()), int(counts[large].sum()), len(cls)
+        most = max(int(counts[~large].max()), 1)
+        own = cls[a:] - some
+        place = own * most + np.arange(a, n) - starts.take(cls[a:])
+        x = np.zeros(((CLASSES - some) * most, HIDDEN), dtype=h.dtype)
+        x[place] = h[:, a:].T
+        x = x.reshape(-1, most, HIDDEN)
+        z = (x @ self.ww[some:]).reshape(-1, self.width).take(place, axis=0)
+        z += self.bw[some:].take(own, axis=0)
+        d = np.zeros(((CLASSES - some) * most, self.width), dtype=h.dtype)
+        d[place] = _softmax_less_one(z.T, None, within[a:], n).T
+        d = d.reshape(-1, most, self.width)
+        np.matmul(x.transpose(0, 2, 1), d, out=g["ww"][some:])
+        d.sum(axis=1, out=g["bw"][some:])
+        dh[:, a:] += (d @ self.ww[some:].transpose(0, 2, 1)).reshape(-1, HIDDEN).take(place, axis=0).T
+
+
+def _softmax_less_one(z: np.ndarray, bias: np.ndarray | None, at: np.ndarray, n: int) -> np.ndarray:
+    """(softmax of each column of z + bias - 1 at its place ``at``) / n, in place."""
+    if bias is not None:
+        z += bias[:, None]
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z *= 1 / (n * z.sum(axis=0))
+    z[at, np.arange(z.shape[1])] -= 1 / n
+    return z
+
+
+def _log_of(z: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Logarithm of the softmax of each column at its place ``at``."""
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    own = z[at, np.arange(z.shape[1])]
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
+
 
 def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     """``total[at] += rows``, rows of equal places summed first."""
     order = np.argsort(at, kind="stable")
-    places = at[order]
-    starts = np.concatenate([[0], np.flatnonzero(np.diff(places)) + 1])
-    total[places[starts]] += np.add.reduceat(rows[order], starts, axis=0)
+    places = at.take(order)
+    starts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
+    total[places[starts]] += np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
 
 
-def _by_class(cls: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(cls, kind="stable")
-    ends = np.flatnonzero(np.diff(cls[order])) + 1
-    for rows in np.split(order, ends):
-        if len(rows):
-            yield int(cls[rows[0]]), rows
+def _runs(cls: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(class, start, end) of each run of equal values."""
+    starts = np.flatnonzero(np.diff(cls, prepend=-1)).tolist()
+    for a, b in zip(starts, [*starts[1:], len(cls)], strict=True):
+        yield int(cls[a]), a, b
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    e = np.exp(z - z.max(axis=1, keepdims=True))
-    return e / e.sum(axis=1, keepdims=True)
+def sides_of(words: list[np.ndarray], phase: int = 0, stride: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(words of both sides per position, words) of documents one after another; outside a document stands ``VOCABULARY``.
 
-
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
-
-
-def sides_of(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(words of both sides per position, words) of documents one after another; outside a document stands ``VOCABULARY``."""
-    gap = np.full(SIDE, VOCABULARY, dtype=np.int64)
-    line = np.concatenate([gap, *[x for w in words for x in (w, gap)]])
-    own = np.concatenate([np.arange(SIDE + at, SIDE + at + len(w)) for at, w in zip(
-        np.cumsum([0, *[len(w) + SIDE for w in words[:-1]]]).tolist(), words, strict=True)]) if words else np.empty(0, np.int64)
+    Of each document only the positions that are ``phase`` modulo ``stride``.
+    """
+    gap = np.full(SIDE, VOCABULARY, dtype=np.uint16)
+    line = np.concatenate([gap, *[x for w in words for x in (w, gap)]], dtype=np.uint16, casting="unsafe")
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    first = SIDE + np.cumsum(sizes + SIDE) - (sizes + SIDE) + phase % stride
+    n = np.maximum(-(-(sizes - phase % stride) // stride), 0)
+    own = np.arange(n.sum()) * stride + np.repeat(first - (np.cumsum(n) - n) * stride, n)
     steps = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
     return line[own[:, None] + steps], line[own]
 
 
 def _documents(pdf: pd.DataFrame) -> list[np.ndarray]:
-    return [np.frombuffer(w, dtype="<u2").astype(np.int64) for w in pdf["words"]]
+    return [np.frombuffer(w, dtype="<u2") for w in pdf["words"]]
 
 
 def train(net: Network, batches: Iterator[pd.DataFrame], phase: int, stride: int = STRIDE) -> int:
     """Adam over the positions of all documents that are ``phase`` modulo ``stride`` within their document; the number of examples."""
-    moments: dict[str, list[np.ndarray]] = {n: [np.zeros(s, np.float32), np.zeros(s, np.float32)] for n, s in net.shapes}
+    weights = net.flat().astype(np.float32)
+    first, second, spare = (np.zeros_like(weights) for _ in range(3))
+    net.view(weights)
     seen, step = 0, 0
     wait_s: list[np.ndarray] = []
     wait_w: list[np.ndarray] = []
     held = 0
 
     def learn(sides: np.ndarray, words: np.ndarray) -> None:
+        """Adam, its moments kept as sums (10 and 100 times the usual means)."""
         nonlocal step
         step += 1
-        for name, g in net.gradients(sides, words).items():
-            m, v = moments[name]
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            getattr(net, name)[...] -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
+        net.gradients(sides, words)
+        root = (1 - 0.99 ** step) ** 0.5
+        rate = np.float32(RATE * root / (1 - 0.9 ** step))
+        np.multiply(first, np.float32(0.9), out=first)
+        np.add(first, net.slope, out=first)
+        np.multiply(second, np.float32(0.99), out=second)
+        np.multiply(net.slope, net.slope, out=net.slope)
+        np.add(second, net.slope, out=second)
+        np.sqrt(second, out=spare)
+        np.add(spare, np.float32(1e-6 * root), out=spare)
+        np.divide(first, spare, out=spare)
+        np.multiply(spare, rate, out=spare)
+        np.subtract(weights, spare, out=weights)
 
     for pdf in batches:
         for docs in _slices(_documents(pdf)):
-            sides, words = sides_of(docs)
-            own = np.concatenate([np.arange(len(d)) for d in docs]) % stride == phase % stride
-            wait_s.append(sides[own])
-            wait_w.append(words[own])
-            held += len(wait_w[-1])
+            sides, words = sides_of(docs, phase, stride)
+            wait_s.append(sides)
+            wait_w.append(words)
+            held += len(words)
             if held >= 16 * BATCH:
                 seen += _drain(wait_s, wait_w, learn, seen)
                 held = 0
@@ -250,7 +325,7 @@ def train(net: Network, batches: Iterator[pd.DataFrame], phase: int, stride: int
 
 
 def _drain(wait_s: list, wait_w: list, learn, seed: int) -> int:
-    sides, words = np.concatenate(wait_s or [np.empty((0, 2 * SIDE), np.int64)]), np.concatenate(wait_w or [np.empty(0, np.int64)])
+    sides, words = np.concatenate(wait_s or [np.empty((0, 2 * SIDE), np.uint16)]), np.concatenate(wait_w or [np.empty(0, np.uint16)])
     wait_s.clear()
     wait_w.clear()
     order = np.random.default_rng(seed).permutation(len(words))

@@ -108,3 +108,72 @@ def test_every_position_is_a_target_once(monkeypatch):
     sides, words = lm.sides_of(docs)
     assert n == len(words) == sum(map(len, docs))
     assert sorted(seen) == sorted(np.column_stack([sides, words]).tolist())
+
+
+def _plain_gradients(net, sides, words):
+    """Of the mean negative log probability, one position at a time."""
+    g = {name: np.zeros(shape) for name, shape in net.shapes}
+    soft = lambda z: np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+    for around, word in zip(sides, words, strict=True):
+        c, k = divmod(int(word), net.width)
+        x = np.concatenate([net.e[a] for a in around])
+        h = np.tanh(x @ net.w + net.b)
+        d, e = soft(h @ net.wc + net.bc), soft(h @ net.ww[c] + net.bw[c])
+        d[c] -= 1
+        e[k] -= 1
+        dz = (net.wc @ d + net.ww[c] @ e) * (1 - h * h)
+        for name, part in (("wc", np.outer(h, d)), ("bc", d), ("w", np.outer(x, dz)), ("b", dz)):
+            g[name] += part
+        g["ww"][c] += np.outer(h, e)
+        g["bw"][c] += e
+        for a, part in zip(around, (net.w @ dz).reshape(-1, lm.EMBEDDING), strict=True):
+            g["e"][a] += part
+    return {name: value / len(words) for name, value in g.items()}
+
+
+def test_rare_classes_share_one_softmax(monkeypatch):
+    """However many classes a batch holds, the rare ones are one step together, with the gradients of a plain statement."""
+    rng = np.random.default_rng(4)
+    net = lm.Network(rng.normal(size=len(lm.Network().flat())).astype(np.float32) * 0.2)
+    spread = [rng.integers(0, lm.VOCABULARY, 500), np.full(40, 3), np.arange(0, lm.VOCABULARY, 97), np.full(30, 70)]
+    calls = []
+    real = np.exp
+    for docs in (spread, [np.full(9, 2047)], [np.full(300, 2047)], [np.arange(5)]):
+        sides, words = lm.sides_of(docs)
+        monkeypatch.setattr(np, "exp", lambda *a, **k: calls.append(1) or real(*a, **k))
+        got = {name: value.copy() for name, value in net.gradients(sides, words).items()}
+        monkeypatch.undo()
+        assert len(calls) <= 64 // 2
+        calls.clear()
+        for name, want in _plain_gradients(net, sides, words).items():
+            np.testing.assert_allclose(got[name], want, rtol=1e-4, atol=1e-5, err_msg=name)
+
+
+def test_training_steps_are_adams(monkeypatch):
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(lm, "BATCH", 50)
+    docs = [rng.integers(0, lm.VOCABULARY, n) for n in (90, 0, 2, 61)]
+    steps = []
+    real = lm.Network.gradients
+
+    def kept(net, sides, words):
+        g = real(net, sides, words)
+        steps.append((net.flat().copy(), {name: value.copy() for name, value in g.items()}))
+        return g
+
+    monkeypatch.setattr(lm.Network, "gradients", kept)
+    net = lm.Network()
+    assert lm.train(net, iter([pd.DataFrame({"words": [d.astype("<u2").tobytes() for d in docs]})]), 0, 1) == 153
+    steps.append((net.flat(), None))
+    m = v = 0.0
+    for k, (before, g) in enumerate(steps[:-1], 1):
+        flat = np.concatenate([g[name].ravel() for name, _ in net.shapes]).astype(np.float64)
+        m, v = 0.9 * m + 0.1 * flat, 0.99 * v + 0.01 * flat * flat
+        want = before - lm.RATE * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-7)
+        np.testing.assert_allclose(steps[k][0], want, atol=2e-6)
+    assert len(steps) == 5
+    for stride, phase in ((3, 1), (5, 7)):
+        every, own = lm.sides_of(docs)
+        at = np.concatenate([np.arange(len(d)) for d in docs]) % stride == phase % stride
+        some, of = lm.sides_of(docs, phase, stride)
+        assert some.tolist() == every[at].tolist() and of.tolist() == own[at].tolist()
