@@ -84,7 +84,7 @@ def boundaries(ids: np.ndarray, enders: np.ndarray) -> tuple[np.ndarray, np.ndar
     The last place is the document's end (kind 0); 1 is a sentence end, 2 a place inside a long sentence.
     """
     n = len(ids)
-    ends = np.flatnonzero(enders[ids]) + 1
+    ends = np.flatnonzero(enders.take(ids)) + 1
     ends = ends[ends < n - 1]  # right before the end id counts as the end
     places = np.concatenate([ends, [n]])
     gaps = np.diff(places, prepend=0)
@@ -98,11 +98,12 @@ def boundaries(ids: np.ndarray, enders: np.ndarray) -> tuple[np.ndarray, np.ndar
         order = np.argsort(places, kind="stable")
         places, kinds = places[order], kinds[order]
     raw = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
-    crcs, crc, at = np.empty(len(places), dtype=np.uint32), 0, 0
-    for i, p in enumerate(places.tolist()):
-        crc = zlib.crc32(raw[4 * at:4 * p], crc)
-        crcs[i], at = crc, p
-    return places, crcs, kinds
+    crcs, crc, at, crc32 = [], 0, 0, zlib.crc32
+    for p in (4 * places).tolist():
+        crc = crc32(raw[at:p], crc)
+        crcs.append(crc)
+        at = p
+    return places, np.array(crcs, dtype=np.uint32), kinds
 
 
 def best_cuts(positions: np.ndarray, penalties: np.ndarray, length: int = LENGTH) -> list[int]:

@@ -5,7 +5,9 @@ cuts a text into pre-tokens (contractions, runs of letters, single digits,
 runs of other signs; white space is dropped) and runs BPE inside each.
 Pre-tokens repeat far more often than texts, so their ids are kept in a
 bounded per-worker table; a text's ids are those of its pre-tokens in order.
-The table only saves work: ids never depend on what it holds.
+A full table becomes the older of two, and what is looked up again moves back
+from it, so frequent pre-tokens stay and the others go with the next turn.
+The tables only save work: ids never depend on what they hold.
 
 The cut is made here only for texts of ASCII and Latin-1 letters, where NFC
 is the identity and the letter classes are plain; any other text (and any
@@ -17,13 +19,20 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
 CACHED_PIECES = 400_000
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
-# the file's own pre-token pattern, for lower-cased plain text
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+# The file's own pre-token pattern for lower-cased plain text is 's|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+. Runs of letters
+# are what lies between white space and the others, so only these (a contraction, a digit or a run of signs) are looked for.
+_SIGNS = re.compile(r"([^\sa-zß-öø-ÿ](?:(?<=')(?:s|t|re|ve|m|ll|d)|(?<![0-9])[^\sa-z0-9ß-öø-ÿ]*|))")
+
+
+def pre_tokens(text: str) -> list[str]:
+    """The pre-tokens of a lower-cased plain text, in order."""
+    return " ".join(_SIGNS.split(text)).split()
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -40,17 +49,20 @@ def _byte_signs() -> list[str]:
 
 
 class _Pieces(dict):
-    """pre-token -> its ids as little-endian uint32 bytes; a miss runs BPE."""
+    """pre-token -> its ids as uint32 bytes; a miss looks into the older table, then runs BPE."""
 
-    def __init__(self, model):
+    def __init__(self, model, older: dict[str, bytes]):
         super().__init__()
         self.tokenize = model.tokenize
         self.signs = _byte_signs()
+        self.older = older
 
     def __missing__(self, piece: str) -> bytes:
-        signs = self.signs
-        spelled = piece if piece.isascii() else "".join([signs[b] for b in piece.encode()])
-        ids = np.array([t.id for t in self.tokenize(spelled)], dtype="<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            signs = self.signs
+            spelled = piece if piece.isascii() else "".join([signs[b] for b in piece.encode()])
+            ids = array("I", [t.id for t in self.tokenize(spelled)]).tobytes()
         self[piece] = ids
         return ids
 
@@ -64,24 +76,28 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = _Pieces(self.tokenizer.model)
+        self.pieces = _Pieces(self.tokenizer.model, {})
         self.cached_pieces = cached_pieces
+        self.enders: np.ndarray | None = None
 
     def ids(self, text: str) -> np.ndarray:
         if _PLAIN.fullmatch(text) is None or any(m in text for m in self.marks):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
         if len(self.pieces) > self.cached_pieces:
-            self.pieces.clear()
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower()))), dtype="<u4")
+            self.pieces.older = {}
+            self.pieces = _Pieces(self.tokenizer.model, self.pieces)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pre_tokens(text.lower()))), dtype=np.uint32)
 
     def sentence_enders(self) -> np.ndarray:
         """Flag per id: the token is punctuation that ends a sentence (holds one of . ! ? and no letter or digit)."""
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        flags = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        for token, i in vocab.items():
-            sign = token.removesuffix("</w>")
-            flags[i] = token.endswith("</w>") and any(c in sign for c in ".!?") and not any(c.isalnum() for c in sign)
-        return flags
+        if self.enders is None:
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            flags = np.zeros(max(vocab.values()) + 1, dtype=bool)
+            for token, i in vocab.items():
+                sign = token.removesuffix("</w>")
+                flags[i] = token.endswith("</w>") and any(c in sign for c in ".!?") and not any(c.isalnum() for c in sign)
+            self.enders = flags
+        return self.enders
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -2,12 +2,13 @@
 
 import itertools
 import random
+import re
 import zlib
 
 import numpy as np
 
 from innflow.llm import packing
-from innflow.llm.wordtok import WordEncoder, tokenizer_path
+from innflow.llm.wordtok import WordEncoder, pre_tokens, tokenizer_path
 
 ODD = ["Ça va? l'été c'est <|endoftext|> x y  z Ⅷ ½ ² ß İstanbul ΣΑΣ ﬁ é a\x1cb  don't 'S ÀÉÎ ñandú×÷ µ ª º", "", "   ",
        "!!!###a1b22c<|startoftext|>", "L'ÉTÉ DON'T we'll I'D 3.14 ÿ ÜBER\x0bab\x7f", "Å K é", "漢字 テスト. done!"]
@@ -123,3 +124,31 @@ def test_pipeline_packs_copies_apart(spark):
     starts = [p.doc_id for p in pieces if p.start == 0]
     at = [k for k, i in enumerate(starts) if i == 5000]
     assert len(starts) == len(rows) and len(at) == 30 and at[-1] - at[0] > 150
+
+
+def test_pre_tokens_equal_the_files_pattern():
+    pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("ab'stremvld0 9.!?#é÷×ß\t\n\x0böøÿ''") for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    for text in [*texts, "'tis the dogs' l'été don't've 'll 3.14 ..."]:
+        assert pre_tokens(text) == pattern.findall(text)
+
+
+def test_full_tables_keep_frequent_pieces(monkeypatch):
+    """A full table does not forget the pre-tokens in use; ids stay the tokenizer's."""
+    enc = WordEncoder(tokenizer_path(), cached_pieces=50)
+    run = []
+    kept = WordEncoder(tokenizer_path()).pieces.__class__.__missing__
+
+    def missing(pieces, piece):
+        if piece not in pieces.older:
+            run.append(piece)
+        return kept(pieces, piece)
+
+    monkeypatch.setattr(enc.pieces.__class__, "__missing__", missing)
+    rng = random.Random(8)
+    for _ in range(40):
+        text = "the cat sat on a mat, " + " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(20))
+        assert enc.ids(text).tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(enc.pieces) + len(enc.pieces.older) <= 2 * (50 + 27)
+    assert run.count("cat") == 1 and len(run) > 500
