@@ -86,8 +86,10 @@ def boundaries(ids: np.ndarray, enders: np.ndarray) -> tuple[np.ndarray, np.ndar
     n = len(ids)
     ends = np.flatnonzero(enders.take(ids)) + 1
     ends = ends[ends < n - 1]  # right before the end id counts as the end
-    places = np.concatenate([ends, [n]])
-    gaps = np.diff(places, prepend=0)
+    places = np.full(len(ends) + 1, n, dtype=np.int64)
+    places[:-1] = ends
+    gaps = places.copy()
+    gaps[1:] -= ends
     kinds = np.ones(len(places), dtype=np.int8)
     kinds[-1] = 0
     if gaps.max() > LONG_SENTENCE:
@@ -170,12 +172,11 @@ def token_boundaries(docs: DataFrame, id_col: str, text: str, tokenizer: str) ->
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(tokenizer)
-        enders = enc.sentence_enders()
+        enders, end = enc.sentence_enders(), np.uint32(END_ID).tobytes()
         for pdf in batches:
             rows = []
             for t in pdf["t"]:
-                ids = np.append(enc.ids(t or ""), np.uint32(END_ID))
-                rows.append(boundaries(ids, enders))
+                rows.append(boundaries(enc.ids(t or "", end), enders))
             yield pd.DataFrame({
                 "id": pdf["id"], "tie": pdf["tie"], "copies": pdf["copies"], "tokens": [int(r[0][-1]) for r in rows],
                 "places": [r[0] for r in rows], "crcs": [r[1].astype(np.int64) for r in rows],

@@ -80,13 +80,14 @@ class WordEncoder:
         self.cached_pieces = cached_pieces
         self.enders: np.ndarray | None = None
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str, after: bytes = b"") -> np.ndarray:
+        """The text's ids, then those of ``after`` (uint32 bytes)."""
         if _PLAIN.fullmatch(text) is None or any(m in text for m in self.marks):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+            return np.frombuffer(array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() + after, dtype=np.uint32)
         if len(self.pieces) > self.cached_pieces:
             self.pieces.older = {}
             self.pieces = _Pieces(self.tokenizer.model, self.pieces)
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pre_tokens(text.lower()))), dtype=np.uint32)
+        return np.frombuffer(b"".join([*map(self.pieces.__getitem__, pre_tokens(text.lower())), after]), dtype=np.uint32)
 
     def sentence_enders(self) -> np.ndarray:
         """Flag per id: the token is punctuation that ends a sentence (holds one of . ! ? and no letter or digit)."""
