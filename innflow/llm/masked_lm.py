@@ -14,9 +14,9 @@ softmaxes.  The words of number 0 are told apart by their own counts:
 where n_other counts all their occurrences, so p sums to one over every word of the corpus.
 A document's score is the sum over all its positions of log p(word | both sides).
 
-The counts of the words of number 0 are joined as a table, on one row per document and word.
-Such a word is none of the ``VOCABULARY`` - 1 most frequent, so at most 1 / ``VOCABULARY`` of
-all tokens are its own and no key of that join is hot.
+The counts of the ``LISTED`` most frequent words of number 0 (about a megabyte) go to every task; those of
+all others are joined as a table, on one row per document and word.  Such a word is none of the
+``VOCABULARY`` - 1 + ``LISTED`` most frequent, so no key of that join is hot.
 
 Training runs over all documents, data-parallel: in each of ``ROUNDS`` rounds
 every partition continues from the shared weights on its own documents (Adam
@@ -39,15 +39,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from innflow.llm.common import cut_lineage, ship, text_or_empty
-from innflow.llm.wordhash import word_hashes
+from innflow.llm.wordhash import hashes_of_texts
 
 VOCABULARY, CLASSES = 2048, 64
+LISTED = 1 << 16
 SIDE, EMBEDDING, HIDDEN = 3, 16, 32
 ROUNDS, BATCH, RATE = 3, 512, 0.004
 STRIDE = ROUNDS
 FAN_IN = 32
 CHUNK = 1 << 15
 BLOCK = 2048  # columns scored at a time, so that they stay in the processor's cache
+_PAIRS = np.arange((VOCABULARY + 1) * EMBEDDING // 2).reshape(VOCABULARY + 1, -1)  # places of the pairs of values of an embedding
 FEW = 12  # rare classes of at most so many positions of a batch each are handled together
 
 
@@ -55,7 +57,7 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     """``word, n``: occurrences of each word hash over all documents."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            hashes = [word_hashes(t.lower()) for t in pdf["t"]]
+            hashes = [h for h, _ in hashes_of_texts(t.lower() for t in pdf["t"])]
             if hashes:
                 words, n = np.unique(np.concatenate(hashes), return_counts=True)
                 yield pd.DataFrame({"word": words.view(np.int64), "n": n})
@@ -64,39 +66,51 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def numbered(docs: DataFrame, id_col: str, text: str, top: np.ndarray) -> DataFrame:
-    """``row, id, words, rare, times``, one row per document (``top``: hashes of words 1, 2, ... by frequency).
+def numbered(docs: DataFrame, id_col: str, text: str, top: np.ndarray, listed: np.ndarray, shares: np.ndarray) -> DataFrame:
+    """``row, id, words, listed_log, rare, times``, one row per document (``top``: hashes of words 1, 2, ... by frequency).
 
-    ``row`` is its own number of each row; ``words`` the words' numbers as little-endian 16-bit integers; ``rare`` the different
-    hashes (64 bits) of its words of number 0 and ``times`` (32 bits) how often each occurs.
+    ``row`` is its own number of each row; ``words`` the words' numbers as little-endian 16-bit integers; ``listed_log`` the sum of
+    ``shares`` over its words in ``listed`` (hashes of words of number 0); ``rare`` the different hashes (64 bits) of its other words of
+    number 0 and ``times`` (32 bits) how often each occurs.
     """
     order = np.argsort(top)
     ordered, number = top[order], (order + 1).astype("<u2")
+    by_hash = np.argsort(listed)
+    listed, shares = listed[by_hash], shares[by_hash]
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         row = TaskContext.get().partitionId() << 40
         for pdf in batches:
-            out, rare, times = [], [], []
-            for t in pdf["t"]:
-                h = word_hashes(t.lower())
+            out, logs, rare, times = [], [], [], []
+            for h, sizes in hashes_of_texts(t.lower() for t in pdf["t"]):
                 at = np.minimum(np.searchsorted(ordered, h), max(len(ordered) - 1, 0))
                 known = ordered[at] == h if len(ordered) else np.zeros(len(h), dtype=bool)
-                out.append(np.where(known, number[at] if len(ordered) else 0, 0).astype("<u2").tobytes())
-                others, n = np.unique(h[~known], return_counts=True)
-                rare.append(others.astype("<u8").tobytes())
-                times.append(n.astype("<u4").tobytes())
+                numbers = np.where(known, number[at] if len(ordered) else 0, 0).astype("<u2")
+                ends = np.cumsum(sizes)
+                for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+                    out.append(numbers[a:b].tobytes())
+                    others, n = np.unique(h[a:b][~known[a:b]], return_counts=True)
+                    log = 0.0
+                    if len(listed):
+                        spot = np.minimum(np.searchsorted(listed, others), len(listed) - 1)
+                        here = listed[spot] == others
+                        log = float((n * shares[spot])[here].sum())
+                        others, n = others[~here], n[~here]
+                    logs.append(log)
+                    rare.append(others.astype("<u8").tobytes())
+                    times.append(n.astype("<u4").tobytes())
             yield pd.DataFrame({"row": np.arange(row, row + len(pdf)), "id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"),
-                                "words": out, "rare": rare, "times": times})
+                                "words": out, "listed_log": logs, "rare": rare, "times": times})
             row += len(pdf)
 
     narrow = docs.select(F.col(id_col).cast("bigint").alias("id"), text_or_empty(text).alias("t"))
-    return narrow.mapInPandas(encode, "row long, id long, words binary, rare binary, times binary")
+    return narrow.mapInPandas(encode, "row long, id long, words binary, listed_log double, rare binary, times binary")
 
 
 def rare_logs(words: DataFrame, counts: DataFrame, n_other: float) -> DataFrame:
-    """``row, rare_log``: sum of log(n_word / n_other) over a document's words of number 0 (documents without any have no row)."""
+    """``row, rare_log``: sum of log(n_word / n_other) over a document's words in ``rare`` (documents without any have no row)."""
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             word = np.frombuffer(b"".join(pdf["rare"]), dtype="<u8")
@@ -166,16 +180,22 @@ class Network:
         out = np.empty(len(words), dtype=self.e.dtype)
         order = np.argsort(words, kind="stable")
         cls, within = np.divmod(words[order].astype(np.intp), self.width)
-        h = np.empty((HIDDEN, len(words)), dtype=self.e.dtype)
+        first, *others = self.e @ self.w.reshape(2 * SIDE, EMBEDDING, HIDDEN)  # what each word adds to the hidden values on each place
+        first += self.b
+        h = np.empty((len(words), HIDDEN), dtype=self.e.dtype)
         logs = np.empty(len(words), dtype=self.e.dtype)
         for a in range(0, len(words), BLOCK):
             part = slice(a, a + BLOCK)
-            _, h[:, part] = self.hidden(sides[order[part]])
-            logs[part] = _log_of(self.wc.T @ h[:, part], self.bc, cls[part])
+            column, *columns = sides[order[part]].T
+            own = first.take(column, axis=0)
+            for adds, column in zip(others, columns, strict=True):
+                own += adds.take(column, axis=0)
+            np.tanh(own, out=h[part])
+            logs[part] = _log_of(self.wc.T @ h[part].T, self.bc, cls[part])
         for c, a, b in _runs(cls):
             for at in range(a, b, BLOCK):
                 part = slice(at, min(at + BLOCK, b))
-                logs[part] += _log_of(self.ww[c].T @ h[:, part], self.bw[c], within[part])
+                logs[part] += _log_of(self.ww[c].T @ h[part].T, self.bw[c], within[part])
         out[order] = logs
         return out
 
@@ -251,11 +271,8 @@ def _log_of(z: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """``total[at] += rows``, rows of equal places summed first."""
-    order = np.argsort(at, kind="stable")
-    places = at.take(order)
-    starts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1])
-    total[places[starts]] += np.add.reduceat(rows.take(order, axis=0), starts, axis=0)
+    """``total[at] += rows`` with equal places added up; two neighbouring values are added at a time, as one complex number."""
+    np.add.at(total.reshape(-1).view(np.complex64), _PAIRS.take(at, axis=0).ravel(), rows.astype(total.dtype, copy=False).reshape(-1).view(np.complex64))
 
 
 def _runs(cls: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -390,7 +407,7 @@ def fit(words: DataFrame, counts: np.ndarray, rounds: int = ROUNDS, stride: int
 
 
 def with_scores(words: DataFrame, flat: np.ndarray) -> DataFrame:
-    """``row, id, n_tokens, log_likelihood`` per row of (row, id, words); words of number 0 are scored as that number."""
+    """``row, id, n_tokens, log_likelihood`` per row of (row, id, words, listed_log); words in ``rare`` are scored as number 0 only."""
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         net = Network(flat)
         for pdf in batches:
@@ -404,22 +421,24 @@ def with_scores(words: DataFrame, flat: np.ndarray) -> DataFrame:
                 sums.append(total[ends] - total[ends - [len(d) for d in docs]])
             n = [len(w) // 2 for w in pdf["words"]]
             yield pd.DataFrame({"row": pdf["row"], "id": pd.array([None if pd.isna(i) else int(i) for i in pdf["id"]], dtype="Int64"),
-                                "n_tokens": n, "log_likelihood": np.concatenate(sums) if sums else []})
+                                "n_tokens": n, "log_likelihood": np.concatenate(sums) + pdf["listed_log"].to_numpy() if sums else []})
 
-    return words.select("row", "id", "words").mapInPandas(score, "row long, id long, n_tokens long, log_likelihood double")
+    return words.select("row", "id", "words", "listed_log").mapInPandas(score, "row long, id long, n_tokens long, log_likelihood double")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, log_likelihood, per_token`` per row: trains on all rows, then scores all rows."""
     ship(docs.sparkSession)
     counts = cut_lineage(word_counts(docs, text), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1 + LISTED).collect()
     total = counts.agg(F.sum("n")).first()[0] or 0
-    known = np.array([r["n"] for r in top], dtype=np.float64)
+    n = np.array([r["n"] for r in top], dtype=np.float64)
     hashes = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
-    words = cut_lineage(numbered(docs, id_col, text, hashes), "numbered")
-    flat = fit(words, np.concatenate([[total - known.sum()], known]))
-    scored = with_scores(words, flat).join(rare_logs(words, counts, total - known.sum()), "row", "left")
+    known, listed = n[:VOCABULARY - 1], n[VOCABULARY - 1:]
+    n_other = total - known.sum()
+    words = cut_lineage(numbered(docs, id_col, text, hashes[:VOCABULARY - 1], hashes[VOCABULARY - 1:], np.log(listed / (n_other or 1))), "numbered")
+    flat = fit(words, np.concatenate([[n_other], known]))
+    scored = with_scores(words, flat).join(rare_logs(words, counts, n_other), "row", "left")
     scored = scored.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("rare_log", F.lit(0.0)))
     return scored.select(F.col("id").alias(id_col), "n_tokens", "log_likelihood",
                          F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")).alias("per_token"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -10,6 +11,8 @@ _B = np.uint64(0x9E3779B97F4A7C15)  # odd, so that it has an inverse modulo 2^64
 _R = 0xD1342543DE82EF95
 _SLICE = 1 << 20
 _GIANT = 1 << 12
+_TOGETHER = 1 << 16
+_GAPS = bytes(x == 32 or 9 <= x <= 13 for x in range(256))
 _MASK = (1 << 64) - 1
 _powers: dict[str, np.ndarray] = {}
 
@@ -31,18 +34,27 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def _hash_slice(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(data, dtype=np.uint8)
-    gap = np.concatenate([[True], (raw == 32) | ((raw >= 9) & (raw <= 13)), [True]])
+def _words_of_slice(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts and its hash."""
+    gap = np.ones(len(data) + 2, dtype=bool)
+    gap[1:-1] = np.frombuffer(data.translate(_GAPS), dtype=bool)
     edges = np.flatnonzero(gap[1:] != gap[:-1])
     starts, ends = edges[::2], edges[1::2]
     up, down = _tables()
-    total = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)])])
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    rest = total[1:]
+    np.add(np.frombuffer(data, dtype=np.uint8), np.uint64(1), out=rest, dtype=np.uint64)
+    rest *= up[:len(data)]
+    np.cumsum(rest, out=rest)
     size = (ends - starts).astype(np.uint64)
     out = mix((total[ends] - total[starts]) * down[starts] + mix(size))
     for i in np.flatnonzero(ends - starts > _GIANT):
         out[i] = _giant(data[starts[i]:ends[i]])
-    return out
+    return starts, out
+
+
+def _hash_slice(data: bytes) -> np.ndarray:
+    return _words_of_slice(data)[1]
 
 
 def _giant(word: bytes) -> int:
@@ -70,6 +82,31 @@ def word_hashes(text: str) -> np.ndarray:
     return np.concatenate(parts)
 
 
+def hashes_of_texts(texts: Iterable[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``word_hashes`` of many texts, small ones together: per group of texts all hashes in order and how many each text has."""
+    group: list[bytes] = []
+    held = 0
+
+    def hashed() -> tuple[np.ndarray, np.ndarray]:
+        starts, out = _words_of_slice(b" ".join(group))
+        ends = np.cumsum([len(data) + 1 for data in group])
+        return out, np.diff(np.searchsorted(starts, ends), prepend=0)
+
+    for text in texts:
+        data = text.encode("utf-8", "surrogatepass")
+        if group and held + len(data) > _TOGETHER:
+            yield hashed()
+            group, held = [], 0
+        if len(data) > _TOGETHER:
+            out = word_hashes(text)
+            yield out, np.array([len(out)])
+        else:
+            group.append(data)
+            held += len(data) + 1
+    if group:
+        yield hashed()
+
+
 def run_hashes(words: np.ndarray, length: int) -> np.ndarray:
     """Hash of the ``length`` words from each position on (by doubling, exact modulo 2^64, then scrambled)."""
     n = len(words) - length + 1

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 
 from innflow.llm import masked_lm as lm
+from innflow.llm import wordhash
 
 
 def test_gradients():
@@ -177,3 +178,48 @@ def test_training_steps_are_adams(monkeypatch):
         at = np.concatenate([np.arange(len(d)) for d in docs]) % stride == phase % stride
         some, of = lm.sides_of(docs, phase, stride)
         assert some.tolist() == every[at].tolist() and of.tolist() == own[at].tolist()
+
+
+def test_only_words_that_are_not_listed_are_joined(spark, monkeypatch):
+    """Whether the counts of a word of number 0 come with the task or by the join, the scores are the same."""
+    common = [f"c{i}" for i in range(lm.VOCABULARY - 1)]
+    rows = [(i, " ".join(common)) for i in range(9)] + [(100, "seven six once c2 seven"), (101, "six"), (101, None), (None, "twice \n twice"), (102, "seven " * 5 + "six " * 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores, joined = [], []
+    real = lm.rare_logs
+
+    def kept(words, counts, n_other):
+        joined.append(sum(len(r.rare) // 8 for r in words.collect()))
+        return real(words, counts, n_other)
+
+    monkeypatch.setattr(lm, "rare_logs", kept)
+    for listed in (0, 2, 1 << 16):
+        monkeypatch.setattr(lm, "LISTED", listed)
+        scores.append(sorted(((r.doc_id or 0, r.n_tokens, r.log_likelihood) for r in lm.score_documents(docs).collect()), key=lambda r: r[:2]))
+    assert joined == [7, 2, 0]  # seven and six are listed first
+    for other in scores[1:]:
+        assert [r[:2] for r in other] == [r[:2] for r in scores[0]]
+        np.testing.assert_allclose([r[2] for r in other], [r[2] for r in scores[0]], rtol=1e-5)
+
+
+def test_hashes_of_texts_taken_together(monkeypatch):
+    rng = random.Random(3)
+    texts = ["", " ", "a", "\x1c x\x1d", "\ud800 b", "w " * 40_000, "z" * 70_000, " lead", "trail ", "x" * 5000 + " y"]
+    texts += ["".join(rng.choice("ab \n\té") for _ in range(rng.randint(0, 40))) for _ in range(200)]
+    rng.shuffle(texts)
+    for together in (1, 50, 1 << 16):
+        monkeypatch.setattr(wordhash, "_TOGETHER", together)
+        groups = list(wordhash.hashes_of_texts(texts))
+        assert np.concatenate([n for _, n in groups]).tolist() == [len(wordhash.word_hashes(t)) for t in texts]
+        assert (np.concatenate([h for h, _ in groups]) == np.concatenate([wordhash.word_hashes(t) for t in texts])).all()
+    assert list(wordhash.hashes_of_texts([])) == []
+
+
+def test_equal_places_are_added_up():
+    rng = np.random.default_rng(8)
+    at, rows = rng.integers(0, 9, 500).astype(np.uint16), rng.normal(size=(500, lm.EMBEDDING)).astype(np.float32)
+    want = np.zeros((lm.VOCABULARY + 1, lm.EMBEDDING))
+    np.add.at(want, at, rows.astype(np.float64))
+    got = np.zeros(want.shape, dtype=np.float32)
+    lm._add_rows(got, at, rows)
+    np.testing.assert_allclose(got, want, atol=1e-4)
