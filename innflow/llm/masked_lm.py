@@ -14,9 +14,9 @@ softmaxes.  The words of number 0 are told apart by their own counts:
 where n_other counts all their occurrences, so p sums to one over every word of the corpus.
 A document's score is the sum over all its positions of log p(word | both sides).
 
-The counts of the ``LISTED`` most frequent words of number 0 (about a megabyte) go to every task; those of
+The counts of the most frequent words of number 0, at most ``LISTED`` (about a megabyte), go to every task; those of
 all others are joined as a table, on one row per document and word.  Such a word is none of the
-``VOCABULARY`` - 1 + ``LISTED`` most frequent, so no key of that join is hot.
+``VOCABULARY`` - 1 most frequent, so at most 1 / ``VOCABULARY`` of all tokens are its own and no key of that join is hot.
 
 Training runs over all documents, data-parallel: in each of ``ROUNDS`` rounds
 every partition continues from the shared weights on its own documents (Adam
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from innflow.llm.common import cut_lineage, ship, text_or_empty
@@ -66,6 +66,17 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def listed_words(counts: DataFrame, top: set[int]) -> list[Row]:
+    """The rows of ``counts`` with the greatest counts, without ``top``: at most ``LISTED``, and all of a count or none."""
+    at_most, at_least, held = len(top) + LISTED, None, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).limit(at_most + 1).collect():
+        held += r["words"]
+        if held > at_most:
+            break
+        at_least = r["n"]
+    return [] if at_least is None else [r for r in counts.where(F.col("n") >= at_least).collect() if r["word"] not in top]
+
+
 def numbered(docs: DataFrame, id_col: str, text: str, top: np.ndarray, listed: np.ndarray, shares: np.ndarray) -> DataFrame:
     """``row, id, words, listed_log, rare, times``, one row per document (``top``: hashes of words 1, 2, ... by frequency).
 
@@ -430,13 +441,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     """``doc_id, n_tokens, log_likelihood, per_token`` per row: trains on all rows, then scores all rows."""
     ship(docs.sparkSession)
     counts = cut_lineage(word_counts(docs, text), "words")
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1 + LISTED).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()
+    listed = listed_words(counts, {r["word"] for r in top})
     total = counts.agg(F.sum("n")).first()[0] or 0
-    n = np.array([r["n"] for r in top], dtype=np.float64)
-    hashes = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
-    known, listed = n[:VOCABULARY - 1], n[VOCABULARY - 1:]
+    known, often = (np.array([r["n"] for r in rows], dtype=np.float64) for rows in (top, listed))
+    hashes, others = (np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64) for rows in (top, listed))
     n_other = total - known.sum()
-    words = cut_lineage(numbered(docs, id_col, text, hashes[:VOCABULARY - 1], hashes[VOCABULARY - 1:], np.log(listed / (n_other or 1))), "numbered")
+    words = cut_lineage(numbered(docs, id_col, text, hashes, others, np.log(often / (n_other or 1))), "numbered")
     flat = fit(words, np.concatenate([[n_other], known]))
     scored = with_scores(words, flat).join(rare_logs(words, counts, n_other), "row", "left")
     scored = scored.withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("rare_log", F.lit(0.0)))

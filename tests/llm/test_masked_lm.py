@@ -223,3 +223,13 @@ def test_equal_places_are_added_up():
     got = np.zeros(want.shape, dtype=np.float32)
     lm._add_rows(got, at, rows)
     np.testing.assert_allclose(got, want, atol=1e-4)
+
+
+def test_listed_words_are_bounded_and_whole_counts(spark, monkeypatch):
+    counts = spark.createDataFrame([(w, n) for w, n in enumerate([9, 9, 5, 4, 4, 1, 1, 1])], "word long, n long")
+    for most, want in ((0, set()), (1, {2}), (2, {2}), (3, {2, 3, 4}), (5, {2, 3, 4}), (6, {2, 3, 4, 5, 6, 7}), (99, {2, 3, 4, 5, 6, 7})):
+        monkeypatch.setattr(lm, "LISTED", most)
+        assert {r.word for r in lm.listed_words(counts, {0, 1})} == want
+    monkeypatch.setattr(lm, "LISTED", 2)
+    tied = spark.createDataFrame([(w, 1) for w in range(9)], "word long, n long")
+    assert lm.listed_words(tied, {0, 1}) == [] and lm.listed_words(tied.limit(0), set()) == []
