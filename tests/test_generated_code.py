@@ -27,22 +27,24 @@ def longest_method(spark):
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
-def _parent(spark, name, kind="bigint"):
+def _parent(spark, name, small, kind="bigint"):
     key = E.KEYS[name]
     result = E.EntityResult(name, None, None)
-    result.__dict__.update(keys_small=True, clean=spark.range(3).select(F.col("id").cast(kind).alias(key)))
+    result.__dict__.update(keys_small=small, clean=spark.range(3).select(F.col("id").cast(kind).alias(key)))
     return result
 
 
-def test_methods_of_the_cleaning_are_compiled(spark, rows_df, longest_method, monkeypatch):
+@pytest.mark.parametrize("small", [True, False])
+def test_methods_of_the_cleaning_are_compiled(spark, rows_df, longest_method, monkeypatch, tmp_path, small):
+    """Also with parents that are looked up in bitmaps."""
     monkeypatch.setattr(E, "stage", lambda df, run_dir, name: df)
     raws = {n: rows_df([{}], E.RAW_COLUMNS[n]) for n in ("reservations", "payments", "guests", "rooms")}
-    parents = {n: _parent(spark, n, "string" if n == "reservations" else "bigint") for n in ("guests", "properties", "rooms", "reservations")}
+    parents = {n: _parent(spark, n, small, "string" if n == "reservations" else "bigint") for n in ("guests", "properties", "rooms", "reservations")}
     frames = {
-        "reservations": E.transform_reservations(raws["reservations"], parents["guests"], parents["properties"], parents["rooms"], "unused"),
-        "payments": E.transform_payments(raws["payments"], parents["reservations"], "unused"),
-        "rooms": E.transform_rooms(raws["rooms"], parents["properties"], "unused"),
-        "guests": E.transform_guests(raws["guests"], "unused"),
+        "reservations": E.transform_reservations(raws["reservations"], parents["guests"], parents["properties"], parents["rooms"], str(tmp_path)),
+        "payments": E.transform_payments(raws["payments"], parents["reservations"], str(tmp_path)),
+        "rooms": E.transform_rooms(raws["rooms"], parents["properties"], str(tmp_path)),
+        "guests": E.transform_guests(raws["guests"], str(tmp_path)),
     }
     assert {n: longest_method(e.classified) for n, e in frames.items() if longest_method(e.classified) > COMPILED_UP_TO} == {}
 
